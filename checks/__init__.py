@@ -1,5 +1,5 @@
 """Queries over the given tables, each beside the SQL that must give the same rows."""
 
-from . import q_daily
+from . import q_daily, q_dqm, q_indices
 
-QUERY_MODULES = (q_daily,)
+QUERY_MODULES = (q_daily, q_dqm, q_indices)

@@ -31,8 +31,8 @@ FROM lineitem GROUP BY 1, 2, 3
 """
 _TASMAX = ("262e0 + price / 3e3 + 15e0 - abs(doy - 197) * 3e1 / 183e0"
            " + CASE WHEN dataset_id = 'sim' THEN 3e0 ELSE 0e0 END")
-_TASMIN = "tasmax - 2e0 - CAST(disc AS DOUBLE) / CAST(n AS DOUBLE)"
-_PR = "qty / 1e1 * CASE WHEN dataset_id = 'sim' THEN 1.2e0 ELSE 1e0 END"
+_TASMIN = "tasmax - 2e0 - CAST(disc AS DOUBLE) / CAST(n AS DOUBLE) - price / 9e4"
+_PR = "qty / 1e1 * (1e0 + price / 1e6) * CASE WHEN dataset_id = 'sim' THEN 1.2e0 ELSE 1e0 END"
 
 DAILY_COLS = ["dataset_id", "calendar", "cell_id", "year", "month", "day", "doy", "t", "date", "tasmax", "tasmin", "pr"]
 

@@ -21,12 +21,12 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def r(expr: str, digits: int = 6) -> str:
+def r(expr: str, digits: int = 5) -> str:
     """SQL: rounded double without negative zero."""
     return f"(ROUND(CAST({expr} AS DOUBLE), {digits}) + 0.0e0)"
 
 
-def rounded(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
+def rounded(df: DataFrame, cols: Sequence[str], digits: int = 5) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c).cast("double"), digits) + F.lit(0.0) for c in cols})
 
 

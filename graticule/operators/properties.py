@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import quantiles as Q
 from ..functions.calendars import period_start
 from ..functions.units import threshold
+from ..session import by_cell
 from .definitions import Definition
 from .indices import compare
 from .selection import align, in_period, with_cell_threshold
@@ -83,7 +84,7 @@ def compute_properties(df: DataFrame, defs: Sequence[Definition], period: tuple[
     """
     if period:
         df = in_period(df, *period)
-    days = df.select(*K, "year", "month", "t", "tasmax", "tasmin", "pr").repartition("cell_id")
+    days = by_cell(df.select(*K, "year", "month", "t", "tasmax", "tasmin", "pr"))
     out = []
 
     if means := [d for d in defs if d.base == "mean"]:

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from ..functions import quantiles as Q
 from ..functions.calendars import fixed_year_length, with_civil_parts
 from ..functions.randoms import uniform
+from ..session import by_cell
 from .derive import with_dtr, with_tasmin_from_dtr
 
 
@@ -78,7 +79,7 @@ def to_series(df: DataFrame, variables: Sequence[str]) -> DataFrame:
     """Wide daily rows -> (dataset_id, calendar, cell_id, var, year, doy, t, x), hashed by cell while still wide."""
     if "dtr" in variables and "dtr" not in df.columns:
         df = with_dtr(df)
-    wide = df.select("dataset_id", "calendar", "cell_id", "year", "doy", "t", *variables).repartition("cell_id")
+    wide = by_cell(df.select("dataset_id", "calendar", "cell_id", "year", "doy", "t", *variables))
     pairs = F.array(*[F.struct(F.lit(v).alias("var"), F.col(v).cast("double").alias("x")) for v in variables])
     return (
         wide.withColumn("_p", F.explode(pairs))
@@ -118,12 +119,26 @@ def doy_window_arrays(series: DataFrame, period: tuple[int, int], window: int =
         .groupBy(*SERIES, "d")
         .agg(F.collect_list("x").alias("xs"), F.sum("x").alias("s"))
     )
+    # A day of year without a value of its own still has a window: give it an empty row.
+    order = Window.partitionBy(*SERIES).orderBy("d")
+    start = F.when(F.lag("d").over(order).isNull(), F.least("d", F.lit(1))).otherwise(F.col("d"))
+    end = F.coalesce(F.lead("d").over(order) - 1, F.greatest("d", n))
+    own = F.col("e") == F.col("d")
+    per_day = (
+        per_day.withColumns({"_start": start, "_end": end})
+        .withColumn("e", F.explode(F.sequence("_start", "_end")))
+        .select(
+            *SERIES, F.col("e").alias("d"),
+            F.when(own, F.col("xs")).otherwise(F.array().cast("array<double>")).alias("xs"),
+            F.when(own, F.col("s")).alias("s"),
+        )
+    )
     w = Window.partitionBy(*SERIES).orderBy("d").rangeBetween(-half, half)
     arrays = per_day.select(
         *SERIES, "d",
         F.collect_list("xs").over(w).alias("xss"),
-        (F.sum("s").over(w) / F.sum(F.size("xs")).over(w)).alias("mean"),
-    ).where(F.col("d").between(1, n))
+        F.try_divide(F.sum("s").over(w), F.sum(F.size("xs")).over(w)).alias("mean"),
+    ).where(F.col("d").between(1, n) & F.col("mean").isNotNull())
     return arrays.select(*SERIES, F.col("d").alias("doy"), F.sort_array(F.flatten("xss")).alias("arr"), "mean")
 
 
@@ -312,9 +327,7 @@ def with_moving_mean(series: DataFrame, window: int = 31) -> DataFrame:
 def _years_as_arrays(series: DataFrame) -> DataFrame:
     """One row per (series, doy) with parallel arrays over its years, in the order of the years."""
     lists = series.groupBy(*SERIES, "doy").agg(F.array_sort(F.collect_list(F.struct("year", "t", "m", "x"))).alias("_y"))
-    return lists.select(
-        *SERIES, "doy", *[F.transform("_y", lambda e, c=c: e[c]).alias(c) for c in ("year", "t", "m", "x")]
-    )
+    return lists.select(*SERIES, "doy", *[F.col(f"_y.{c}").alias(c) for c in ("year", "t", "m", "x")])
 
 
 def _as_rows(arrays: DataFrame, **cols: str) -> DataFrame:

@@ -143,7 +143,7 @@ def spatial_correlogram(
     ranked = average_rank(df.where(F.col(var).isNotNull()).select(*K, "t", var), var, "r", K)
     lists = ranked.groupBy(*K).agg(F.array_sort(F.collect_list(F.struct("t", "r"))).alias("_s"))
     series = (
-        lists.select(*K, F.transform("_s", lambda e: e["t"]).alias("days"), F.transform("_s", lambda e: e["r"]).alias("ranks"))
+        lists.select(*K, F.col("_s.t").alias("days"), F.col("_s.r").alias("ranks"))
         .join(cells.select("cell_id", "lat", "lon"), "cell_id")
         .withColumn("block", F.pmod(F.hash("cell_id"), F.lit(blocks)))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))

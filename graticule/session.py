@@ -51,3 +51,12 @@ def small_enough_to_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataF
     The count stops at ``max_rows + 1`` rows, so it is cheap for a table read from storage.
     """
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def by_cell(df: DataFrame) -> DataFrame:
+    """All days of a cell in one partition, for per-cell statistics.  A cell has at most one row per dataset and day.
+
+    The number of partitions is given, so that adaptive execution does not merge them by their bytes: window samples and
+    sorts make the work per byte far larger than the exchange suggests.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "cell_id")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.calendars import with_standard_calendar
 from ..functions.units import CANONICAL, convert
+from ..session import by_cell  # noqa: F401  (the other of the two layouts)
 
 VARIABLES = ("tasmax", "tasmin", "pr")
 
@@ -100,11 +101,6 @@ def to_daily(
 # --- layouts and sinks -----------------------------------------------------------------------------------------------
 
 
-def by_cell(df: DataFrame) -> DataFrame:
-    """All days of a cell in one partition, for per-cell statistics.  A cell has at most one row per dataset and day."""
-    return df.repartition("cell_id")
-
-
 def by_time(df: DataFrame) -> DataFrame:
     """All cells of a day in one partition, for regridding."""
     return df.repartition("dataset_id", "t")
