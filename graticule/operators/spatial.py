@@ -6,27 +6,44 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.geo import distance_km_np
 from ..functions.randoms import uniform
 from ..functions.units import threshold
-from ..session import cut_lineage, small_enough_to_broadcast
+from ..session import cut_lineage
 from .spells import average_rank
 
 K = ["dataset_id", "cell_id"]
 
 
+def _combine(vectors: str, coefficients: str) -> Column:
+    """Sum of the basis vectors (array per cell) times the coefficients (array per dataset)."""
+    return F.aggregate(F.zip_with(vectors, coefficients, lambda v, c: v * c), F.lit(0.0), lambda acc, v: acc + v)
+
+
+def _top_pair(projected: dict[int, list[float]]) -> tuple[float, np.ndarray]:
+    """Largest eigenvalue and its vector of the small projected matrix, given by columns."""
+    m = len(projected)
+    t = np.zeros((m, m))
+    for j, column in projected.items():
+        t[: len(column), j] = column
+    t = np.triu(t) + np.triu(t, 1).T
+    values, vectors = np.linalg.eigh(t)
+    return float(values[-1]), vectors[:, -1]
+
+
 def first_eof(
     df: DataFrame, var: str, kind: str = "+", thresh: str | float | None = None,
-    tol: float = 1e-10, max_iter: int = 300, seed: int = 42,
+    tol: float = 1e-8, max_steps: int = 60, seed: int = 42,
 ) -> DataFrame:
     """Leading spatial pattern per dataset: (dataset_id, cell_id, value), unit norm, its sum >= 0.
 
     Multiplicative variables are taken as log(max(x, thresh)).  Each cell is centred on its own mean, a missing day counts
-    as the mean.  The pattern is the leading eigenvector of the cell covariance, found by power iteration with two sums per
-    step, over cells for each day and over days for each cell; the covariance itself, quadratic in cells, is never formed.
-    The centred table stays where it is: per step only the pattern and its daily scores move.
+    as the mean.  The pattern is the leading eigenvector of the cell covariance, found by Lanczos steps: the covariance,
+    quadratic in cells, is never formed; one step is a sum over cells for each day and one over days for each cell.  The
+    centred table stays where it is, only the newest basis vector and its daily scores move.  The driver sees the few
+    projection coefficients of each dataset.  Raises if ``max_steps`` do not reach ``tol``.
     """
     x = F.col(var)
     if kind == "*":
@@ -35,36 +52,51 @@ def first_eof(
     table = cut_lineage(
         df.where(F.col(var).isNotNull()).select(*K, "t", x.alias("x")).withColumn("x", F.col("x") - own_mean)
     )
-    pattern = cut_lineage(
-        table.select(*K).distinct().withColumn("v", 1.0 + uniform(F.col("cell_id"), F.lit(0), seed))
-    )
-    for _ in range(max_iter):
-        scores = (
-            table.join(small_enough_to_broadcast(pattern), K)
-            .groupBy("dataset_id", "t").agg(F.sum(F.col("x") * F.col("v")).alias("u"))
+    spark = df.sparkSession
+
+    def numbers(frame: DataFrame, *aggs: Column) -> dict[str, tuple]:
+        """A few sums per dataset, brought to the driver."""
+        return {r[0]: tuple(r[1:]) for r in frame.groupBy("dataset_id").agg(*aggs).toLocalIterator()}
+
+    def attach(frame: DataFrame, values: dict[str, list[float]]) -> DataFrame:
+        """Join a few numbers per dataset, as the array column ``c``."""
+        rows = [(name, [float(v) for v in vs]) for name, vs in values.items()]
+        return frame.join(F.broadcast(spark.createDataFrame(rows, "dataset_id string, c array<double>")), "dataset_id")
+
+    square = F.sum(F.col("w") * F.col("w"))
+    start = table.select(*K).distinct().withColumn("w", 1.0 + uniform(F.col("cell_id"), F.lit(0), seed))
+    lengths = {name: [1.0 / math.sqrt(sq)] for name, (sq,) in numbers(start, square).items()}
+    basis = cut_lineage(attach(start, lengths).select(*K, F.array(F.col("w") * F.col("c")[0]).alias("basis")))
+    projected: dict[str, dict[int, list[float]]] = {name: {} for name in lengths}
+    for step in range(max_steps):
+        newest = basis.select(*K, F.element_at("basis", -1).alias("v"))
+        scores = cut_lineage(
+            table.join(newest, K).groupBy("dataset_id", "t").agg(F.sum(F.col("x") * F.col("v")).alias("u"))
         )
-        scores = cut_lineage(scores)
-        image = (
-            table.join(small_enough_to_broadcast(scores), ["dataset_id", "t"])
-            .groupBy(*K).agg(F.sum(F.col("x") * F.col("u")).alias("w"))
-        )
-        image = cut_lineage(image.join(pattern, K))
-        norms = image.groupBy("dataset_id").agg(
-            F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
-            (F.sum(F.col("w") * F.col("v")) / F.sqrt(F.sum(F.col("w") * F.col("w")) * F.sum(F.col("v") * F.col("v")))).alias("cos"),
-        )
-        norms = cut_lineage(norms)
-        pattern = image.join(small_enough_to_broadcast(norms), "dataset_id").select(
-            *K, F.try_divide("w", "norm").alias("v")
-        )
-        worst = norms.agg(F.min("cos")).first()[0]
-        if worst is None or 1.0 - worst < tol:
+        image = table.join(scores, ["dataset_id", "t"]).groupBy(*K).agg(F.sum(F.col("x") * F.col("u")).alias("w"))
+        state = cut_lineage(image.join(basis, K))
+        dots = F.array(*[F.sum(F.col("w") * F.col("basis")[i]) for i in range(step + 1)])
+        first = {name: h for name, (h,) in numbers(state, dots).items()}
+        state = attach(state, first).withColumn("w", F.col("w") - _combine("basis", "c")).drop("c")
+        # A second pass keeps the basis orthogonal to rounding.
+        again = numbers(state, dots, square)
+        state = attach(state, {n: h for n, (h, _) in again.items()}).withColumn("w", F.col("w") - _combine("basis", "c")).drop("c")
+        rest = {n: math.sqrt(max(0.0, sq - sum(v * v for v in h))) for n, (h, sq) in again.items()}
+        for name, h in first.items():
+            projected[name][step] = [a + b for a, b in zip(h, again[name][0])]
+        top = {name: _top_pair(columns) for name, columns in projected.items()}
+        if all(abs(vec[-1]) * rest[name] <= tol * max(value, 1e-300) for name, (value, vec) in top.items()):
             break
-    sign = F.when(F.sum("v") < 0, -1.0).otherwise(1.0)
-    signs = pattern.groupBy("dataset_id").agg(sign.alias("sign"))
-    return pattern.join(small_enough_to_broadcast(cut_lineage(signs)), "dataset_id").select(
-        *K, (F.col("v") * F.col("sign")).alias("value")
-    )
+        # A dataset whose space is exhausted goes on with a zero vector, which changes nothing.
+        scale = {n: [1.0 / v if v > 1e-12 * abs(top[n][0]) else 0.0] for n, v in rest.items()}
+        basis = cut_lineage(attach(state, scale).select(
+            *K, F.concat("basis", F.array(F.col("w") * F.col("c")[0])).alias("basis")
+        ))
+    else:
+        raise RuntimeError(f"no convergence in {max_steps} steps")
+    pattern = attach(basis, {name: list(vec) for name, (_, vec) in top.items()}).select(*K, _combine("basis", "c").alias("v"))
+    signs = {name: [-1.0 if total < 0 else 1.0] for name, (total,) in numbers(pattern, F.sum("v")).items()}
+    return attach(pattern, signs).select(*K, (F.col("v") * F.col("c")[0]).alias("value"))
 
 
 def _pair_correlations(a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -24,25 +24,32 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_BASE: list[str] = []
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder below the shared one named in ``spark.checkpoint.dir``.
 
     A machine-local folder is used only by a local master, where driver and executors share the disk.
     """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="graticule-")
+        if not _LOCAL_BASE:
+            _LOCAL_BASE.append(tempfile.mkdtemp(prefix="graticule-"))
+        base = _LOCAL_BASE[0]
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives lost executors); keeps the partitioning of ``df``."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(scratch_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Write ``df`` once to the shared folder and read it back: a short plan that survives lost executors.
+
+    The size of the written files is known to the optimizer, so it broadcasts such a table only where it is small.
+    """
+    path = scratch_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def small_enough_to_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
