@@ -79,7 +79,7 @@ def scen(df: DataFrame) -> DataFrame:
         "dataset_id": F.lit("scen"),
         "tasmax": F.col("tasmax") - shift,
         "tasmin": F.col("tasmin") - shift,
-        "pr": F.col("pr") / 1.2,
+        "pr": F.greatest(F.col("pr") - 0.5, F.lit(0.0)),
     })
 
 
@@ -109,7 +109,7 @@ nl AS (SELECT * REPLACE (year * 365 + doy - 1 AS t) FROM nl0)"""
 
 SCEN_SQL = """,
 scen AS (SELECT * REPLACE ('scen' AS dataset_id, tasmax - (2.5e0 + (cell_id % 5) * 0.25e0) AS tasmax,
-                           tasmin - (2.5e0 + (cell_id % 5) * 0.25e0) AS tasmin, pr / 1.2e0 AS pr)
+                           tasmin - (2.5e0 + (cell_id % 5) * 0.25e0) AS tasmin, greatest(pr - 0.5e0, 0e0) AS pr)
          FROM daily WHERE dataset_id = 'sim')"""
 
 
