@@ -2,7 +2,7 @@
 
 Three cases by the size of the group:
 
-* a sorted array already at hand (``of_sorted_array``),
+* a sorted array already at hand (``one_of_sorted_array``, ``of_sorted_arrays_np``),
 * bounded groups, such as one cell's days (``per_group``: built-in ``percentile``),
 * pooled groups of any size, such as all cells and days of a region (``pooled``): a mergeable sketch brackets each
   wanted rank, exact counts locate it, and only the rows inside the brackets are sorted.
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import cut_lineage, small_enough_to_broadcast
@@ -21,18 +22,16 @@ def doubles(values: Sequence[float]) -> Column:
     return F.array(*[F.lit(float(v)) for v in values])
 
 
-def of_sorted_array(arr: Column, qs: Sequence[float]) -> Column:
-    """Array of quantiles of an ascending array without NULLs; NULL for an empty array."""
-    last = F.size(arr) - 1
-
-    def one(q: Column) -> Column:
-        pos = q * last
-        lo = F.floor(pos).cast("int")
-        a = F.get(arr, lo)
-        b = F.get(arr, F.least(lo + 1, last))
-        return a + (pos - lo) * (b - a)
-
-    return F.when(last >= 0, F.transform(doubles(qs), one))
+def of_sorted_arrays_np(arrays: Sequence[np.ndarray], qs: np.ndarray) -> np.ndarray:
+    """Matrix (array, level) of quantiles of many ascending arrays at once, inside a task; NaN for an empty array."""
+    sizes = np.array([len(a) for a in arrays])
+    flat = np.concatenate([*arrays, [np.nan]])
+    first = np.concatenate([[0], np.cumsum(sizes)[:-1]])[:, None]
+    pos = qs[None, :] * np.maximum(sizes - 1, 0)[:, None]
+    low = np.floor(pos).astype(int)
+    high = np.minimum(low + 1, np.maximum(sizes - 1, 0)[:, None])
+    a, b = flat[first + low], flat[first + high]
+    return np.where(sizes[:, None] > 0, a + (pos - low) * (b - a), np.nan)
 
 
 def one_of_sorted_array(arr: Column, q: Column) -> Column:
