@@ -57,8 +57,8 @@ training AS (SELECT dataset_id, cell_id, hq.doy, var, kind, hq.q AS hist_q,
 
 
 @query("doy_windows", "WITH " + WINDOW_SQL + f"""
-SELECT dataset_id, cell_id, var, doy, COUNT(*) AS n, {r('AVG(x)')} AS mean, {r('MIN(x)')} AS lowest, {r('MAX(x)')} AS highest,
-       {r('quantile_cont(x, 0.5)')} AS median FROM win GROUP BY 1, 2, 3, 4""")
+SELECT dataset_id, cell_id, var, doy, COUNT(*) AS n, {r('AVG(x)', 6)} AS mean, {r('MIN(x)', 6)} AS lowest, {r('MAX(x)', 6)} AS highest,
+       {r('quantile_cont(x, 0.5)', 6)} AS median FROM win GROUP BY 1, 2, 3, 4""")
 def doy_windows(spark, d):
     """B1-B2: window samples after the jitter, summarised per (series, day of year)."""
     nl = X.noleap(spark, d)
@@ -70,7 +70,7 @@ def doy_windows(spark, d):
                      F.get("arr", F.lit(0)).alias("lowest"), F.element_at("arr", -1).alias("highest"),
                      B.Q.one_of_sorted_array(F.col("arr"), F.lit(0.5)).alias("median"))
         out = a if out is None else out.unionByName(a)
-    return rounded(out, ["mean", "lowest", "highest", "median"])
+    return rounded(out, ["mean", "lowest", "highest", "median"], 6)
 
 
 @query("dqm_train", "WITH " + TRAIN_SQL + f"""
@@ -118,11 +118,11 @@ withtrend AS (SELECT sims.*, trend FROM sims JOIN trend USING (cell_id, var, doy
 
 
 @query("loess_trend", "WITH " + SERIES_SQL + LOESS_SQL + f"""
-SELECT dataset_id, cell_id, var, year, doy, t, {r('m')} AS m, {r('trend')} AS trend FROM withtrend""")
+SELECT dataset_id, cell_id, var, year, doy, t, {r('m', 6)} AS m, {r('trend', 6)} AS trend FROM withtrend""")
 def loess_trend(spark, d):
     """B9-B10."""
     out = B.loess_trend(X.dataset(X.noleap(spark, d), "sim"), CONF)
-    return rounded(out.select("dataset_id", "cell_id", "var", "year", "doy", "t", "m", "trend"), ["m", "trend"])
+    return rounded(out.select("dataset_id", "cell_id", "var", "year", "doy", "t", "m", "trend"), ["m", "trend"], 6)
 
 
 ADJUST_SQL = TRAIN_SQL + LOESS_SQL + """,

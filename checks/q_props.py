@@ -76,6 +76,24 @@ _register("prop_spearman", _of("corr_btw_var"))
 _register("prop_all", CELLWISE)
 
 
+_ACF = _of("acf")[0]
+
+
+@query("lag_autocorrelation", f"WITH {DAILY_SQL}, p AS ({_prop_sql(_ACF, 'daily')}) SELECT dataset_id, cell_id, month, {r('value')} AS value FROM p")
+def lag_autocorrelation(spark, d):
+    return rounded(M.lag_autocorrelation(X.daily(spark, d), "tasmax"), ["value"])
+
+
+@query("annual_cycle_relative", f"WITH {DAILY_SQL}, p AS ({_prop_sql(_of('relative_annual_cycle_amplitude')[0], 'daily')}) SELECT dataset_id, cell_id, {r('value')} AS value FROM p")
+def annual_cycle_relative(spark, d):
+    return rounded(M.annual_cycle_amplitude(X.daily(spark, d), "pr", relative=True), ["value"])
+
+
+@query("spearman", f"WITH {DAILY_SQL}, p AS ({_prop_sql(_of('corr_btw_var')[1], 'daily')}) SELECT dataset_id, cell_id, {r('value')} AS value FROM p")
+def spearman(spark, d):
+    return rounded(V.spearman(X.daily(spark, d), "tasmax", "pr"), ["value"])
+
+
 @query("rel_freq_q99", f"""WITH {DAILY_SQL}, thr AS (SELECT cell_id, quantile_cont(pr, 0.99) AS q FROM daily WHERE dataset_id = 'ref' AND {PERIOD} GROUP BY 1)
 SELECT dataset_id, cell_id, {r('AVG(CASE WHEN pr >= q THEN 1e0 ELSE 0e0 END)')} AS value FROM daily JOIN thr USING (cell_id) GROUP BY 1, 2""")
 def rel_freq_q99(spark, d):

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.calendars import days_in_period, month_number, month_to_date, period_number
 from ..functions.units import threshold
+from ..session import cut_lineage, small_enough_to_broadcast
 from .definitions import Definition
 from .derive import with_tas
 from .spells import rolling_sum, spells
@@ -172,9 +173,10 @@ def _rolling(df: DataFrame, defs: Sequence[Definition], missing: str | float) ->
     if "2QS-OCT" in freqs:
         # Half-yearly series start with the first April: earlier months are left out, and so are the sums of that
         # April that reach back into March.
-        april = df.where(F.col("month") == 4).groupBy("dataset_id").agg(
+        # One row per dataset, written out so that its size is known and it is broadcast.
+        april = cut_lineage(df.where(F.col("month") == 4).groupBy("dataset_id").agg(
             F.min(month_number("year", "month")).alias("_first_april")
-        )
+        ))
         monthly = monthly.join(april, "dataset_id", "left")
     else:
         monthly = monthly.withColumn("_first_april", F.lit(0))
@@ -277,6 +279,6 @@ def missing_indicators(defs: Sequence[Definition], catalog: DataFrame, ids: Data
 
 def compute_missing(df: DataFrame, defs: Sequence[Definition], todo: DataFrame, missing: str | float = "any") -> DataFrame:
     """Compute what ``missing_indicators`` lists: only the datasets with a gap are read, only their gaps returned."""
-    pending = df.join(todo.select(F.col("id").alias("dataset_id")).distinct(), "dataset_id", "left_semi")
-    pairs = todo.select(F.col("id").alias("dataset_id"), "indicator").distinct()
+    pairs = small_enough_to_broadcast(cut_lineage(todo.select(F.col("id").alias("dataset_id"), "indicator").distinct()))
+    pending = df.join(pairs, "dataset_id", "left_semi")
     return compute_indicators(pending, defs, missing).join(pairs, ["dataset_id", "indicator"], "left_semi")

@@ -13,11 +13,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import quantiles as Q
 from ..functions.calendars import period_start
 from ..functions.units import threshold
-from ..session import by_cell
+from ..session import by_cell, cut_lineage
 from .definitions import Definition
 from .indices import compare
 from .selection import align, in_period, with_cell_threshold
-from .spells import KEYS, spearman, with_next_day
+from .spells import KEYS, average_rank, with_next_day
 
 K = list(KEYS)
 TIDY = ["dataset_id", "property", "cell_id", "month", "bin", "value"]
@@ -49,6 +49,21 @@ def annual_cycle_amplitude(df: DataFrame, var: str, relative: bool = False, keys
     return yearly.groupBy(*keys).agg(F.avg("v").alias("value"))
 
 
+def _lag_sums(var: str, nxt: str, tag: str) -> list[Column]:
+    x, y = F.col(var), F.col(nxt)
+    both = x.isNotNull() & y.isNotNull()
+    return [
+        F.avg(x).alias(f"m{tag}"), F.count(x).alias(f"c{tag}"), F.var_pop(x).alias(f"vp{tag}"), F.count_if(both).alias(f"np{tag}"),
+        F.sum(F.when(both, x)).alias(f"sx{tag}"), F.sum(F.when(both, y)).alias(f"sy{tag}"), F.sum(F.when(both, x * y)).alias(f"sxy{tag}"),
+    ]
+
+
+def _lag_r(tag: str) -> Column:
+    m, n = F.col(f"m{tag}"), F.col(f"np{tag}")
+    cov = F.col(f"sxy{tag}") - m * (F.col(f"sx{tag}") + F.col(f"sy{tag}")) + n * m * m
+    return F.when(n > 0, F.try_divide(cov, F.col(f"vp{tag}") * F.col(f"c{tag}")))
+
+
 def lag_autocorrelation(df: DataFrame, var: str, lag: int = 1, keys: Sequence[str] = K) -> DataFrame:
     """Per calendar month: autocorrelation of the days of each (year, month) about their mean, averaged over the years.
 
@@ -57,74 +72,93 @@ def lag_autocorrelation(df: DataFrame, var: str, lag: int = 1, keys: Sequence[st
     """
     days = df.select(*keys, "year", "month", "t", var)
     nxt = with_next_day(days, var, lag, "_n", [*keys, "year", "month"])
-    x, y = F.col(var), F.col("_n")
-    both = x.isNotNull() & y.isNotNull()
-    sums = nxt.groupBy(*keys, "year", "month").agg(
-        F.avg(x).alias("m"), F.count(x).alias("n"),
-        F.count_if(both).alias("np"),
-        F.sum(F.when(both, x)).alias("sx"), F.sum(F.when(both, y)).alias("sy"),
-        F.sum(F.when(both, x * y)).alias("sxy"), F.var_pop(x).alias("vp"),
-    )
-    m = F.col("m")
-    cov = F.col("sxy") - m * (F.col("sx") + F.col("sy")) + F.col("np") * m * m
-    return (
-        sums.withColumn("r", F.when(F.col("np") > 0, F.try_divide(cov, F.col("vp") * F.col("n"))))
-        .groupBy(*keys, "month").agg(F.avg("r").alias("value"))
-    )
-
-
-def _months_of(d: Definition) -> bool:
-    return d.params.get("group") == "time.month"
+    sums = nxt.groupBy(*keys, "year", "month").agg(*_lag_sums(var, "_n", "_"))
+    return sums.withColumn("r", _lag_r("_")).groupBy(*keys, "month").agg(F.avg("r").alias("value"))
 
 
 def compute_properties(df: DataFrame, defs: Sequence[Definition], period: tuple[int, int] | None = None) -> DataFrame:
-    """Cell-wise properties.  The days are hashed by cell once; every branch works on that one exchange.
+    """Cell-wise properties in at most two passes over the days, each with one exchange, by cell.
+
+    1. What needs all days of a cell at once (quantiles, frequencies, rank correlations): one aggregation per cell.
+    2. What is built from months and years (means, annual cycles, autocorrelation): days are folded to months, and each
+       month is counted once for its calendar month and once for its year; no branch reads the days again.
 
     Spatial properties (leading pattern, correlogram) have their own functions, see ``spatial``.
     """
     if period:
         df = in_period(df, *period)
-    days = by_cell(df.select(*K, "year", "month", "t", "tasmax", "tasmin", "pr"))
-    out = []
-
-    if means := [d for d in defs if d.base == "mean"]:
-        wide = days.groupBy(*K, "month").agg(*[F.avg(d.params["da"]).alias(d.name) for d in means])
-        out.append(_melt(wide, means, month=F.col("month")))
-
-    quantile = [d for d in defs if d.base == "quantile"]
-    freq = [d for d in defs if d.base == "relative_frequency"]
-    if quantile or freq:
-        by_var: dict[str, list[Definition]] = {}
-        for d in quantile:
-            by_var.setdefault(d.params["da"], []).append(d)
-        aggs = [F.percentile(v, [float(d.params["q"]) for d in ds]).alias(f"_q_{v}") for v, ds in by_var.items()]
-        for d in freq:
-            v = d.params["da"]
-            hit = F.when(compare(F.col(v), d.params["op"], threshold(d.params["thresh"])), 1.0).otherwise(0.0)
-            aggs.append(F.avg(F.when(F.col(v).isNotNull(), hit)).alias(d.name))
-        wide = days.groupBy(*K).agg(*aggs).withColumns({
-            d.name: F.col(f"_q_{v}")[i] for v, ds in by_var.items() for i, d in enumerate(ds)
-        })
-        out.append(_melt(wide, [*quantile, *freq]))
-
-    cycles = [d for d in defs if d.base.endswith("annual_cycle_amplitude")]
-    if cycles:
-        spans = []
-        for d in cycles:
-            v = d.params["da"]
-            span = F.max(v) - F.min(v)
-            relative = d.base.startswith("relative")
-            spans.append((F.try_divide(span * 100.0, F.avg(v)) if relative else span).alias(d.name))
-        yearly = days.groupBy(*K, "year").agg(*spans)
-        out.append(_melt(yearly.groupBy(*K).agg(*[F.avg(d.name).alias(d.name) for d in cycles]), cycles))
+    whole = [d for d in defs if d.base in ("quantile", "relative_frequency", "corr_btw_var")]
+    folded = [d for d in defs if d.base in ("mean", "acf") or d.base.endswith("annual_cycle_amplitude")]
+    unknown = [d.name for d in defs if d not in whole and d not in folded]
+    if unknown:
+        raise ValueError(f"not cell-wise properties: {unknown}")
+    out = ([_of_whole_series(df, whole)] if whole else []) + ([_of_months(df, folded)] if folded else [])
+    return reduce(DataFrame.unionByName, out)
 
+
+def _of_whole_series(df: DataFrame, defs: Sequence[Definition]) -> DataFrame:
+    variables = sorted({d.params[k] for d in defs for k in ("da", "da1", "da2") if k in d.params})
+    days = by_cell(df.select(*K, *variables))
+    aggs, levels = [], {}
+    for i, d in enumerate(defs):
+        p = d.params
+        if d.base == "quantile":
+            levels.setdefault(p["da"], []).append((d.name, float(p["q"])))
+        elif d.base == "relative_frequency":
+            v = F.col(p["da"])
+            hit = F.when(compare(v, p["op"], threshold(p["thresh"])), 1.0).otherwise(0.0)
+            aggs.append(F.avg(F.when(v.isNotNull(), hit)).alias(d.name))
+        else:
+            both = F.col(p["da1"]).isNotNull() & F.col(p["da2"]).isNotNull()
+            for side in ("da1", "da2"):
+                days = average_rank(days, p[side], f"_{side}_{i}", K, both)
+            aggs.append(F.corr(f"_da1_{i}", f"_da2_{i}").alias(d.name))
+    aggs += [F.percentile(v, [q for _, q in named]).alias(f"_q_{v}") for v, named in levels.items()]
+    wide = days.groupBy(*K).agg(*aggs).withColumns({
+        name: F.col(f"_q_{v}")[i] for v, named in levels.items() for i, (name, _) in enumerate(named)
+    })
+    return _melt(wide, defs)
+
+
+def _of_months(df: DataFrame, defs: Sequence[Definition]) -> DataFrame:
+    variables = sorted({d.params["da"] for d in defs})
+    days = by_cell(df.select(*K, "year", "month", "t", *variables))
+    aggs = []
+    for v in variables:
+        aggs += [F.sum(v).alias(f"sum_{v}"), F.count(v).alias(f"n_{v}"), F.max(v).alias(f"max_{v}"), F.min(v).alias(f"min_{v}")]
+    lagged = {(d.params["da"], int(d.params.get("lag", 1))) for d in defs if d.base == "acf"}
+    for v, lag in sorted(lagged):
+        days = with_next_day(days, v, lag, f"_next_{v}_{lag}", [*K, "year", "month"])
+        aggs += _lag_sums(v, f"_next_{v}_{lag}", f"_{v}_{lag}")
+    months = days.groupBy(*K, "year", "month").agg(*aggs)
+    months = months.withColumns({f"r_{v}_{lag}": _lag_r(f"_{v}_{lag}") for v, lag in lagged}) if lagged else months
+
+    # Every month counts for its calendar month (year NULL) and for its year (month NULL).
+    place = F.explode(F.array(
+        F.struct(F.lit(None).cast("int").alias("y"), F.col("month").alias("m")),
+        F.struct(F.col("year").alias("y"), F.lit(None).cast("int").alias("m")),
+    ))
+    spread = months.withColumn("_p", place).select("*", F.col("_p.y").alias("_y"), F.col("_p.m").alias("_m"))
+    folds = [f(f"{s}_{v}").alias(f"{s}_{v}") for v in variables for f, s in
+             ((F.sum, "sum"), (F.sum, "n"), (F.max, "max"), (F.min, "min"))]
+    folds += [F.avg(f"r_{v}_{lag}").alias(f"r_{v}_{lag}") for v, lag in lagged]
+    places = spread.groupBy(*K, "_y", "_m").agg(*folds)
+    rows = []
     for d in defs:
-        if d.base == "acf":
-            r = lag_autocorrelation(days, d.params["da"], int(d.params.get("lag", 1)))
-            out.append(tidy(r, d.name, month=F.col("month")))
-        elif d.base == "corr_btw_var":
-            out.append(tidy(spearman(days, d.params["da1"], d.params["da2"]), d.name))
-    return reduce(DataFrame.unionByName, out)
+        v = d.params["da"]
+        mean = F.try_divide(f"sum_{v}", f"n_{v}")
+        if d.base == "mean":
+            when, value = F.col("_m").isNotNull(), mean
+        elif d.base == "acf":
+            when, value = F.col("_m").isNotNull(), F.col(f"r_{v}_{int(d.params.get('lag', 1))}")
+        else:
+            span = F.col(f"max_{v}") - F.col(f"min_{v}")
+            when, value = F.col("_y").isNotNull(), F.try_divide(span * 100.0, mean) if d.base.startswith("relative") else span
+        rows.append(F.when(when, F.struct(F.lit(d.name).alias("name"), value.alias("value"))))
+    long = places.withColumn("_r", F.explode(F.array_compact(F.array(*rows))))
+    # Yearly values are averaged over the years; a monthly value is alone in its group.
+    final = long.groupBy(*K, F.col("_r.name").alias("name"), "_m").agg(F.avg("_r.value").alias("value"))
+    return tidy(final, F.col("name"), month=F.col("_m"))
 
 
 def _melt(wide: DataFrame, defs: Sequence[Definition], month: Column | None = None) -> DataFrame:
@@ -157,8 +191,11 @@ def nan_count(df: DataFrame, n_days: DataFrame, variables: Sequence[str] = ("tas
 
 
 def days_expected(df: DataFrame) -> DataFrame:
-    """Days between the first and last day of each dataset."""
-    return df.groupBy("dataset_id").agg((F.max("t") - F.min("t") + 1).alias("n_days"))
+    """Days between the first and last day of each dataset.
+
+    One row per dataset, written out: joined on the dataset alone it must be broadcast, and so its size be known.
+    """
+    return cut_lineage(df.groupBy("dataset_id").agg((F.max("t") - F.min("t") + 1).alias("n_days")))
 
 
 def resample(df: DataFrame, freq: str, aggs: dict[str, tuple[str, str]], keys: Sequence[str] = K) -> DataFrame:

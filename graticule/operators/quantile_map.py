@@ -4,10 +4,11 @@ Data flow, with one exchange per input (by ``cell_id``) and none after it:
 
 * training: daily values -> one array per day of year -> the arrays of 31 neighbouring days flattened and sorted ->
   50 quantiles and a mean for reference and simulation -> adjustment factors per (dataset, cell, variable, day of year);
-* adjustment: 31-day moving mean -> one row per day of year holding its years as arrays -> joined to the factors ->
+* adjustment: 31-day moving means -> one row per day of year holding its years as arrays -> joined to the factors ->
   an Arrow-batched kernel (LOESS trend across years, nearest-quantile lookup, recombination) -> daily rows.
 
-The three variables travel as a ``var`` key, so they share the exchanges.  Every group is bounded by the calendar: a
+The three variables share the exchanges.  The factors pass through an Arrow kernel, which forgets their partitioning, or
+through storage; they are hashed by cell once more before the adjustment, the days are not.  Every group is bounded by the calendar: a
 (dataset, cell) has at most one row per day, a day of year at most one row per year.
 
 Choices the published method leaves open, fixed here: windows stop at the ends of the period; quantiles interpolate
@@ -299,6 +300,7 @@ def _nearest(hist_q: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 def trend_kernel(first: int, n: int, f: float):
+    """years[], moving means[] -> trend[]."""
     weights = loess_weights(n, f)
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
@@ -310,88 +312,109 @@ def trend_kernel(first: int, n: int, f: float):
     return trend
 
 
-def adjust_kernel(first: int, n: int, f: float):
-    """years[], moving means[], values[], factors[], quantiles[], scaling, kind -> adjusted values[]."""
+def adjust_kernel(first: int, n: int, f: float, kind: str):
+    """years[], moving means[], values[], factors[], quantiles[], scaling -> adjusted values[]."""
     weights = loess_weights(n, f)
+    additive = kind == "+"
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def adjusted(
-        years: pd.Series, means: pd.Series, values: pd.Series,
-        af: pd.Series, hist_q: pd.Series, scaling: pd.Series, kind: pd.Series,
+        years: pd.Series, means: pd.Series, values: pd.Series, af: pd.Series, hist_q: pd.Series, scaling: pd.Series,
     ) -> pd.Series:
         m, x = _dense(years, [means, values], first, n)
         trend = _smooth(m, weights)
-        plus = (kind == "+").to_numpy()[:, None]
         with np.errstate(divide="ignore", invalid="ignore"):
-            residual = np.where(plus, x - trend, np.where(trend != 0, x / trend, np.nan))
+            residual = x - trend if additive else np.where(trend != 0, x / trend, np.nan)
+        picked = np.full(x.shape, np.nan)
+        for i, (a, q) in enumerate(zip(af, hist_q)):
+            if a is not None and q is not None:
+                q = np.asarray(q, dtype=float)
+                if not np.isnan(q).any():
+                    picked[i] = np.asarray(a, dtype=float)[_nearest(q, np.nan_to_num(residual[i]))]
+        c = scaling.to_numpy(dtype=float)[:, None]
+        y = trend + c + residual + picked if additive else trend * c * residual * picked
         out = []
-        for i, ys in enumerate(years):
-            at = np.asarray(ys) - first
-            res, level = residual[i, at], trend[i, at]
-            if af[i] is None or hist_q[i] is None:
-                out.append([None] * len(at))
-                continue
-            q, a = np.asarray(hist_q[i], dtype=float), np.asarray(af[i], dtype=float)
-            picked = a[_nearest(q, np.nan_to_num(res))] if not np.isnan(q).any() else np.full(len(res), np.nan)
-            y = level + scaling[i] + res + picked if plus[i, 0] else level * scaling[i] * res * picked
-            out.append([None if np.isnan(v) else float(v) for v in y])
+        for row, at in zip(y, years):
+            got = row[np.asarray(at) - first]
+            out.append([None if np.isnan(v) else v for v in got] if np.isnan(got).any() else got)
         return pd.Series(out)
 
     return adjusted
 
 
-def with_moving_mean(series: DataFrame, window: int = 31) -> DataFrame:
-    """Mean over the window of days around each day, in ``m``."""
-    half = window // 2
-    w = Window.partitionBy(*SERIES).orderBy("t").rangeBetween(-half, half)
-    return series.withColumn("m", F.avg("x").over(w))
+CELL = ["dataset_id", "calendar", "cell_id"]
+
 
+def _years_as_arrays(sim: DataFrame, conf: Conf) -> DataFrame:
+    """One row per (dataset, cell, doy) with parallel arrays over its years: year, t, and per variable value and moving mean.
 
-def _years_as_arrays(series: DataFrame) -> DataFrame:
-    """One row per (series, doy) with parallel arrays over its years, in the order of the years."""
-    lists = series.groupBy(*SERIES, "doy").agg(F.array_sort(F.collect_list(F.struct("year", "t", "m", "x"))).alias("_y"))
-    return lists.select(*SERIES, "doy", *[F.col(f"_y.{c}").alias(c) for c in ("year", "t", "m", "x")])
+    The variables stay side by side, so the days are sorted once and the adjusted days come out whole.
+    """
+    names = list(conf.variables)
+    if "dtr" in names and "dtr" not in sim.columns:
+        sim = with_dtr(sim)
+    sim = sim.where(F.col("year").between(*conf.target_period))
+    wide = by_cell(sim.select(*CELL, "year", "doy", "t", *[F.col(v).cast("double").alias(f"x_{v}") for v in names]))
+    half = conf.window // 2
+    w = Window.partitionBy(*CELL).orderBy("t").rangeBetween(-half, half)
+    wide = wide.withColumns({f"m_{v}": F.avg(f"x_{v}").over(w) for v in names})
+    fields = ["year", "t", *[f"{p}_{v}" for v in names for p in ("x", "m")]]
+    lists = wide.groupBy(*CELL, "doy").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("_y"))
+    return lists.select(*CELL, "doy", *[F.col(f"_y.{c}").alias(c) for c in fields])
 
 
-def _as_rows(arrays: DataFrame, **cols: str) -> DataFrame:
-    zipped = arrays.withColumn("_z", F.explode(F.arrays_zip("year", "t", *cols.values())))
-    return zipped.select(*SERIES, "_z.year", "doy", "_z.t", *[F.col(f"_z.{c}").alias(n) for n, c in cols.items()])
+def _as_rows(arrays: DataFrame, fields: Sequence[str]) -> DataFrame:
+    zipped = arrays.withColumn("_z", F.explode(F.arrays_zip("year", "t", *fields)))
+    return zipped.select(*CELL, "_z.year", "doy", "_z.t", *[F.col(f"_z.{c}").alias(c) for c in fields])
 
 
 def loess_trend(sim: DataFrame, conf: Conf) -> DataFrame:
     """(series keys, year, doy, t, x, m, trend): moving mean and its LOESS trend across the years of each day of year."""
     first, last = conf.target_period
-    series = to_series(sim.where(F.col("year").between(first, last)), list(conf.variables))
-    arrays = _years_as_arrays(with_moving_mean(series, conf.window))
+    names = list(conf.variables)
     trend = trend_kernel(first, last - first + 1, conf.loess_f)
-    return _as_rows(arrays.withColumn("trend", trend("year", "m")), x="x", m="m", trend="trend")
+    arrays = _years_as_arrays(sim, conf)
+    arrays = arrays.withColumns({f"trend_{v}": trend("year", f"m_{v}") for v in names})
+    rows = _as_rows(arrays, [f"{p}_{v}" for v in names for p in ("x", "m", "trend")])
+    long = F.array(*[F.struct(
+        F.lit(v).alias("var"), F.col(f"x_{v}").alias("x"), F.col(f"m_{v}").alias("m"), F.col(f"trend_{v}").alias("trend")
+    ) for v in names])
+    return rows.withColumn("_p", F.explode(long)).select(*CELL, "_p.var", "year", "doy", "t", "_p.x", "_p.m", "_p.trend").where(
+        F.col("x").isNotNull()
+    )
 
 
 def apply_factors(training: DataFrame, sim: DataFrame, conf: Conf) -> DataFrame:
-    """(series keys, year, doy, t, value): adjusted values of every variable, in long form."""
+    """(dataset_id, calendar, cell_id, year, doy, t, one column per variable): adjusted values.
+
+    The training table is folded to one row per (dataset, cell, doy) and hashed by cell like the simulation, so neither the
+    join nor anything after it moves the days again.
+    """
     first, last = conf.target_period
-    series = to_series(sim.where(F.col("year").between(first, last)), list(conf.variables))
-    arrays = _years_as_arrays(with_moving_mean(series, conf.window))
-    kernel = adjust_kernel(first, last - first + 1, conf.loess_f)
-    keys = [*SERIES, "doy"]
-    joined = arrays.join(training, keys, "left").withColumn("kind", _per_var(conf, lambda c: c.kind, F.lit("+")))
-    done = joined.withColumn("y", kernel("year", "m", "x", "af", "hist_q", F.coalesce("scaling", F.lit(float("nan"))), "kind"))
-    return _as_rows(done, value="y")
-
-
-def assemble(adjusted: DataFrame, variables: Sequence[str]) -> DataFrame:
-    """Long adjusted values -> wide daily rows; tasmin rebuilt from tasmax and dtr."""
-    wide = adjusted.groupBy("dataset_id", "calendar", "cell_id", "year", "doy", "t").agg(
-        *[F.max(F.when(F.col("var") == v, F.col("value"))).alias(v) for v in variables]
-    )
-    if "dtr" in variables and "tasmax" in variables:
-        wide = with_tasmin_from_dtr(wide)
-    return with_civil_parts(wide)
+    keys = [*CELL, "doy"]
+    factors_of = by_cell(training).groupBy(*keys).agg(*[
+        F.first(F.when(F.col("var") == v, F.struct("af", "hist_q", "scaling")), ignorenulls=True).alias(f"f_{v}")
+        for v in conf.variables
+    ])
+    joined = _years_as_arrays(sim, conf).join(factors_of, keys, "left")
+    out = joined.withColumns({
+        v: adjust_kernel(first, last - first + 1, conf.loess_f, vc.kind)(
+            "year", f"m_{v}", f"x_{v}", f"f_{v}.af", f"f_{v}.hist_q", F.coalesce(f"f_{v}.scaling", F.lit(float("nan")))
+        ) for v, vc in conf.variables.items()
+    })
+    return _as_rows(out, list(conf.variables))
+
+
+def assemble(adjusted: DataFrame) -> DataFrame:
+    """Adjusted values -> daily table; tasmin rebuilt from tasmax and dtr."""
+    if "dtr" in adjusted.columns and "tasmax" in adjusted.columns:
+        adjusted = with_tasmin_from_dtr(adjusted)
+    return with_civil_parts(adjusted)
 
 
 def adjust(training: DataFrame, sim: DataFrame, conf: Conf) -> DataFrame:
     """The adjusted scenario as a daily table."""
-    return assemble(apply_factors(training, sim, conf), list(conf.variables))
+    return assemble(apply_factors(training, sim, conf))
 
 
 def check_physical(df: DataFrame) -> DataFrame:

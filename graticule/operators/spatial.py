@@ -99,18 +99,27 @@ def first_eof(
     return attach(pattern, signs).select(*K, (F.col("v") * F.col("c")[0]).alias("value"))
 
 
-def _pair_correlations(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Correlation of every row of ``a`` with every row of ``b`` over the days both have (NaN = absent)."""
-    ma, mb = ~np.isnan(a), ~np.isnan(b)
-    xa = np.where(ma, a - np.nanmean(a, axis=1, keepdims=True), 0.0)
-    xb = np.where(mb, b - np.nanmean(b, axis=1, keepdims=True), 0.0)
-    ma, mb = ma.astype(float), mb.astype(float)
-    n = ma @ mb.T
-    sa, sb = xa @ mb.T, ma @ xb.T
-    cov = n * (xa @ xb.T) - sa * sb
-    va, vb = n * ((xa * xa) @ mb.T) - sa * sa, n * (ma @ (xb * xb).T) - sb * sb
+def _pair_correlations(a: np.ndarray, b: np.ndarray, days: int = 4096) -> np.ndarray:
+    """Correlation of every row of ``a`` with every row of ``b`` over the days both have (NaN = absent).
+
+    The sums add up over slices of days, so the temporaries stay small however long the series are.
+    """
+    mean_a, mean_b = np.nanmean(a, axis=1, keepdims=True), np.nanmean(b, axis=1, keepdims=True)
+    n, sa, sb, sab, saa, sbb = (np.zeros((len(a), len(b))) for _ in range(6))
+    for start in range(0, a.shape[1], days):
+        pa, pb = a[:, start:start + days], b[:, start:start + days]
+        ma, mb = ~np.isnan(pa), ~np.isnan(pb)
+        xa, xb = np.where(ma, pa - mean_a, 0.0), np.where(mb, pb - mean_b, 0.0)
+        ma, mb = ma.astype(float), mb.astype(float)
+        n += ma @ mb.T
+        sa += xa @ mb.T
+        sb += ma @ xb.T
+        sab += xa @ xb.T
+        saa += (xa * xa) @ mb.T
+        sbb += ma @ (xb * xb).T
+    va, vb = n * saa - sa * sa, n * sbb - sb * sb
     with np.errstate(divide="ignore", invalid="ignore"):
-        return np.where((n > 1) & (va > 0) & (vb > 0), cov / np.sqrt(va * vb), np.nan)
+        return np.where((n > 1) & (va > 0) & (vb > 0), (n * sab - sa * sb) / np.sqrt(va * vb), np.nan)
 
 
 def _series_matrix(days: pd.Series, ranks: pd.Series, first: int, n: int) -> np.ndarray:

@@ -69,11 +69,17 @@ def with_next_day(df: DataFrame, var: str, lag: int = 1, out: str = "_next", key
     return df.withColumn(out, F.when(F.lead("t", lag).over(w) == F.col("t") + lag, F.lead(var, lag).over(w)))
 
 
-def average_rank(df: DataFrame, var: str, out: str | None = None, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Ranks with ties averaged; NULL values get no rank.  Rank and tie count share one sort."""
-    w = Window.partitionBy(*keys, F.col(var).isNull()).orderBy(var)
+def average_rank(
+    df: DataFrame, var: str, out: str | None = None, keys: Sequence[str] = KEYS, where: Column | None = None
+) -> DataFrame:
+    """Ranks with ties averaged among the non-NULL values (that meet ``where``); the others get no rank.
+
+    Rank and tie count share one sort.
+    """
+    counted = F.col(var).isNotNull() if where is None else F.col(var).isNotNull() & where
+    w = Window.partitionBy(*keys, counted).orderBy(var)
     ties = F.count(F.lit(1)).over(w.rangeBetween(0, 0))
-    return df.withColumn(out or f"{var}_rank", F.when(F.col(var).isNotNull(), F.rank().over(w) + (ties - 1) / 2.0))
+    return df.withColumn(out or f"{var}_rank", F.when(counted, F.rank().over(w) + (ties - 1) / 2.0))
 
 
 def spearman(df: DataFrame, a: str, b: str, keys: Sequence[str] = KEYS) -> DataFrame:

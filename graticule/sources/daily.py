@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.calendars import with_standard_calendar
 from ..functions.units import CANONICAL, convert
+from ..session import small_enough_to_broadcast
 from ..session import by_cell  # noqa: F401  (the other of the two layouts)
 
 VARIABLES = ("tasmax", "tasmin", "pr")
@@ -127,7 +128,7 @@ def write_if_absent(df: DataFrame, path: str, key: Sequence[str] = ("dataset_id"
     """Append only the keys the table does not hold yet; rerunning a finished step writes nothing."""
     spark = df.sparkSession
     if exists(spark, path):
-        done = spark.read.parquet(path).select(*key).distinct()
+        done = small_enough_to_broadcast(spark.read.parquet(path).select(*key).distinct())
         df = df.join(done, list(key), "left_anti")
     df.write.mode("append").partitionBy(*key).parquet(path)
 
@@ -141,10 +142,12 @@ def _overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
     )
 
 
-def append_slices(df: DataFrame, path: str) -> None:
+def append_slices(df: DataFrame, path: str, files: int = 8) -> None:
     """Write successive time slices of indicators; a slice written twice replaces itself."""
     sliced = df.withColumn("period_year", F.year("period_start"))
-    _overwrite_partitions(sliced.repartition("indicator", "period_year"), path, ["indicator", "period_year"])
+    # A year of one indicator holds every cell of every dataset: spread it over several files.
+    spread = sliced.repartition("indicator", "period_year", F.pmod("cell_id", F.lit(files)))
+    _overwrite_partitions(spread, path, ["indicator", "period_year"])
 
 
 def replace_partition(df: DataFrame, path: str, column: str, value: str) -> None:
