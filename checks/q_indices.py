@@ -131,7 +131,7 @@ SELECT indicator, freq, cell_id, period_start, {r('CASE WHEN n >= days THEN valu
 def idx_missing_policy(spark, d):
     """Periods with missing days: NULL under ``any``, kept under a tolerance.  Cells are pooled so that some are complete."""
     df = X.daily(spark, d).groupBy(
-        F.lit("all").alias("dataset_id"), "calendar", F.expr("cell_id div 5").alias("cell_id"), "year", "month", "t"
+        F.lit("all").alias("dataset_id"), "calendar", F.expr("CAST(cell_id div 5 AS INT)").alias("cell_id"), "year", "month", "t"
     ).agg(F.avg("tasmax").alias("tasmax"), F.avg("tasmin").alias("tasmin"), F.avg("pr").alias("pr"))
     keys = ["indicator", "freq", "cell_id", "period_start"]
     strict = I.compute_indicators(df, _STRICT, "any").select(*keys, F.col("value").alias("strict"))
