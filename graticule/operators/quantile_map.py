@@ -183,8 +183,8 @@ def _rows_of(matrix: np.ndarray) -> list:
 def factor_kernel(levels: Sequence[float]):
     """Sorted window samples and their means -> factors and simulated quantiles of the anomalies.
 
-    Arrow-batched: as lambdas over 50 levels the same arithmetic is interpreted and takes twice the time of everything
-    before it.  Anomalies keep the order of the values, so their quantiles are those of the values minus, or over, the mean.
+    Arrow-batched: as lambdas over 50 levels the same arithmetic is interpreted and nearly doubles the time of training.
+    Anomalies keep the order of the values, so their quantiles are those of the values minus, or over, the mean.
     """
     qs = np.asarray(levels)
 
