@@ -2,7 +2,8 @@
 
 ``lineitem`` becomes the daily table: a supplier group is a grid cell, a ship date a day, the line status tells reference
 ('O') from simulation ('F'; 3 K warmer, drier on weak days, 20 % wetter else).  The grid has 950 x 550 places of 0.1 degrees,
-filled in blocks of 5 x 5 cells, so cells grow with the table until the grid is full.  All inputs are integers or single
+filled in blocks of 5 x 5 cells, so cells grow with the table until the grid is full (beyond 2 million suppliers several
+share a cell; their days are aggregated, none is dropped).  All inputs are integers or single
 IEEE operations on them, so both engines hold bit-identical daily values; the odd constants keep sums of them off the
 rounding borders of the comparison.
 """
@@ -99,7 +100,7 @@ dated AS (SELECT *, 'standard' AS calendar, CAST(year(date) AS INT) AS year, CAS
                  CAST(day(date) AS INT) AS day, CAST(dayofyear(date) AS INT) AS doy,
                  CAST(date_diff('day', DATE '1900-01-01', date) AS INT) AS t FROM raw),
 warm AS (SELECT *, {_TASMAX} AS tasmax FROM dated),
-daily AS (SELECT dataset_id, calendar, cell_id, year, month, day, doy, t, date, tasmax,
+daily AS MATERIALIZED (SELECT dataset_id, calendar, cell_id, year, month, day, doy, t, date, tasmax,
                  {_TASMIN} AS tasmin, {_PR} AS pr FROM warm)""")
 
 LEAP_SQL = "(year % 4 = 0 AND year % 100 <> 0 OR year % 400 = 0)"

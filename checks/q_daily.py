@@ -141,12 +141,13 @@ def align_monthly(spark, d):
 
 
 @query("unstack", f"""WITH {DAILY_SQL}, {CELLS_SQL},
-days AS (SELECT unnest(range(34698, 37255)) AS t), ids AS (SELECT unnest(['ref', 'sim']) AS dataset_id)
+ends AS (SELECT MIN(t) AS a, MAX(t) AS b FROM daily), days AS (SELECT unnest(range(a, b + 1)) AS t FROM ends), ids AS (SELECT unnest(['ref', 'sim']) AS dataset_id)
 SELECT dataset_id, cell_id, CAST(t AS INT) AS t, {r('tasmax')} AS tasmax, {r('lat')} AS lat, {r('lon')} AS lon
 FROM cells CROSS JOIN days CROSS JOIN ids LEFT JOIN (SELECT dataset_id, cell_id, t, tasmax FROM daily) USING (dataset_id, cell_id, t)""")
 def unstack(spark, d):
     values = X.daily(spark, d).select(*KEYS, "tasmax")
-    return rounded(S.unstack(values, X.cells(spark, d), ["ref", "sim"], 34698, 37254), ["tasmax", "lat", "lon"])
+    ends = values.agg(F.min("t").alias("a"), F.max("t").alias("b")).first()
+    return rounded(S.unstack(values, X.cells(spark, d), ["ref", "sim"], ends["a"], ends["b"]), ["tasmax", "lat", "lon"])
 
 
 _STATIONS = """stations AS (SELECT concat('S', CAST(c_custkey AS VARCHAR)) AS station_id,
@@ -167,10 +168,10 @@ _HAV = ("12742e0 * asin(sqrt(least(1e0, pow(sin(radians(c.lat - s.lat) / 2), 2)
 
 @query("nearest_cell", f"""WITH {CELLS_SQL}, {_STATIONS},
 d AS (SELECT station_id, cell_id, {_HAV} AS km FROM stations s CROSS JOIN cells c),
-k AS (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY km, cell_id) AS rn FROM d WHERE km <= 12)
+k AS (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY km, cell_id) AS rn FROM d)
 SELECT station_id, cell_id, {r('km')} AS distance_km FROM k WHERE rn = 1""")
 def nearest_cell(spark, d):
-    return rounded(S.nearest_cell(stations_of(spark, d), X.cells(spark, d), max_km=12.0), ["distance_km"])
+    return rounded(S.nearest_cell(stations_of(spark, d), X.cells(spark, d), first_km=12.0), ["distance_km"])
 
 
 @query("region_concat", f"""WITH {DAILY_SQL}, {CELLS_SQL},

@@ -15,12 +15,20 @@ _VARS = ("tasmax", "dtr", "pr")
 _LEVELS = "[" + ", ".join(str((2 * i + 1) / 100) for i in range(50)) + "]"
 
 
-def _uniform(a: str, b: str, seed: str, i: str = "0") -> str:
-    mixed = f"(CAST({a} AS BIGINT) * 7919 + CAST({b} AS BIGINT) * 104729 + {seed} + CAST({i} AS BIGINT) * 15485863)"
-    return f"(({mixed} % 1000003) + 1) / 1000004e0"
+def _mix(x: str) -> str:
+    return (f"list_transform([(({x}) * 1103515245 + 12345) % 2147483647], "
+            "lambda y: ((y + y // 32768) * 950706376) % 2147483647)[1]")
 
 
-SERIES_SQL = NOLEAP_SQL + ", wide AS (SELECT *, tasmax - tasmin AS dtr FROM nl),\nseries AS (" + " UNION ALL ".join(
+def _uniform(a: str, b: str, seed: str, i: str | None = None) -> str:
+    """``functions.randoms.uniform`` in SQL."""
+    state = f"CAST({seed} AS BIGINT)"
+    for key in (a, b) if i is None else (a, b, i):
+        state = _mix(f"({_mix(state)} + CAST({key} AS BIGINT)) % 2147483647")
+    return f"({state} + 1) / 2147483648e0"
+
+
+SERIES_SQL = NOLEAP_SQL + ", wide AS (SELECT *, tasmax - tasmin AS dtr FROM nl),\nseries AS MATERIALIZED (" + " UNION ALL ".join(
     f"SELECT dataset_id, cell_id, '{v}' AS var, '{B.STANDARD_VARIABLES[v].kind}' AS kind, year, doy, t, {v} AS x FROM wide" for v in _VARS
 ) + ")"
 
@@ -107,7 +115,7 @@ def factors_rows(spark, d):
 
 
 LOESS_SQL = """,
-sims AS (SELECT *, AVG(x) OVER (PARTITION BY cell_id, var ORDER BY t RANGE BETWEEN 15 PRECEDING AND 15 FOLLOWING) AS m
+sims AS MATERIALIZED (SELECT *, AVG(x) OVER (PARTITION BY cell_id, var ORDER BY t RANGE BETWEEN 15 PRECEDING AND 15 FOLLOWING) AS m
          FROM series WHERE dataset_id = 'sim'),
 years AS (SELECT unnest(range(1995, 2002)) AS y),
 dist AS (SELECT a.y AS yi, b.y AS yj, abs(a.y - b.y) AS d FROM years a CROSS JOIN years b),

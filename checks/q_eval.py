@@ -6,17 +6,16 @@ from pyspark.sql import functions as F
 
 from graticule.functions.calendars import with_standard_calendar
 from graticule.operators import evaluate as E, indices as I
-from graticule.operators.definitions import named, standard_indicators
 from graticule.session import scratch_dir
 from graticule.sources import daily as D
 
 from . import fixtures as X
 from .fixtures import DAILY_SQL
-from .q_indices import _folded_sql
+from .q_indices import FOLDED, _folded_sql
 from .q_props import CELLWISE, all_measures, measures_sql
 from .registry import pstart, query, r, rounded
 
-_IMP_DEFS = [d for d in CELLWISE if d.base in ("mean", "quantile", "relative_annual_cycle_amplitude", "relative_frequency")]
+_IMP_DEFS = CELLWISE
 _IMP = f"""{measures_sql(_IMP_DEFS)},
 pairs AS (SELECT a.property, a.cell_id, CASE WHEN a.property = 'aca_pr' THEN 1 ELSE 0 END AS c, a.value AS sim, b.value AS scen FROM meas a JOIN meas b
   ON a.property = b.property AND a.cell_id = b.cell_id AND a.month IS NOT DISTINCT FROM b.month WHERE a.dataset_id = 'sim' AND b.dataset_id = 'scen'
@@ -54,13 +53,15 @@ def imp_by_resolution(spark, d):
 
 
 @query("missing_dates", f"""WITH {DAILY_SQL}, part AS (SELECT concat(dataset_id, CAST(cell_id % 5 AS VARCHAR)) AS dataset_id, t, tasmax, tasmin, pr FROM daily),
-span AS (SELECT dataset_id, unnest(range(34698, 37255)) AS t FROM (SELECT DISTINCT dataset_id FROM part)),
+ends AS (SELECT MIN(t) AS a, MAX(t) AS b FROM part),
+span AS (SELECT dataset_id, unnest(range(a, b + 1)) AS t FROM (SELECT DISTINCT dataset_id FROM part), ends),
 gone AS (SELECT dataset_id, t FROM span WHERE (dataset_id, t) NOT IN (SELECT (dataset_id, t) FROM part GROUP BY dataset_id, t HAVING COUNT(tasmax) > 0 AND COUNT(tasmin) > 0 AND COUNT(pr) > 0)),
 isl AS (SELECT *, t - row_number() OVER (PARTITION BY dataset_id ORDER BY t) AS i FROM gone)
 SELECT dataset_id, CAST(MIN(t) AS INT) AS first_t, CAST(MAX(t) AS INT) AS last_t FROM isl GROUP BY dataset_id, i""")
 def missing_dates(spark, d):
     df = X.daily(spark, d).withColumn("dataset_id", F.concat("dataset_id", (F.col("cell_id") % 5).cast("string")))
-    spans = df.select("dataset_id").distinct().select("dataset_id", F.lit(34698).alias("first_t"), F.lit(37254).alias("last_t"))
+    ends = df.agg(F.min("t").alias("a"), F.max("t").alias("b")).first()
+    spans = df.select("dataset_id").distinct().select("dataset_id", F.lit(ends["a"]).alias("first_t"), F.lit(ends["b"]).alias("last_t"))
     return E.missing_dates(df, spans)
 
 
@@ -70,7 +71,7 @@ def change_signal(spark, d):
     return rounded(E.change_signal(X.daily(spark, d), "tasmax", X.REF_PERIOD, X.FUT_PERIOD), ["change"])
 
 
-_ENS_DEFS = named(standard_indicators(), "tx_mean_annual", "prcptot_annual")
+_ENS_DEFS = FOLDED
 _ENS = f"""{DAILY_SQL}, part AS (SELECT * REPLACE (concat(dataset_id, CAST(cell_id % 5 AS VARCHAR)) AS dataset_id) FROM daily),
 ind AS ({_folded_sql(_ENS_DEFS, 'part')}),
 y AS (SELECT dataset_id, indicator, CAST(year(period_start) AS INT) AS year, AVG(value) AS v FROM ind GROUP BY ALL),
@@ -105,16 +106,16 @@ def qq_pr_wet_days(spark, d):
     return rounded(E.qq(X.daily(spark, d), "pr", _QS, ["ref", "sim"], wet_only=True), ["ref", "sim"])
 
 
-# --- stations: the reference cells, three of four kept as stations ------------------------------------------------------
+# --- stations: every reference cell is one ------------------------------------------------------------------------------
 
 _PAIRS = f"""{DAILY_SQL}, pairs AS (SELECT a.dataset_id, concat('S', CAST(a.cell_id AS VARCHAR)) AS station_id, a.year, a.month, a.t, a.tasmax AS a, b.tasmax AS b
- FROM daily a JOIN daily b USING (cell_id, t) WHERE a.dataset_id = 'sim' AND b.dataset_id = 'ref' AND a.cell_id % 4 <> 0)"""
+ FROM daily a JOIN daily b USING (cell_id, t) WHERE a.dataset_id = 'sim' AND b.dataset_id = 'ref')"""
 
 
 def pairs(spark, d):
     df = X.daily(spark, d)
     name = F.concat(F.lit("S"), F.col("cell_id").cast("string"))
-    stations = X.dataset(df, "ref").where("cell_id % 4 <> 0").select(name.alias("station_id"), "t", "tasmax")
+    stations = X.dataset(df, "ref").select(name.alias("station_id"), "t", "tasmax")
     nearest = X.cells(spark, d).select(name.alias("station_id"), "cell_id")
     return E.paired_with_stations(X.dataset(df, "sim"), stations, nearest, "tasmax")
 
@@ -170,8 +171,8 @@ def sink_skip_done(spark, d):
     return rounded(out, ["total"], 3)
 
 
-@query("sink_slices", f"""WITH {DAILY_SQL}, ind AS ({_folded_sql(_ENS_DEFS)}) SELECT indicator, CAST(year(period_start) AS INT) AS period_year, COUNT(*) AS n,
-{r("SUM(value) + CASE WHEN indicator = 'prcptot_annual' THEN COUNT(*) ELSE 0 END", 4)} AS total FROM ind GROUP BY 1, 2""")
+@query("sink_slices", f"""WITH {DAILY_SQL}, ind AS ({_folded_sql(_ENS_DEFS)}) SELECT dataset_id, indicator, CAST(year(period_start) AS INT) AS period_year, COUNT(*) AS n,
+{r("SUM(value) + CASE WHEN indicator = 'prcptot_annual' THEN COUNT(value) ELSE 0 END", 4)} AS total FROM ind GROUP BY 1, 2, 3""")
 def sink_slices(spark, d):
     """Slices written twice stay single; one indicator is then replaced."""
     path = scratch_dir(spark)
@@ -181,9 +182,9 @@ def sink_slices(spark, d):
         D.append_slices(part, path)
     fixed = spark.read.parquet(path).where("indicator = 'prcptot_annual'").withColumn("value", F.col("value") + 1)
     again = scratch_dir(spark)
-    spark.read.parquet(path).write.partitionBy("indicator").parquet(again)
+    spark.read.parquet(path).write.partitionBy("dataset_id", "indicator").parquet(again)
     D.replace_partition(fixed, again, "indicator", "prcptot_annual")
-    out = spark.read.parquet(again).groupBy("indicator", "period_year").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+    out = spark.read.parquet(again).groupBy("dataset_id", "indicator", "period_year").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
     return rounded(out, ["total"], 4)
 
 

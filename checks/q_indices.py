@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from graticule.functions import calendars as C
 from graticule.operators import indices as I, spells as V
 from graticule.operators.definitions import define, standard_indicators
+from graticule.plans.indices import listed
 
 from . import fixtures as X
 from .fixtures import DAILY_SQL, NOLEAP_SQL
@@ -168,9 +169,9 @@ def period_max_of_rolling_sum(spark, d):
     return rounded(V.period_max_of_rolling_sum(X.daily(spark, d), "pr", 5, "AS-JUL"), ["value"])
 
 
-@query("idx_noleap_calendar", _tidy_sql(_folded_sql(FOLDED[:4], "nl"), NOLEAP_SQL))
+@query("idx_noleap_calendar", _tidy_sql(_folded_sql(FOLDED, "nl"), NOLEAP_SQL))
 def idx_noleap_calendar(spark, d):
-    return rounded(I.compute_indicators(X.noleap(spark, d), FOLDED[:4], "skip"), ["value"])
+    return rounded(I.compute_indicators(X.noleap(spark, d), FOLDED, "skip"), ["value"])
 
 
 _WANTED = ", ".join(f"('{d.name}', '{d.freq.replace('YS', 'AS-JAN')}', '{d.output}')" for d in DEFS)
@@ -187,15 +188,13 @@ def catalog_missing(spark, d):
     return out.select("id", "indicator", "xrfreq", "variable")
 
 
-@query("idx_compute_missing", _tidy_sql(_folded_sql(FOLDED[:4]) + "", DAILY_SQL).replace(
+@query("idx_compute_missing", _tidy_sql(_folded_sql(FOLDED), DAILY_SQL).replace(
     "FROM ind", "FROM ind WHERE dataset_id = 'sim' AND NOT (indicator = 'tx_mean_annual')"))
 def idx_compute_missing(spark, d):
     """I32: the catalog already lists everything for ``ref`` and one index for ``sim``."""
     df = X.daily(spark, d)
     ids = df.select(F.col("dataset_id").alias("id")).distinct()
-    todo = [x for x in FOLDED[:4]]
-    listed = F.when(F.col("id") == "ref", F.array(F.lit("tg_mean"), F.lit("tx_mean"))).otherwise(F.array(F.lit("tx_mean")))
-    annual = ids.select("id", F.lit("AS-JAN").alias("xrfreq"), listed.alias("variable"))
-    seasonal = ids.where("id = 'ref'").select("id", F.lit("QS-DEC").alias("xrfreq"), F.array(F.lit("tg_mean"), F.lit("tx_mean")).alias("variable"))
-    gaps = I.missing_indicators(todo, annual.unionByName(seasonal), ids)
-    return rounded(I.compute_missing(df, todo, gaps, "skip"), ["value"])
+    one = [x for x in FOLDED if x.name == "tx_mean_annual"]
+    have = listed(FOLDED, ids.where("id = 'ref'"), "indices").unionByName(listed(one, ids.where("id = 'sim'"), "indices"))
+    gaps = I.missing_indicators(FOLDED, have, ids)
+    return rounded(I.compute_missing(df, FOLDED, gaps, "skip"), ["value"])

@@ -115,6 +115,17 @@ def nan_count(spark, d):
     return rounded(M.nan_count(df, M.days_expected(df)), ["value"])
 
 
+@query("nan_count_all_cells", f"""WITH {DAILY_SQL}, n AS (SELECT dataset_id, MAX(t) - MIN(t) + 1 AS days FROM daily GROUP BY 1),
+c AS (SELECT CAST(s_suppkey AS INT) AS cell_id FROM supplier),
+k AS (SELECT dataset_id, cell_id, COUNT(tasmax) + COUNT(tasmin) + COUNT(pr) AS k FROM daily GROUP BY 1, 2)
+SELECT dataset_id, cell_id, {r('(3 * days - coalesce(k, 0)) / 3e0')} AS value FROM c CROSS JOIN n LEFT JOIN k USING (dataset_id, cell_id)""")
+def nan_count_all_cells(spark, d):
+    """A2: cells of the cell table without a single day count as missing on every day."""
+    df = X.daily(spark, d)
+    cells = X.read(spark, d, "supplier").select(F.col("s_suppkey").cast("int").alias("cell_id"))
+    return rounded(M.nan_count(df, M.days_expected(df), cells=cells), ["value"])
+
+
 _MONTHLY = f"""m AS (SELECT dataset_id, cell_id, {pstart('MS')} AS period_start, AVG(tasmax) AS tx, AVG(tasmin) AS tn, SUM(pr) AS pt FROM daily WHERE {PERIOD} GROUP BY ALL)"""
 _RMSE = """rm AS (SELECT s.dataset_id, s.cell_id, sqrt(AVG(pow(s.tx - f.tx, 2))) AS tx, sqrt(AVG(pow(s.tn - f.tn, 2))) AS tn, sqrt(AVG(pow(s.pt - f.pt, 2))) AS pt
 FROM m s JOIN m f USING (cell_id, period_start) WHERE s.dataset_id = 'sim' AND f.dataset_id = 'ref' GROUP BY 1, 2)"""
@@ -172,7 +183,7 @@ def summary(spark, d):
 
 
 def measures_sql(defs) -> str:
-    return f"""{DAILY_SQL}{SCEN_SQL}, src AS (SELECT * FROM daily WHERE {PERIOD} UNION ALL SELECT * FROM scen WHERE {PERIOD}), p AS ({_props_sql(defs, 'src')}),
+    return f"""{DAILY_SQL}{SCEN_SQL}, src AS MATERIALIZED (SELECT * FROM daily WHERE {PERIOD} UNION ALL SELECT * FROM scen WHERE {PERIOD}), p AS MATERIALIZED ({_props_sql(defs, 'src')}),
 meas AS (SELECT a.dataset_id, a.property, a.cell_id, a.month, a.bin,
   CASE WHEN a.property = 'aca_pr' THEN a.value / nullif(b.value, 0) ELSE a.value - b.value END AS value
   FROM p a JOIN p b ON a.property = b.property AND a.cell_id = b.cell_id AND a.month IS NOT DISTINCT FROM b.month
@@ -196,47 +207,66 @@ def average_rank(spark, d):
     return rounded(out.select("dataset_id", "cell_id", "t", "pr_rank"), ["pr_rank"])
 
 
-# --- regridding: the 5 x 5 cells of a block are the source, points between them the target ----------------------------
+# --- regridding: the source is a strip of all cells, five wide and as long as the table needs; every supplier is a target,
+# --- some of them outside
 
-_TARGET_LAT = "44.041e0 + p_partkey % 13 * 0.0373e0"
-_TARGET_LON = "-75.017e0 + p_partkey div 13 % 13 * 0.0373e0"
-_TARGETS_SQL = X.duck(f"targets AS (SELECT DISTINCT CAST(p_partkey % 169 AS INT) AS cell_id, {_TARGET_LAT} AS lat, {_TARGET_LON} AS lon FROM part)")
+_TARGET_LAT = "44.041e0 + CAST(s_suppkey * 7919 % 10007 AS DOUBLE) / 9.8e3 * (rows * 0.1e0)"
+_TARGET_LON = "-75.007e0 + CAST(s_suppkey * 53 % 211 AS DOUBLE) / 5e2"
+_ROWS_SQL = X.duck(f"(SELECT MAX({X._CELL.replace('l_suppkey', 's_suppkey')}) div 5 + 1 AS rows FROM supplier)")
+_TARGETS_SQL = f"targets AS (SELECT CAST(s_suppkey AS INT) AS cell_id, {_TARGET_LAT} AS lat, {_TARGET_LON} AS lon, rows FROM supplier, {_ROWS_SQL})"
 _WEIGHTS_SQL = _TARGETS_SQL + """,
-pos AS (SELECT cell_id AS dst_cell, (lon - -75e0) / 0.1e0 AS px, (lat - 44.05e0) / 0.1e0 AS py FROM targets),
-low AS (SELECT *, CAST(least(floor(px), 3) AS INT) AS i, CAST(least(floor(py), 3) AS INT) AS j FROM pos),
+pos AS (SELECT cell_id AS dst_cell, rows, (lon - -75e0) / 0.1e0 AS px, (lat - 44.05e0) / 0.1e0 AS py FROM targets),
+low AS (SELECT *, CAST(least(floor(px), 3) AS INT) AS i, CAST(least(floor(py), rows - 2) AS INT) AS j FROM pos),
 frac AS (SELECT *, px - i AS fx, py - j AS fy FROM low),
 corner(di, dj) AS (VALUES (0, 0), (1, 0), (0, 1), (1, 1)),
 weights AS (SELECT CAST((j + dj) * 5 + i + di AS INT) AS src_cell, dst_cell,
    (CASE WHEN di = 1 THEN fx ELSE 1 - fx END) * (CASE WHEN dj = 1 THEN fy ELSE 1 - fy END) AS w
-   FROM frac CROSS JOIN corner WHERE i >= 0 AND j >= 0 AND fx BETWEEN 0 AND 1 AND fy BETWEEN 0 AND 1)"""
-AXES = G.Axes(-75.0, 0.1, 5, 44.05, 0.1, 5)
+   FROM frac CROSS JOIN corner WHERE i >= 0 AND j >= 0 AND fx BETWEEN 0 AND 1 AND fy BETWEEN 0 AND 1
+   UNION ALL SELECT -1, dst_cell, NULL FROM frac WHERE NOT (i >= 0 AND j >= 0 AND fx BETWEEN 0 AND 1 AND fy BETWEEN 0 AND 1))"""
+_REGRID_SQL = """days AS (SELECT DISTINCT dataset_id, t FROM daily),
+mapped AS (SELECT dataset_id, dst_cell, t, w, tasmax, pr FROM daily JOIN weights ON src_cell = daily.cell_id
+  UNION ALL SELECT dataset_id, dst_cell, t, NULL, NULL, NULL FROM days CROSS JOIN weights WHERE src_cell = -1)"""
+
+
+def axes(spark, d) -> G.Axes:
+    rows = X.read(spark, d, "supplier").agg(F.expr(f"MAX({X._CELL.replace('l_suppkey', 's_suppkey')}) div 5 + 1")).first()[0]
+    return G.Axes(-75.0, 0.1, 5, 44.05, 0.1, int(rows))
 
 
 def targets(spark, d):
-    return X.read(spark, d, "part").select(
-        F.expr("CAST(p_partkey % 169 AS INT)").alias("cell_id"), F.expr(_TARGET_LAT).alias("lat"), F.expr(_TARGET_LON).alias("lon")
-    ).distinct()
+    return X.read(spark, d, "supplier").withColumn("rows", F.lit(axes(spark, d).ny)).select(
+        F.expr("CAST(s_suppkey AS INT)").alias("cell_id"), F.expr(_TARGET_LAT).alias("lat"), F.expr(_TARGET_LON).alias("lon"))
 
 
 @query("bilinear_weights", f"WITH {_WEIGHTS_SQL} SELECT src_cell, dst_cell, {r('w')} AS w FROM weights")
 def bilinear_weights(spark, d):
-    return rounded(G.bilinear_weights(AXES, targets(spark, d)), ["w"])
+    return rounded(G.bilinear_weights(axes(spark, d), targets(spark, d)), ["w"])
 
 
-@query("regrid_bilinear", f"""WITH {DAILY_SQL}, {_WEIGHTS_SQL}
+@query("regrid_bilinear", f"""WITH {DAILY_SQL}, {_WEIGHTS_SQL}, {_REGRID_SQL}
 SELECT dataset_id, dst_cell AS cell_id, t, {r('CASE WHEN COUNT(tasmax) = 4 THEN SUM(w * tasmax) END')} AS tasmax, {r('CASE WHEN COUNT(pr) = 4 THEN SUM(w * pr) END')} AS pr
-FROM daily JOIN weights ON src_cell = daily.cell_id GROUP BY 1, 2, 3""")
+FROM mapped GROUP BY 1, 2, 3""")
 def regrid_bilinear(spark, d):
-    out = G.regrid(X.daily(spark, d), G.bilinear_weights(AXES, targets(spark, d)), ["tasmax", "pr"])
+    out = G.regrid(X.daily(spark, d), G.bilinear_weights(axes(spark, d), targets(spark, d)), ["tasmax", "pr"])
     return rounded(out.select("dataset_id", "cell_id", "t", "tasmax", "pr"), ["tasmax", "pr"])
 
 
-@query("regrid_renormalised", f"""WITH {DAILY_SQL}, {_WEIGHTS_SQL}
+@query("regrid_unmapped", f"""WITH {DAILY_SQL}, {_WEIGHTS_SQL}, {_REGRID_SQL}
+SELECT dataset_id, dst_cell AS cell_id, COUNT(*) AS n FROM mapped WHERE w IS NULL GROUP BY 1, 2""")
+def regrid_unmapped(spark, d):
+    """Targets outside the source have a NULL on every day of a dataset."""
+    weights = G.bilinear_weights(axes(spark, d), targets(spark, d))
+    outside = weights.where(F.col("src_cell") == G.NOWHERE).select(F.col("dst_cell").alias("cell_id"))
+    out = G.regrid(X.daily(spark, d), weights, ["tasmax"]).join(outside, "cell_id", "left_semi")
+    return out.where("tasmax IS NULL").groupBy("dataset_id", "cell_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("regrid_renormalised", f"""WITH {DAILY_SQL}, {_WEIGHTS_SQL}, {_REGRID_SQL}
 SELECT dataset_id, dst_cell AS cell_id, t, {r('SUM(w * tasmax) / nullif(SUM(w), 0)')} AS tasmax
-FROM daily JOIN weights ON src_cell = daily.cell_id GROUP BY 1, 2, 3""")
+FROM mapped GROUP BY 1, 2, 3""")
 def regrid_renormalised(spark, d):
     """Without ``unmapped_to_null`` the present corners share the weight."""
-    out = G.regrid(X.daily(spark, d), G.bilinear_weights(AXES, targets(spark, d)), ["tasmax"], unmapped_to_null=False)
+    out = G.regrid(X.daily(spark, d), G.bilinear_weights(axes(spark, d), targets(spark, d)), ["tasmax"], unmapped_to_null=False)
     return rounded(out.select("dataset_id", "cell_id", "t", "tasmax"), ["tasmax"])
 
 
@@ -278,16 +308,31 @@ def correlation_length(spark, d):
     return rounded(Z.correlation_length(cg, 0.68), ["length_km"])
 
 
-@query("first_eof_tasmax")
+def _eof_sql(x: str, squarings: int = 14) -> str:
+    """Covariance of all cells, squared until only its leading pattern is left."""
+    steps = [f"""m{k + 1} AS MATERIALIZED (SELECT dataset_id, i, j, v / SUM(CASE WHEN i = j THEN v END) OVER (PARTITION BY dataset_id) AS v FROM
+  (SELECT a.dataset_id, a.i, b.j, SUM(a.v * b.v) AS v FROM m{k} a JOIN m{k} b ON a.dataset_id = b.dataset_id AND a.j = b.i GROUP BY ALL))"""
+             for k in range(squarings)]
+    return f"""WITH {DAILY_SQL}, x AS (SELECT dataset_id, cell_id, t, {x} AS x FROM daily),
+d AS MATERIALIZED (SELECT dataset_id, cell_id, t, x - AVG(x) OVER (PARTITION BY dataset_id, cell_id) AS x FROM x),
+c AS (SELECT a.dataset_id, a.cell_id AS i, b.cell_id AS j, SUM(a.x * b.x) AS v FROM d a JOIN d b USING (dataset_id, t) GROUP BY ALL),
+m0 AS MATERIALIZED (SELECT dataset_id, i, j, v / SUM(CASE WHEN i = j THEN v END) OVER (PARTITION BY dataset_id) AS v FROM c), {', '.join(steps)},
+top AS (SELECT dataset_id, arg_max(i, v) AS j FROM m{squarings} WHERE i = j GROUP BY 1),
+u AS (SELECT m.dataset_id, m.i AS cell_id, m.v AS w FROM m{squarings} m JOIN top USING (dataset_id, j)),
+n AS (SELECT dataset_id, sqrt(SUM(w * w)) * CASE WHEN SUM(w) < 0 THEN -1 ELSE 1 END AS s FROM u GROUP BY 1)
+SELECT dataset_id, cell_id, {r('w / s', 4)} AS value FROM u JOIN n USING (dataset_id)"""
+
+
+@query("first_eof_tasmax", _eof_sql("tasmax"))
 def first_eof_tasmax(spark, d):
-    return Z.first_eof(X.daily(spark, d), "tasmax")
+    return rounded(Z.first_eof(X.daily(spark, d), "tasmax"), ["value"], 4)
 
 
-@query("first_eof_tasmin")
+@query("first_eof_tasmin", _eof_sql("tasmin"))
 def first_eof_tasmin(spark, d):
-    return Z.first_eof(X.daily(spark, d), "tasmin")
+    return rounded(Z.first_eof(X.daily(spark, d), "tasmin"), ["value"], 4)
 
 
-@query("first_eof_pr")
+@query("first_eof_pr", _eof_sql("ln(greatest(pr, 0.1e0))"))
 def first_eof_pr(spark, d):
-    return Z.first_eof(X.daily(spark, d), "pr", "*", "0.1 mm/d")
+    return rounded(Z.first_eof(X.daily(spark, d), "pr", "*", "0.1 mm/d"), ["value"], 4)

@@ -47,6 +47,13 @@ def fixed_year_length(calendar: str | Column) -> Column:
     return F.when(cal == "360_day", 360).when(cal == "noleap", 365)
 
 
+def required_year_length(calendar: str | Column) -> Column:
+    """Days per year of a calendar whose years are all equal; any other calendar stops the query."""
+    cal = _c(calendar)
+    problem = F.raise_error(F.concat(F.lit("years of equal length are needed, not calendar "), F.coalesce(cal, F.lit("NULL"))))
+    return F.coalesce(fixed_year_length(cal), problem.cast("int"))
+
+
 def with_standard_calendar(df: DataFrame, date_col: str = "date") -> DataFrame:
     """Add the calendar columns for civil dates."""
     d = F.to_date(F.col(date_col))
@@ -82,22 +89,36 @@ def with_civil_parts(df: DataFrame) -> DataFrame:
     return df.withColumn("date", F.when(F.col("day") <= last, F.make_date("year", "month", "day")))
 
 
-def convert_calendar(df: DataFrame, to: str) -> DataFrame:
+def _only(df: DataFrame, to: str, sources: tuple[str, ...], others: str) -> tuple[DataFrame, Column]:
+    """``df`` and the condition of the rows to convert; other rows stop the query unless they are kept."""
+    fits = F.coalesce(F.col("calendar").isin(*sources), F.lit(False))
+    if others == "keep":
+        return df, fits
+    if others != "raise":
+        raise ValueError(f"others is 'raise' or 'keep', not {others!r}")
+    problem = F.raise_error(F.concat(F.lit(f"cannot convert to {to} from calendar "), F.coalesce(F.col("calendar"), F.lit("NULL"))))
+    return df.where(F.when(fits, F.lit(True)).otherwise(problem.cast("boolean"))), F.lit(True)
+
+
+def convert_calendar(df: DataFrame, to: str, others: str = "raise") -> DataFrame:
     """Drop the days the target calendar lacks and renumber the rest.  A projection and a filter: no shuffle.
 
+    Rows of a calendar that cannot be converted (360_day to another, noleap to standard) stop the query with an error;
+    with ``others="keep"`` they stay as they are, so members of several calendars go through together.
+
     ``noleap`` drops 29 February.  ``360_day`` keeps the first of the days that share ``round(360*doy/n)``, judged
     on the calendar itself, so a gap in the data does not change which days are dropped.
     """
     if to == "standard":
-        return df.where(F.col("calendar") == "standard")
+        return _only(df, to, ("standard",), others)[0]
     if to == "noleap":
-        src = df.where(F.col("calendar").isin("standard", "noleap"))
+        src, fits = _only(df, to, ("standard", "noleap"), others)
         std_leap = (F.col("calendar") == "standard") & is_leap("year")
         kept = src.where(~(std_leap & (F.col("month") == 2) & (F.col("day") == 29)))
         doy = (F.col("doy") - F.when(std_leap & (F.col("month") > 2), 1).otherwise(0)).cast("int")
         return kept.withColumn("doy", doy).withColumns({
-            "calendar": F.lit("noleap"),
-            "t": ordinal("noleap", "year", "doy").cast("int"),
+            "calendar": F.when(fits, F.lit("noleap")).otherwise(F.col("calendar")),
+            "t": F.when(fits, ordinal("noleap", "year", "doy").cast("int")).otherwise(F.col("t")),
         })
     if to == "360_day":
         n = days_in_year("calendar", "year")

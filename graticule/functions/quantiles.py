@@ -52,62 +52,60 @@ def per_group(df: DataFrame, keys: Sequence[str], var: str, qs: Sequence[float])
     ).select(*keys, F.element_at(doubles(qs), F.col("_i") + 1).alias("q"), "value")
 
 
+def _below(cuts: Column, v: Column, most: int) -> Column:
+    """How many of the ascending ``cuts`` (at most ``most``) are less than ``v``, by halving."""
+    steps = F.array(*[F.lit(2**k) for k in range(most.bit_length() - 1, -1, -1)])
+    return F.aggregate(
+        steps, F.lit(0),
+        lambda at, step: F.when((at + step <= F.size(cuts)) & (F.get(cuts, F.least(at + step, F.size(cuts)) - 1) < v), at + step).otherwise(at),
+    )
+
+
 def pooled(
-    df: DataFrame, keys: Sequence[str], var: str, qs: Sequence[float], accuracy: int = 20_000
+    df: DataFrame, keys: Sequence[str], var: str, qs: Sequence[float], most: int = 1_000_000, parts: int = 1000
 ) -> DataFrame:
     """Exact quantiles of groups of unbounded size; one row per (keys, q).
 
-    1. ``percentile_approx`` (mergeable, bounded memory) gives a bracket around each wanted rank.  Its rank error is
-       below n/accuracy and the bracket reaches 2n/accuracy to either side, so the rank lies inside or, by rounding
-       of tiny groups, one value next to it.
-    2. One partial aggregation counts the rows below each bracket and keeps the neighbours of its ends.
-    3. Only rows inside a bracket are exchanged, already combined to (value, count) on the map side, and sorted.
+    The values at the two ranks around each quantile are selected.  While a group holds more than ``most`` rows, a mergeable
+    sketch cuts it into ``parts`` intervals, one partial aggregation counts the rows of each, and only the intervals that hold a
+    wanted rank are kept, each a group of its own from then on.  Counts are exact, whatever the sketch returns.  At the end the
+    rows left, combined to (value, count) on the map side, are sorted per group, and no group is large.
     """
-    keys = list(keys)
-    qs = [float(q) for q in qs]
-    n_q = len(qs)
-    eps = 2.0 / accuracy
+    keys, qs = list(keys), [float(q) for q in qs]
     data = df.where(F.col(var).isNotNull()).select(*keys, F.col(var).cast("double").alias("_v"))
-    sketch = small_enough_to_broadcast(cut_lineage(
-        data.groupBy(*keys).agg(
-            F.percentile_approx("_v", [max(0.0, q - eps) for q in qs], accuracy).alias("_lo"),
-            F.percentile_approx("_v", [min(1.0, q + eps) for q in qs], accuracy).alias("_hi"),
-        )
-    ))
-    near = data.join(sketch, keys)
-    v = F.col("_v")
-    ends = [(F.col("_lo")[i], F.col("_hi")[i]) for i in range(n_q)]
-    totals = near.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(v < lo).alias(f"_below{i}") for i, (lo, _) in enumerate(ends)],
-        *[F.max(F.when(v < lo, v)).alias(f"_prev{i}") for i, (lo, _) in enumerate(ends)],
-        *[F.min(F.when(v > hi, v)).alias(f"_next{i}") for i, (_, hi) in enumerate(ends)],
-    ).select(
-        *keys, "_n",
-        F.posexplode(F.array(*[
-            F.struct(
-                F.lit(qs[i]).alias("q"), F.col(f"_below{i}").alias("below"),
-                F.col(f"_prev{i}").alias("prev"), F.col(f"_next{i}").alias("next"),
-            ) for i in range(n_q)
-        ])).alias("_i", "_s"),
-    ).select(*keys, "_n", "_i", "_s.*")
-    inside = (
-        near.select(*keys, "_v", F.explode(F.array_compact(F.array(*[
-            F.when(v.between(lo, hi), F.lit(i)) for i, (lo, hi) in enumerate(ends)
-        ]))).alias("_i"))
-        .groupBy(*keys, "_i", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    )
-    running = Window.partitionBy(*keys, "_i").orderBy("_v")
-    ranked = inside.withColumn("_cum", F.sum("_c").over(running)).join(totals, [*keys, "_i"])
+    levels = [(i + 1) / parts for i in range(parts - 1)]
+
+    def sketch(rows: DataFrame, groups: Sequence[str]) -> DataFrame:
+        cuts = F.percentile_approx("_v", levels, 20 * parts)
+        return cut_lineage(rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"), F.array_distinct(F.array_sort(cuts)).alias("_cuts")))
+
+    sizes = sketch(data, keys)
+    pairs = [F.array(F.floor((F.col("_n") - 1) * q), F.least(F.floor((F.col("_n") - 1) * q) + 1, F.col("_n") - 1)) for q in qs]
+    ranks = F.transform(F.array_distinct(F.flatten(F.array(*pairs))), lambda r: F.struct(r.alias("rank"), r.alias("at")))
+    groups, wanted, state = keys, sizes.select(*keys, ranks.alias("_r")), sizes
+    while state.where(F.col("_n") > most).where(F.size("_cuts") > 1).limit(1).count():
+        bounds = small_enough_to_broadcast(state.select(*groups, "_cuts"))
+        cut = data.join(bounds, groups).withColumn(f"_g{len(groups)}", _below(F.col("_cuts"), F.col("_v"), parts)).drop("_cuts")
+        narrow = [*groups, f"_g{len(groups)}"]
+        counts = cut.groupBy(*narrow).agg(F.count(F.lit(1)).alias("_n"))
+        before = Window.partitionBy(*groups).orderBy(narrow[-1]).rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.withColumn("_from", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        inside = F.transform(
+            F.filter("_r", lambda r: (r["at"] >= F.col("_from")) & (r["at"] < F.col("_from") + F.col("_n"))),
+            lambda r: F.struct(r["rank"].alias("rank"), (r["at"] - F.col("_from")).alias("at")))
+        wanted = cut_lineage(counts.join(wanted, groups).select(*narrow, inside.alias("_r")).where(F.size("_r") > 0))
+        data = cut_lineage(cut.join(small_enough_to_broadcast(wanted.select(*narrow)), narrow, "left_semi"))
+        groups, state = narrow, sketch(data, narrow)
+
+    running = Window.partitionBy(*groups).orderBy("_v")
+    ranked = data.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn("_upto", F.sum("_c").over(running))
+    hit = F.filter("_r", lambda r: (r["at"] >= F.col("_upto") - F.col("_c")) & (r["at"] < F.col("_upto")))
+    values = ranked.join(small_enough_to_broadcast(wanted), groups).select(*keys, "_v", F.explode(hit).alias("_h"))
+    found = values.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_h.rank", "_v"))).alias("_at"))
+    out = found.join(sizes.select(*keys, "_n"), keys).select(*keys, "_n", "_at", F.explode(doubles(qs)).alias("q"))
     pos = F.col("q") * (F.col("_n") - 1)
     k = F.floor(pos)
-    upto = F.col("below") + F.col("_cum")
-    picked = ranked.groupBy(*keys, "q").agg(
-        F.first("_n").alias("_n"), F.first("below").alias("below"),
-        F.first("prev").alias("prev"), F.first("next").alias("next"),
-        F.min(F.when(upto > k, v)).alias("_a"),
-        F.min(F.when(upto > F.least(k + 1, F.col("_n") - 1), v)).alias("_b"),
-    )
-    a = F.when(F.col("below") > k, F.col("prev")).otherwise(F.coalesce("_a", "next"))
-    b = F.when(F.col("below") > F.least(k + 1, F.col("_n") - 1), F.col("prev")).otherwise(F.coalesce("_b", "next", "_a"))
-    return picked.select(*keys, "q", (a + (pos - k) * (b - a)).alias("value"))
+    a, b = F.col("_at")[k], F.col("_at")[F.least(k + 1, F.col("_n") - 1)]
+    # Every wanted rank has a value: a missing one is an error, never a neighbour in its place.
+    checked = F.when(a.isNull() | b.isNull(), F.raise_error(F.lit("a rank was not found")).cast("double")).otherwise(a + (pos - k) * (b - a))
+    return out.select(*keys, "q", checked.alias("value"))

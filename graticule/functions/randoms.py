@@ -4,12 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_MODULUS = 1_000_003
+# A prime below 2^31, so that a product of two residues fits a 64-bit integer, and two multipliers below it.
+_MODULUS = 2_147_483_647
+_A, _B = 1_103_515_245, 950_706_376
+
+
+def _mix(x: Column) -> Column:
+    """One round: multiply, add the upper half to the lower, multiply again; plain 64-bit integer arithmetic."""
+    y = F.pmod(x * _A + 12345, F.lit(_MODULUS))
+    return F.pmod((y + F.floor(y / 32768).cast("long")) * _B, F.lit(_MODULUS))
 
 
 def uniform(a: Column, b: Column, seed: int, c: Column | None = None) -> Column:
-    """A number in (0, 1), both excluded, from integer columns and a seed."""
-    mixed = a.cast("long") * 7919 + b.cast("long") * 104729 + F.lit(int(seed)).cast("long")
-    if c is not None:
-        mixed = mixed + c.cast("long") * 15485863
-    return (F.pmod(mixed, F.lit(_MODULUS)) + 1) / F.lit(float(_MODULUS + 1))
+    """A number in (0, 1), both excluded, from integer columns and a seed.  Each key is mixed into what came before, so
+    neighbouring keys and neighbouring seeds give unrelated numbers."""
+    state = F.lit(int(seed)).cast("long")
+    for key in (a, b) if c is None else (a, b, c):
+        state = _mix(F.pmod(_mix(state) + F.pmod(key.cast("long"), F.lit(_MODULUS)), F.lit(_MODULUS)))
+    return (state + 1) / F.lit(float(_MODULUS + 1))
+

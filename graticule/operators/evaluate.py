@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import quantiles as Q
 from ..functions.calendars import period_start
+from ..session import small_enough_to_broadcast
 from .properties import RATIO_PROPERTIES
 from .selection import wet_days
 from .spells import moving_mean, ranges_of_days
@@ -89,15 +90,21 @@ def yearly_change(indices: DataFrame, period: tuple[int, int]) -> DataFrame:
 
 
 def ensemble_change(
-    indices: DataFrame, period: tuple[int, int], smooth_years: int = 10, qs: Sequence[float] = (0.1, 0.5, 0.9)
+    indices: DataFrame, period: tuple[int, int], smooth_years: int = 10, qs: Sequence[float] = (0.1, 0.5, 0.9),
+    members: DataFrame | None = None, by: Sequence[str] = (),
 ) -> DataFrame:
-    """Smoothed change of each member, then mean, range and quantiles across the members of each year."""
+    """Smoothed change of each member, then mean, range and quantiles across the members of each year.
+
+    ``members`` (dataset_id and the columns ``by``, such as the experiment) keeps scenarios apart.
+    """
     change = moving_mean(yearly_change(indices, period), "value", smooth_years, ("dataset_id", "indicator"), "ma")
-    stats = change.groupBy("indicator", "year").agg(
+    if members is not None:
+        change = change.join(small_enough_to_broadcast(members.select("dataset_id", *by).distinct()), "dataset_id")
+    stats = change.groupBy(*by, "indicator", "year").agg(
         F.avg("ma").alias("mean"), F.min("ma").alias("min"), F.max("ma").alias("max"),
         F.percentile("ma", [float(q) for q in qs]).alias("_p"),
     )
-    return stats.select("indicator", "year", "mean", "min", "max",
+    return stats.select(*by, "indicator", "year", "mean", "min", "max",
                         *[F.col("_p")[i].alias(f"p{round(q * 100):02d}") for i, q in enumerate(qs)])
 
 
@@ -133,7 +140,8 @@ def _score(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def paired_with_stations(grid: DataFrame, stations: DataFrame, nearest: DataFrame, var: str) -> DataFrame:
     """(dataset_id, station_id, year, month, t, a, b): grid value at the nearest cell and station value of each day."""
-    at = grid.join(nearest.select("station_id", "cell_id"), "cell_id").select(
+    near = small_enough_to_broadcast(nearest.select("station_id", "cell_id"))
+    at = grid.join(near, "cell_id").select(
         "dataset_id", "station_id", "year", "month", "t", F.col(var).alias("a")
     )
     return at.join(stations.select("station_id", "t", F.col(var).alias("b")), ["station_id", "t"])

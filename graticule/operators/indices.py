@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.calendars import days_in_period, month_number, month_to_date, period_number
+from ..functions.calendars import FREQUENCIES, days_in_period, month_number, month_to_date, period_number
 from ..functions.units import threshold
 from ..session import cut_lineage, small_enough_to_broadcast
 from .definitions import Definition
@@ -261,7 +261,31 @@ def compute_indicators(df: DataFrame, defs: Sequence[Definition], missing: str |
         branches.append(_rolling(df, rolling, missing))
     if heat := [d for d in defs if d.base in SPELLS]:
         branches.append(_heat_waves(df, heat, missing))
-    return reduce(DataFrame.unionByName, branches)
+    return _every_period(reduce(DataFrame.unionByName, branches), df, defs)
+
+
+def _every_period(out: DataFrame, df: DataFrame, defs: Sequence[Definition]) -> DataFrame:
+    """A row for every cell of a dataset and every period between the dataset's first and last month: NULL where a cell has
+    no day in a period, whatever the rule for missing days."""
+    months = month_number("year", "month")
+    april = F.min(F.when(F.col("month") == 4, months))
+    per_cell = cut_lineage(df.groupBy(*KEYS).agg(F.min(months).alias("lo"), F.max(months).alias("hi"), april.alias("april")))
+    spans = cut_lineage(per_cell.groupBy("dataset_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("april").alias("april")))
+    wanted = []
+    for d in defs:
+        # Half-yearly rolling series start with the first April.
+        first = F.col("april") if d.base == ROLLING and d.freq == "2QS-OCT" else F.col("lo")
+        lo, hi = period_number(first, d.freq), period_number("hi", d.freq)
+        numbers = F.when(lo <= hi, F.sequence(lo, hi, F.lit(FREQUENCIES[d.freq][0])))
+        wanted.append(F.struct(F.lit(d.name).alias("indicator"), F.lit(d.freq).alias("freq"), numbers.alias("numbers")))
+    every = (
+        per_cell.select("dataset_id", "cell_id").distinct().join(spans, "dataset_id")
+        .select("dataset_id", "cell_id", F.explode(F.array(*wanted)).alias("w"))
+        .select("dataset_id", "cell_id", "w.indicator", "w.freq", F.explode("w.numbers").alias("period_no"))
+        .withColumn("period_start", month_to_date("period_no")).drop("period_no")
+    )
+    keys = ["dataset_id", "indicator", "freq", "cell_id", "period_start"]
+    return every.join(out, keys, "left").select(*keys, "value")
 
 
 def missing_indicators(defs: Sequence[Definition], catalog: DataFrame, ids: DataFrame) -> DataFrame:
@@ -279,6 +303,11 @@ def missing_indicators(defs: Sequence[Definition], catalog: DataFrame, ids: Data
 
 def compute_missing(df: DataFrame, defs: Sequence[Definition], todo: DataFrame, missing: str | float = "any") -> DataFrame:
     """Compute what ``missing_indicators`` lists: only the datasets with a gap are read, only their gaps returned."""
-    pairs = small_enough_to_broadcast(cut_lineage(todo.select(F.col("id").alias("dataset_id"), "indicator").distinct()))
+    pairs = cut_lineage(todo.select(F.col("id").alias("dataset_id"), "indicator").distinct())
+    wanted = {r["indicator"] for r in pairs.select("indicator").distinct().collect()}  # names of ``defs`` at most
+    if not wanted:
+        return compute_indicators(df.limit(0), list(defs), missing)
+    pairs = small_enough_to_broadcast(pairs)
     pending = df.join(pairs, "dataset_id", "left_semi")
-    return compute_indicators(pending, defs, missing).join(pairs, ["dataset_id", "indicator"], "left_semi")
+    found = compute_indicators(pending, [d for d in defs if d.name in wanted], missing)
+    return found.join(pairs, ["dataset_id", "indicator"], "left_semi")

@@ -183,9 +183,18 @@ def measures(props: DataFrame, ref_props: DataFrame, ratios: Sequence[str] = RAT
 # --- check-up of a run -----------------------------------------------------------------------------------------------
 
 
-def nan_count(df: DataFrame, n_days: DataFrame, variables: Sequence[str] = ("tasmax", "tasmin", "pr")) -> DataFrame:
-    """Missing values per cell, averaged over the variables; days without a row count too (``n_days`` per dataset)."""
+def nan_count(
+    df: DataFrame, n_days: DataFrame, variables: Sequence[str] = ("tasmax", "tasmin", "pr"), cells: DataFrame | None = None,
+) -> DataFrame:
+    """Missing values per cell, averaged over the variables; days without a row count too (``n_days`` per dataset).
+
+    With ``cells`` every cell of that table has a row for every dataset, also a cell without any day.
+    """
     present = df.groupBy(*K).agg(*[F.count(v).alias(f"_{v}") for v in variables])
+    if cells is not None:
+        ids = F.array(*[F.lit(r["dataset_id"]) for r in n_days.select("dataset_id").collect()])  # one per dataset
+        every = cells.select("cell_id").distinct().select(F.explode(ids).alias("dataset_id"), "cell_id")
+        present = every.join(present, ["dataset_id", "cell_id"], "left").fillna(0, [f"_{v}" for v in variables])
     total = reduce(lambda a, b: a + b, [F.col("n_days") - F.col(f"_{v}") for v in variables])
     return present.join(n_days, "dataset_id").select(*K, (total / float(len(variables))).alias("value"))
 

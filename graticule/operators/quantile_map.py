@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions import quantiles as Q
-from ..functions.calendars import fixed_year_length, with_civil_parts
+from ..functions.calendars import required_year_length, with_civil_parts
 from ..functions.randoms import uniform
 from ..session import by_cell
 from .derive import with_dtr, with_tasmin_from_dtr
@@ -107,7 +107,7 @@ def doy_window_arrays(series: DataFrame, period: tuple[int, int], window: int =
     """
     half = window // 2
     first, last = period
-    n = fixed_year_length("calendar")
+    n = required_year_length("calendar")
     d = F.col("doy")
     places = F.array_compact(F.array(
         d,
@@ -392,6 +392,8 @@ def apply_factors(training: DataFrame, sim: DataFrame, conf: Conf) -> DataFrame:
     """
     first, last = conf.target_period
     keys = [*CELL, "doy"]
+    # A calendar that training refuses must not come out as rows of NULL here.
+    sim = sim.where(required_year_length("calendar").isNotNull())
     factors_of = by_cell(training).groupBy(*keys).agg(*[
         F.first(F.when(F.col("var") == v, F.struct("af", "hist_q", "scaling")), ignorenulls=True).alias(f"f_{v}")
         for v in conf.variables

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import small_enough_to_broadcast
+from ..session import cut_lineage, small_enough_to_broadcast
 
 
 class Axes(NamedTuple):
@@ -28,12 +28,17 @@ def _bracket(coord: Column, start: float, step: float, n: int) -> tuple[Column,
     return low, pos - low
 
 
+# In place of a source cell, for targets that no source cell reaches: they get NULL on every day.
+NOWHERE = -1
+
+
 def bilinear_weights(axes: Axes, cells: DataFrame) -> DataFrame:
-    """(src_cell, dst_cell, w): four rows per target inside the source grid, by arithmetic on the axes."""
+    """(src_cell, dst_cell, w): four rows per target inside the source grid, by arithmetic on the axes; one row without a
+    weight for a target outside."""
     i, fx = _bracket(F.col("lon"), axes.x0, axes.dx, axes.nx)
     j, fy = _bracket(F.col("lat"), axes.y0, axes.dy, axes.ny)
     at = cells.select(F.col("cell_id").alias("dst_cell"), i.alias("i"), fx.alias("fx"), j.alias("j"), fy.alias("fy"))
-    at = at.where((F.col("i") >= 0) & (F.col("j") >= 0) & F.col("fx").between(0, 1) & F.col("fy").between(0, 1))
+    inside = (F.col("i") >= 0) & (F.col("j") >= 0) & F.col("fx").between(0, 1) & F.col("fy").between(0, 1)
 
     def corner(di: int, dj: int) -> Column:
         wx = F.col("fx") if di else 1 - F.col("fx")
@@ -42,28 +47,53 @@ def bilinear_weights(axes: Axes, cells: DataFrame) -> DataFrame:
         return F.struct(src.cast("int").alias("src_cell"), (wx * wy).alias("w"))
 
     corners = F.array(*[corner(di, dj) for dj in (0, 1) for di in (0, 1)])
+    nowhere = F.array(F.struct(F.lit(NOWHERE).alias("src_cell"), F.lit(None).cast("double").alias("w")))
+    corners = F.when(inside, corners).otherwise(nowhere)
     return at.select("dst_cell", F.explode(corners).alias("c")).select("c.src_cell", "dst_cell", "c.w")
 
 
 def regrid(
     df: DataFrame, weights: DataFrame, variables: Sequence[str], unmapped_to_null: bool = True, corners: int = 4,
-    time_cols: Sequence[str] = ("calendar", "year", "month", "day", "doy", "date"),
+    time_cols: Sequence[str] = ("calendar", "year", "month", "day", "doy", "date"), broadcast_bytes: int = 64 << 20,
+    tile_cells: int = 4096, day_groups: int = 16,
 ) -> DataFrame:
     """Weighted sums of source cells at the target cells of ``weights``, per dataset and day.
 
-    The source rows are hashed by (dataset, day), the only exchange when the weights fit a broadcast: the weight join then
-    multiplies rows inside the partition and the sum over corners is local to it, so the fine grid is never shuffled.
-    With ``unmapped_to_null`` a target with fewer than ``corners`` present corners gets NULL.  Targets may be a full grid
-    or a list of points; a curvilinear source needs only its own weight table.
+    Only coarse rows are exchanged.  Weights of up to ``broadcast_bytes`` are broadcast: the source rows are hashed by (dataset,
+    day), the weight join multiplies rows inside the partition and the sum over corners is local to it.  Larger weights are cut
+    into tiles of ``tile_cells`` successive target cells: a coarse row is copied to the few tiles that need it, both sides are
+    hashed by (tile, group of days), and join and sum are local again.  Neighbouring targets should have neighbouring numbers.
+
+    With ``unmapped_to_null`` a target with fewer than ``corners`` present corners gets NULL, and a target outside the
+    source always does.  Targets may be a full grid or a list of points; a curvilinear source needs only its own weight table.
     """
     carried = [c for c in time_cols if c in df.columns]
-    source = df.select("dataset_id", F.col("cell_id").alias("src_cell"), "t", *carried, *variables).repartition(
-        "dataset_id", "t"
-    )
-    spread = source.join(small_enough_to_broadcast(weights), "src_cell")
-    sums = spread.groupBy("dataset_id", "t", *carried, F.col("dst_cell").alias("cell_id")).agg(*[
+    source = df.select("dataset_id", F.col("cell_id").alias("src_cell"), "t", *carried, *variables)
+    sized = small_enough_to_broadcast(weights, broadcast_bytes)
+    if sized is not weights:
+        spread = _with_nowhere(source.repartition("dataset_id", "t"), carried, variables).join(sized, "src_cell")
+        keys = []
+    else:
+        keys = ["_tile", "_days"]
+        tiled = cut_lineage(weights.withColumn("_tile", F.floor(F.col("dst_cell") / tile_cells).cast("int")))
+        needed = small_enough_to_broadcast(cut_lineage(tiled.select("src_cell", "_tile").distinct()))
+        n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), tiled.select("_tile").distinct().count() * day_groups)
+        groups = F.explode(F.sequence(F.lit(0), F.lit(day_groups - 1)))
+        rows = _with_nowhere(source, carried, variables).join(needed, "src_cell").withColumn("_days", F.pmod("t", F.lit(day_groups)))
+        spread = rows.repartition(n, *keys).join(tiled.withColumn("_days", groups).repartition(n, *keys), [*keys, "src_cell"])
+    sums = spread.groupBy("dataset_id", "t", *carried, F.col("dst_cell").alias("cell_id"), *keys).agg(*[
         F.when(F.count(v) == corners, F.sum(F.col("w") * F.col(v))).alias(v) if unmapped_to_null
         else (F.sum(F.col("w") * F.col(v)) / F.sum(F.when(F.col(v).isNotNull(), F.col("w")))).alias(v)
         for v in variables
     ])
-    return sums
+    return sums.drop(*keys)
+
+
+def _with_nowhere(source: DataFrame, carried: Sequence[str], variables: Sequence[str]) -> DataFrame:
+    """One row of each day also stands for "nowhere", so that targets outside the source get a row a day."""
+    day = Window.partitionBy("dataset_id", "t").orderBy("src_cell")
+    own = F.struct("src_cell", *variables)
+    empty = [F.lit(None).cast(source.schema[v].dataType).alias(v) for v in variables]
+    nowhere = F.struct(F.lit(NOWHERE).alias("src_cell"), *empty)
+    both = F.when(F.row_number().over(day) == 1, F.array(own, nowhere)).otherwise(F.array(own))
+    return source.withColumn("_s", both).select("dataset_id", "t", *carried, F.explode("_s").alias("_s")).select("dataset_id", "t", *carried, "_s.*")

@@ -35,7 +35,7 @@ def _top_pair(projected: dict[int, list[float]]) -> tuple[float, np.ndarray]:
 
 def first_eof(
     df: DataFrame, var: str, kind: str = "+", thresh: str | float | None = None,
-    tol: float = 1e-8, max_steps: int = 60, seed: int = 42,
+    tol: float = 1e-8, max_steps: int = 24, seed: int = 42, max_restarts: int = 40,
 ) -> DataFrame:
     """Leading spatial pattern per dataset: (dataset_id, cell_id, value), unit norm, its sum >= 0.
 
@@ -43,7 +43,8 @@ def first_eof(
     as the mean.  The pattern is the leading eigenvector of the cell covariance, found by Lanczos steps: the covariance,
     quadratic in cells, is never formed; one step is a sum over cells for each day and one over days for each cell.  The
     centred table stays where it is, only the newest basis vector and its daily scores move.  The driver sees the few
-    projection coefficients of each dataset.  Raises if ``max_steps`` do not reach ``tol``.
+    projection coefficients of each dataset.  If ``max_steps`` do not reach ``tol`` the steps start anew from the best pattern so
+    far; raises only after ``max_restarts`` of that.
     """
     x = F.col(var)
     if kind == "*":
@@ -68,7 +69,14 @@ def first_eof(
     lengths = {name: [1.0 / math.sqrt(sq)] for name, (sq,) in numbers(start, square).items()}
     basis = cut_lineage(attach(start, lengths).select(*K, F.array(F.col("w") * F.col("c")[0]).alias("basis")))
     projected: dict[str, dict[int, list[float]]] = {name: {} for name in lengths}
-    for step in range(max_steps):
+    for total_steps in range(max_steps * (max_restarts + 1)):
+        step = total_steps % max_steps
+        if total_steps and not step:
+            best = attach(basis, {name: list(vec) for name, (_, vec) in top.items()}).select(*K, _combine("basis", "c").alias("w"))
+            best = cut_lineage(best)
+            norms = {name: [1.0 / math.sqrt(sq)] for name, (sq,) in numbers(best, square).items()}
+            basis = cut_lineage(attach(best, norms).select(*K, F.array(F.col("w") * F.col("c")[0]).alias("basis")))
+            projected = {name: {} for name in lengths}
         newest = basis.select(*K, F.element_at("basis", -1).alias("v"))
         scores = cut_lineage(
             table.join(newest, K).groupBy("dataset_id", "t").agg(F.sum(F.col("x") * F.col("v")).alias("u"))
@@ -87,13 +95,15 @@ def first_eof(
         top = {name: _top_pair(columns) for name, columns in projected.items()}
         if all(abs(vec[-1]) * rest[name] <= tol * max(value, 1e-300) for name, (value, vec) in top.items()):
             break
+        if step == max_steps - 1:
+            continue
         # A dataset whose space is exhausted goes on with a zero vector, which changes nothing.
         scale = {n: [1.0 / v if v > 1e-12 * abs(top[n][0]) else 0.0] for n, v in rest.items()}
         basis = cut_lineage(attach(state, scale).select(
             *K, F.concat("basis", F.array(F.col("w") * F.col("c")[0])).alias("basis")
         ))
     else:
-        raise RuntimeError(f"no convergence in {max_steps} steps")
+        raise RuntimeError(f"no convergence after {max_restarts} restarts of {max_steps} steps")
     pattern = attach(basis, {name: list(vec) for name, (_, vec) in top.items()}).select(*K, _combine("basis", "c").alias("v"))
     signs = {name: [-1.0 if total < 0 else 1.0] for name, (total,) in numbers(pattern, F.sum("v")).items()}
     return attach(pattern, signs).select(*K, (F.col("v") * F.col("c")[0]).alias("value"))

@@ -1,18 +1,23 @@
-"""From a raw simulation to an adjusted, checked scenario.
+"""From a raw simulation to an adjusted, checked, stored scenario.
 
 Four tables are written, each read by more than one later step: the reference, the regridded simulation, the factors and
-the scenario.  Every step appends only the datasets its table lacks, so a broken run is continued by running it again.
+the scenario, and at the end the final store.  A step knows from a small table beside its output which datasets it has
+finished under the present settings.  It filters its inputs to the others before the plan is built, replaces their partitions
+and then marks them; so a broken run is continued by running it again, a finished one reads no days, and changed settings
+make everything anew.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.calendars import convert_calendar
+from ..functions.calendars import convert_calendar, fixed_year_length
 from ..operators import properties as M, quantile_map as B, regrid as G, selection as S
-from ..session import small_enough_to_broadcast
+from ..session import cut_lineage
 from ..sources import daily as D
 
 
@@ -28,40 +33,85 @@ class Store:
         return f"{self.root.rstrip('/')}/{name}"
 
 
-def _append_new(df: DataFrame, path: str) -> DataFrame:
-    """Append the datasets the table lacks, partitioned by dataset, and return the stored table."""
-    spark = df.sparkSession
-    if D.exists(spark, path):
-        done = small_enough_to_broadcast(spark.read.parquet(path).select("dataset_id").distinct())
-        df = df.join(done, "dataset_id", "left_anti")
-    D.write_table(df, path, "a", ["dataset_id"])
-    return spark.read.parquet(path)
+def settings_key(*settings: object) -> str:
+    """A short name for the settings of a step."""
+    return hashlib.sha256(repr(settings).encode()).hexdigest()[:16]
 
 
-def make_reference(ref: DataFrame, cells: DataFrame, box: S.Box, store: Store) -> DataFrame:
+def finished(spark: SparkSession, path: str, key: str) -> set[str]:
+    """Datasets of the table at ``path`` whose latest completion was under the settings ``key``."""
+    latest = {r["dataset_id"]: r["key"] for r in sorted(_marks(spark, path), key=lambda r: r["n"])}
+    return {i for i, k in latest.items() if k == key}
+
+
+def _marks(spark: SparkSession, path: str) -> list:
+    """All completions of the table at ``path``, a few rows per dataset."""
+    marks = f"{path}_done"
+    return spark.read.schema("dataset_id string, key string, n long").parquet(marks).collect() if D.exists(spark, marks) else []
+
+
+def fill(
+    spark: SparkSession, path: str, key: str, ids: Sequence[str], build: Callable[[list[str]], DataFrame],
+    partition_by: Sequence[str] = ("dataset_id",),
+) -> list[str]:
+    """Write the datasets of ``ids`` that the table lacks, made by ``build`` from their ids, and return those."""
+    done = finished(spark, path, key)
+    todo = [i for i in ids if i not in done]
+    if todo:
+        D.replace_datasets(build(todo), path, partition_by)
+        number = len(_marks(spark, path))
+        marks = spark.createDataFrame([(i, key, number) for i in todo], "dataset_id string, key string, n long")
+        marks.coalesce(1).write.mode("append").parquet(f"{path}_done")
+    return todo
+
+
+def checked(df: DataFrame) -> DataFrame:
+    """Every window rests on one row per day: raise if a cell has two on one."""
+    if not S.duplicate_keys(df).isEmpty():
+        raise ValueError("the data are labelled daily, but some days have more than one record")
+    return df
+
+
+def _of(df: DataFrame, ids: Sequence[str]) -> DataFrame:
+    return df.where(F.col("dataset_id").isin(list(ids)))
+
+
+def make_reference(ref: DataFrame, cells: DataFrame, box: S.Box, store: Store, name: str = "reference") -> DataFrame:
     """Cut the reference to the box and its land cells, and store it in the two calendars of the simulations."""
     spark = ref.sparkSession
-    if not D.exists(spark, store.reference):
-        cut = S.in_bbox(ref, cells, box)
+
+    def build(_: list[str]) -> DataFrame:
+        cut = S.in_bbox(checked(ref), cells, box)
         first_t = cut.agg(F.min("t")).first()[0]
         land = S.on_cells(cut, S.land_cells(cut, first_t))
-        both = convert_calendar(land, "noleap").unionByName(convert_calendar(land, "360_day"))
-        D.write_table(both, store.reference, "f", ["calendar"])
+        return convert_calendar(land, "noleap").unionByName(convert_calendar(land, "360_day"))
+
+    fill(spark, store.reference, settings_key(box, name), [name], build, ["calendar"])
     return D.canonical(spark.read.parquet(store.reference), {})
 
 
-def regrid_simulation(sim: DataFrame, weights: DataFrame, store: Store) -> DataFrame:
-    """Interpolate to the reference cells; standard calendars lose 29 February."""
-    fine = G.regrid(sim, weights, D.VARIABLES)
-    is_standard = F.col("calendar") == "standard"
-    same = fine.where(~is_standard)
-    noleap = convert_calendar(fine.where(is_standard), "noleap")
-    return D.canonical(_append_new(same.unionByName(noleap), store.regridded), {})
+def regrid_simulation(sim: DataFrame, weights: DataFrame, store: Store, ids: Sequence[str], key: str = "") -> DataFrame:
+    """Interpolate to the reference cells; standard calendars lose 29 February.  The coarse days are checked first."""
+    spark = sim.sparkSession
+
+    def build(todo: list[str]) -> DataFrame:
+        fine = G.regrid(checked(_of(sim, todo)), weights, D.VARIABLES)
+        return convert_calendar(fine, "noleap", others="keep")
+
+    fill(spark, store.regridded, settings_key("regrid", key), ids, build)
+    return D.canonical(spark.read.parquet(store.regridded), {})
 
 
-def train_and_adjust(ref: DataFrame, sim: DataFrame, conf: B.Conf, store: Store) -> DataFrame:
-    training = _append_new(B.train(ref, S.in_period(sim, *conf.reference_period), conf), store.training)
-    return D.canonical(_append_new(B.adjust(training, sim, conf), store.scenario), {})
+def train_and_adjust(
+    ref: DataFrame, sim: DataFrame, conf: B.Conf, store: Store, ids: Sequence[str], key: str = "",
+) -> tuple[DataFrame, list[str]]:
+    """The scenario of all ``ids``, and those made just now."""
+    spark, own = sim.sparkSession, settings_key(conf, key)
+    fill(spark, store.training, own, ids, lambda todo: B.train(ref, S.in_period(_of(sim, todo), *conf.reference_period), conf))
+    made = fill(
+        spark, store.scenario, own, ids,
+        lambda todo: B.adjust(_of(spark.read.parquet(store.training), todo), _of(sim, todo), conf))
+    return D.canonical(spark.read.parquet(store.scenario), {}), made
 
 
 def check(ref: DataFrame, sim: DataFrame, scen: DataFrame, conf: B.Conf, future: tuple[int, int], store: Store) -> DataFrame:
@@ -75,18 +125,54 @@ def check(ref: DataFrame, sim: DataFrame, scen: DataFrame, conf: B.Conf, future:
         M.checkup(df, one, conf.reference_period, future).withColumn("step", F.lit(step))
         for step, df in (("sim", sim), ("scen", scen))
     ]
-    sides[0].unionByName(sides[1]).write.mode("overwrite").partitionBy("step").parquet(store.checkup)
+    D.replace_datasets(sides[0].unionByName(sides[1]), store.checkup, ["dataset_id", "step"])
     return ref.sparkSession.read.parquet(store.checkup)
 
 
+def finish(scen: DataFrame, cells: DataFrame, conf: B.Conf, store: Store, ids: Sequence[str], key: str, **notes: str) -> DataFrame:
+    """The final store: a row for every land cell and day of the target period, attributes, tiles of cells and years."""
+    spark = scen.sparkSession
+    first, last = conf.target_period
+
+    def build(todo: list[str]) -> DataFrame:
+        rows = _of(scen, todo)
+        grid = cut_lineage(rows.select("dataset_id", "calendar", "cell_id").distinct())
+        length = fixed_year_length("calendar")
+        days = F.explode(F.sequence((first * length).cast("int"), ((last + 1) * length - 1).cast("int")))
+        dense = grid.withColumn("t", days).join(rows.select("dataset_id", "cell_id", "t", *D.VARIABLES), ["dataset_id", "cell_id", "t"], "left")
+        dense = dense.withColumns({"year": F.floor(F.col("t") / length).cast("int"), "doy": (F.col("t") % length + 1).cast("int")})
+        return D.stamp_metadata(D.final_rows(dense, cells), D.FINAL_ATTRS, D.FINAL_ATTR_NAMES, **notes)
+
+    fill(spark, store.final, settings_key(conf, key, notes), ids, build, ["dataset_id", "year4"])
+    return spark.read.parquet(store.final)
+
+
 def produce(
     spark: SparkSession, ref: DataFrame, sim: DataFrame, cells: DataFrame, weights: DataFrame, box: S.Box, conf: B.Conf,
-    future: tuple[int, int], root: str,
+    future: tuple[int, int], root: str, ids: Sequence[str] | None = None,
 ) -> DataFrame:
-    """All steps for every dataset of ``sim``; returns the scenario."""
+    """All steps for the datasets ``ids`` of ``sim``, by default all; returns the scenario.
+
+    With ``ids``, known from the catalog, a second call reads no daily rows.
+    """
     store = Store(root)
+    if ids is None:
+        ids = sorted(r["dataset_id"] for r in sim.select("dataset_id").distinct().collect())
     reference = make_reference(ref, cells, box, store)
-    regridded = regrid_simulation(sim, weights, store)
-    scen = train_and_adjust(reference, regridded, conf, store)
-    check(reference, regridded, scen, conf, future, store)
+    regridded = regrid_simulation(sim, weights, store, ids, repr(box))
+    scen, made = train_and_adjust(reference, regridded, conf, store, ids, repr(box))
+    if made:
+        check(reference, _of(regridded, made), _of(scen, made), conf, future, store)
+    finish(scen, cells, conf, store, ids, repr((box, future)))
     return scen
+
+
+def from_catalog(
+    spark: SparkSession, catalog: DataFrame, facets: dict, units: dict[str, str] | None = None,
+) -> tuple[DataFrame, list[str]]:
+    """Search members, add the historical years of each, open their daily tables: the rows and the ids of the members."""
+    from ..sources import catalog as T
+
+    chosen = T.pair_hist_future(T.search(catalog, **facets))
+    ids = sorted(r["id"] for r in chosen.select("id").distinct().collect())
+    return D.load_selected(spark, chosen, units), ids

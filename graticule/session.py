@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -24,21 +23,13 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_LOCAL_BASE: list[str] = []
-
-
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder below the shared one named in ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only by a local master, where driver and executors share the disk.
+    Where that is not set, the warehouse folder, which driver and executors share too, takes its place.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        if not _LOCAL_BASE:
-            _LOCAL_BASE.append(tempfile.mkdtemp(prefix="graticule-"))
-        base = _LOCAL_BASE[0]
+    base = base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
@@ -52,18 +43,34 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_enough_to_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Mark a dimension table for broadcast after counting it; beyond ``max_rows`` it is left to a shuffled join.
+def _row_bytes(df: DataFrame) -> int:
+    """Bytes of a row in memory, strings and lists taken as 64."""
+    wide = {"string": 64, "binary": 64}
+    return 16 + sum(64 if "<" in kind else wide.get(kind, 8) for _, kind in df.dtypes)
+
 
-    The count stops at ``max_rows + 1`` rows, so it is cheap for a table read from storage.
+def small_enough_to_broadcast(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
+    """Mark a dimension table for broadcast after counting it; beyond ``max_bytes`` it is left to a shuffled join.
+
+    The count stops past the limit, so it is cheap for a table read from storage.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    most = max_bytes // _row_bytes(df)
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def _input_bytes(df: DataFrame) -> int:
+    """Size of all tables a plan reads, as the optimizer knows it without a job."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(s for s in sizes if s < 1 << 60)
 
 
-def by_cell(df: DataFrame) -> DataFrame:
+def by_cell(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """All days of a cell in one partition, for per-cell statistics.  A cell has at most one row per dataset and day.
 
     The number of partitions is given, so that adaptive execution does not merge them by their bytes: window samples and
-    sorts make the work per byte far larger than the exchange suggests.
+    sorts make the work per byte far larger than the exchange suggests.  It follows the size of the input, with the
+    session's shuffle partitions as the least.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "cell_id")
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, partitions or -(-_input_bytes(df) // (64 << 20))), "cell_id")

@@ -108,7 +108,9 @@ def by_time(df: DataFrame) -> DataFrame:
 
 
 def as_stored(df: DataFrame, variables: Sequence[str] = VARIABLES) -> DataFrame:
-    return df.withColumns({v: F.col(v).cast("float") for v in variables if v in df.columns})
+    # A column that is float already keeps its attributes.
+    kinds = dict(df.dtypes)
+    return df.withColumns({v: F.col(v).cast("float") for v in variables if kinds.get(v, "float") != "float"})
 
 
 _MODES = {"f": "errorifexists", "o": "overwrite", "a": "append"}
@@ -142,17 +144,22 @@ def _overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
     )
 
 
+def replace_datasets(df: DataFrame, path: str, partition_by: Sequence[str] = ("dataset_id",)) -> None:
+    """Write the partitions ``df`` has rows for, as float32, in place of what they held; others stay."""
+    _overwrite_partitions(as_stored(df), path, partition_by)
+
+
 def append_slices(df: DataFrame, path: str, files: int = 8) -> None:
-    """Write successive time slices of indicators; a slice written twice replaces itself."""
+    """Write successive time slices of indicators; a slice of a dataset written twice replaces itself and nothing else."""
     sliced = df.withColumn("period_year", F.year("period_start"))
-    # A year of one indicator holds every cell of every dataset: spread it over several files.
-    spread = sliced.repartition("indicator", "period_year", F.pmod("cell_id", F.lit(files)))
-    _overwrite_partitions(spread, path, ["indicator", "period_year"])
+    # A year of one indicator holds every cell of a dataset: spread it over several files.
+    spread = sliced.repartition("dataset_id", "indicator", "period_year", F.pmod("cell_id", F.lit(files)))
+    _overwrite_partitions(spread, path, ["dataset_id", "indicator", "period_year"])
 
 
 def replace_partition(df: DataFrame, path: str, column: str, value: str) -> None:
-    """Replace one variable of an existing output and leave the others as they are."""
-    _overwrite_partitions(df.where(F.col(column) == value), path, [column])
+    """Replace one variable of an output partitioned by (dataset_id, ``column``), for the datasets of ``df`` alone."""
+    _overwrite_partitions(df.where(F.col(column) == value), path, ["dataset_id", column])
 
 
 def final_layout(df: DataFrame, cells: DataFrame, block: int = 50, years: int = 4, step: float = 0.1) -> DataFrame:
@@ -163,19 +170,18 @@ def final_layout(df: DataFrame, cells: DataFrame, block: int = 50, years: int =
         F.floor(F.col("lon") / (block * step)).cast("int"),
     )
     tiles = cells.select("cell_id", tile.alias("block"))
-    return df.join(tiles, "cell_id").withColumn("year4", (F.col("year") - F.pmod(F.col("year"), F.lit(years))).cast("int"))
+    return df.join(small_enough_to_broadcast(tiles), "cell_id").withColumn("year4", (F.col("year") - F.pmod(F.col("year"), F.lit(years))).cast("int"))
+
+
+def final_rows(df: DataFrame, cells: DataFrame) -> DataFrame:
+    """Rows in the order of the final store: one task per tile and 4-year slice, a cell's days together."""
+    laid = final_layout(as_stored(df), cells)
+    return laid.repartition("dataset_id", "block", "year4").sortWithinPartitions("dataset_id", "year4", "block", "cell_id", "t")
 
 
 def write_final(df: DataFrame, cells: DataFrame, path: str, mode: str = "f") -> None:
     """Final store: one file per tile and 4-year slice, sorted so that a cell's days lie together."""
-    laid = final_layout(as_stored(df), cells)
-    (
-        laid.repartition("dataset_id", "block", "year4")
-        .sortWithinPartitions("dataset_id", "year4", "block", "cell_id", "t")
-        .write.mode(_MODES[mode])
-        .partitionBy("dataset_id", "year4")
-        .parquet(path)
-    )
+    final_rows(df, cells).write.mode(_MODES[mode]).partitionBy("dataset_id", "year4").parquet(path)
 
 
 def stamp_metadata(df: DataFrame, attrs: dict[str, dict[str, str]], keep: Sequence[str], **fmt: str) -> DataFrame:

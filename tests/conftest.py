@@ -11,7 +11,7 @@ def spark(tmp_path_factory):
     from checks.compare import session
     from graticule.session import tune
 
-    s = session(4)
+    s = session(4, str(tmp_path_factory.mktemp("shared")))
     s.sparkContext.setLogLevel("ERROR")
     yield tune(s)
     s.stop()

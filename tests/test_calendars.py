@@ -35,6 +35,16 @@ def test_360_day_drops_evenly_spaced_days(days, year, dropped):
     assert [r.date.strftime("%m-%d") for r in gone.collect()] == dropped
 
 
+def test_other_calendars_raise_or_stay(days):
+    days360 = C.convert_calendar(days, "360_day")
+    for to in ("noleap", "standard"):
+        with pytest.raises(Exception, match="cannot convert"):
+            C.convert_calendar(days360, to).count()
+        assert C.convert_calendar(days360, to, others="keep").collect() == days360.collect()
+    with pytest.raises(Exception, match="cannot convert"):
+        C.convert_calendar(C.convert_calendar(days, "noleap"), "standard").count()
+
+
 def test_360_day_has_a_30_february_without_civil_date(days):
     out = C.convert_calendar(days, "360_day")
     assert out.count() == 3 * 360

@@ -33,6 +33,16 @@ def test_scenario_is_produced_and_continued(spark, inputs, tmp_path):
     assert scen.count() == want
     again = scenario.produce(*args)
     assert again.count() == want
+    final = spark.read.parquet(str(tmp_path / "s" / "final"))
+    assert final.count() == (X.TARGET[1] - X.TARGET[0] + 1) * 365 and final.where("tasmax IS NOT NULL").count() == want
+    assert final.schema["pr"].metadata["standard_name"] == "precipitation_flux"
+    # A second run reads no days: inputs that would fail are never touched.
+    broken = sim.withColumn("tasmax", F.raise_error(F.lit("read")).cast("double"))
+    scenario.produce(spark, ref, broken, *args[3:], ids=["sim"])
+    # A member added later leaves the first one as it is.
+    two = sim.unionByName(sim.withColumn("dataset_id", F.lit("sim2")))
+    both = scenario.produce(spark, ref, two, *args[3:], ids=["sim", "sim2"])
+    assert {r["dataset_id"]: r["n"] for r in both.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("n")).collect()} == {"sim": want, "sim2": want}
     bias = scen.where("year <= 1998").agg(F.avg("tasmax")).first()[0] - ref.where("year <= 1998").agg(F.avg("tasmax")).first()[0]
     assert abs(bias) < 0.5
     assert {r.step for r in spark.read.parquet(str(tmp_path / "s" / "checkup")).collect()} == {"sim", "scen"}
@@ -50,6 +60,18 @@ def test_indices_are_computed_once(spark, sf_dir, tmp_path):
     assert spark.read.parquet(path).count() == n
 
 
+def test_a_second_member_leaves_the_first(spark, sf_dir, tmp_path):
+    daily = X.daily(spark, sf_dir)
+    defs = named(standard_indicators(), "tx_mean_annual")
+    empty = spark.createDataFrame([], "id string, xrfreq string, variable array<string>, processing_level string, path string")
+    path = str(tmp_path / "ind")
+    catalog = indices.run(X.dataset(daily, "ref"), empty, defs, path, "skip")
+    first = spark.read.parquet(path).count()
+    indices.run(daily, catalog, defs, path, "skip")
+    both = spark.read.parquet(path)
+    assert both.where("dataset_id = 'ref'").count() == first and both.where("dataset_id = 'sim'").count() > 0
+
+
 def test_diagnostics(spark, sf_dir, tmp_path):
     daily = X.daily(spark, sf_dir)
     defs = [d for d in standard_properties() if d.name in ("mean_tasmax", "q99_pr", "aca_pr", "correlogram_pr")]

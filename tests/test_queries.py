@@ -5,9 +5,6 @@ import pytest
 import __spark_entry__ as entry
 from checks import compare
 
-SLOW = {"first_eof_tasmin", "first_eof_pr", "dqm_check_physical", "dqm_monthly_mean", "factors_rows"}
-
-
 @pytest.fixture(scope="module")
 def con(sf_dir):
     return compare.connect(sf_dir)
@@ -21,6 +18,6 @@ def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_equals_sql(spark, con, sf_dir, name):
     assert compare.compare(spark, con, sf_dir, entry.queries()[name], entry.oracle_sql()[name]).startswith("ok")
