@@ -16,8 +16,8 @@ _LEVELS = "[" + ", ".join(str((2 * i + 1) / 100) for i in range(50)) + "]"
 
 
 def _mix(x: str) -> str:
-    return (f"list_transform([(({x}) * 1103515245 + 12345) % 2147483647], "
-            "lambda y: ((y + y // 32768) * 950706376) % 2147483647)[1]")
+    return (f"list_transform(list_transform([(({x}) * 1103515245 + 12345) % 2147483647], "
+            "lambda y: (xor(y, y >> 15) * 950706376) % 2147483647), lambda z: xor(z, z >> 13))[1]")
 
 
 def _uniform(a: str, b: str, seed: str, i: str | None = None) -> str:
@@ -25,7 +25,7 @@ def _uniform(a: str, b: str, seed: str, i: str | None = None) -> str:
     state = f"CAST({seed} AS BIGINT)"
     for key in (a, b) if i is None else (a, b, i):
         state = _mix(f"({_mix(state)} + CAST({key} AS BIGINT)) % 2147483647")
-    return f"({state} + 1) / 2147483648e0"
+    return f"({state} + 1) / 2147483649e0"
 
 
 SERIES_SQL = NOLEAP_SQL + ", wide AS (SELECT *, tasmax - tasmin AS dtr FROM nl),\nseries AS MATERIALIZED (" + " UNION ALL ".join(

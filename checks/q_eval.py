@@ -20,7 +20,7 @@ _IMP = f"""{measures_sql(_IMP_DEFS)},
 pairs AS (SELECT a.property, a.cell_id, CASE WHEN a.property = 'aca_pr' THEN 1 ELSE 0 END AS c, a.value AS sim, b.value AS scen FROM meas a JOIN meas b
   ON a.property = b.property AND a.cell_id = b.cell_id AND a.month IS NOT DISTINCT FROM b.month WHERE a.dataset_id = 'sim' AND b.dataset_id = 'scen'
   AND a.value IS NOT NULL AND b.value IS NOT NULL),
-imp AS (SELECT concat('m', CAST(cell_id % 3 AS VARCHAR)) AS member, property, AVG(CASE WHEN abs(sim - c) > abs(scen - c) THEN 1e0 ELSE 0e0 END) AS imp, COUNT(*) AS n FROM pairs GROUP BY 1, 2)"""
+imp AS (SELECT concat('m', CAST(cell_id % 3 AS VARCHAR)) AS member, property, AVG(CASE WHEN abs(sim - c) - abs(scen - c) > 1e-9 * abs(sim - c) THEN 1e0 ELSE 0e0 END) AS imp, COUNT(*) AS n FROM pairs GROUP BY 1, 2)"""
 
 
 def imp_scores(spark, d):

@@ -10,9 +10,10 @@ _A, _B = 1_103_515_245, 950_706_376
 
 
 def _mix(x: Column) -> Column:
-    """One round: multiply, add the upper half to the lower, multiply again; plain 64-bit integer arithmetic."""
+    """One round: multiply, fold the upper bits into the lower, multiply again, fold again; plain 64-bit integers."""
     y = F.pmod(x * _A + 12345, F.lit(_MODULUS))
-    return F.pmod((y + F.floor(y / 32768).cast("long")) * _B, F.lit(_MODULUS))
+    z = F.pmod(y.bitwiseXOR(F.shiftright(y, 15)) * _B, F.lit(_MODULUS))
+    return z.bitwiseXOR(F.shiftright(z, 13))
 
 
 def uniform(a: Column, b: Column, seed: int, c: Column | None = None) -> Column:
@@ -21,5 +22,5 @@ def uniform(a: Column, b: Column, seed: int, c: Column | None = None) -> Column:
     state = F.lit(int(seed)).cast("long")
     for key in (a, b) if c is None else (a, b, c):
         state = _mix(F.pmod(_mix(state) + F.pmod(key.cast("long"), F.lit(_MODULUS)), F.lit(_MODULUS)))
-    return (state + 1) / F.lit(float(_MODULUS + 1))
+    return (state + 1) / F.lit(float(_MODULUS + 2))
 

@@ -14,10 +14,14 @@ from .selection import wet_days
 from .spells import moving_mean, ranges_of_days
 
 
+ROUNDING = 1e-9
+
+
 def imp(sim_measures: DataFrame, scen_measures: DataFrame, ratios: Sequence[str] = RATIO_PROPERTIES) -> DataFrame:
     """Share of the cells (months, bins) the adjustment improved, per member and property.
 
-    Improved: the measure of the scenario is nearer to 0 (to 1 for a ratio) than that of the simulation; equal is not.
+    Improved: the measure of the scenario is nearer to 0 (to 1 for a ratio) than that of the simulation; equal is not, and
+    what differs by rounding alone (``ROUNDING`` of the distance) is equal.
     Both inputs carry ``member`` next to the tidy columns.
     """
     on = ["member", "property", "cell_id", "month", "bin"]
@@ -28,7 +32,8 @@ def imp(sim_measures: DataFrame, scen_measures: DataFrame, ratios: Sequence[str]
         e = F.col(c).eqNullSafe(F.col(f"_{c}"))
         cond = e if cond is None else cond & e
     centre = F.when(F.col("property").isin(list(ratios)), 1.0).otherwise(0.0)
-    better = F.abs(F.col("_sim") - centre) > F.abs(F.col("_scen") - centre)
+    before, after = F.abs(F.col("_sim") - centre), F.abs(F.col("_scen") - centre)
+    better = before - after > ROUNDING * before
     return (
         sim.join(scen, cond).where(F.col("_sim").isNotNull() & F.col("_scen").isNotNull())
         .groupBy("member", "property")

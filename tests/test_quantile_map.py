@@ -129,3 +129,29 @@ def test_nearest_is_the_lowest_of_the_nearest(levels, xs):
         gaps = np.abs(q - x)
         assert gaps[i] <= gaps.min() + 1e-9
         assert i == 0 or q[i - 1] < q[i]
+
+
+def test_training_on_years_of_unequal_length_raises(spark, sf_dir):
+    from checks import fixtures as X
+    daily = X.daily(spark, sf_dir)
+    conf = B.Conf(B.STANDARD_VARIABLES, X.REF_PERIOD, X.TARGET, loess_f=0.6)
+    with pytest.raises(Exception, match="equal length"):
+        B.train(X.dataset(daily, "ref"), X.dataset(daily, "sim"), conf).count()
+    nl = X.noleap(spark, sf_dir)
+    training = B.train(X.dataset(nl, "ref"), X.dataset(nl, "sim"), conf)
+    with pytest.raises(Exception, match="equal length"):
+        B.apply_factors(training, X.dataset(daily, "sim"), conf).count()
+
+
+def test_seeds_cells_and_days_give_unrelated_numbers(spark):
+    from graticule.functions.randoms import uniform
+    rows = spark.range(40_000).select(
+        *[uniform(F.expr("id div 200"), F.expr("id % 200"), s).alias(f"s{s}") for s in (42, 43)],
+        uniform(F.expr("id div 200 + 1"), F.expr("id % 200"), 42).alias("cell"), uniform(F.expr("id div 200"), F.expr("id % 200 + 1"), 42).alias("day"),
+    ).toPandas()
+    c = np.corrcoef(rows.to_numpy().T)
+    assert np.abs(c - np.eye(4)).max() < 0.02 and rows.min().min() > 0 and rows.max().max() < 1
+    assert abs(rows.s42.mean() - 0.5) < 0.01 and len(rows.s42.unique()) > 39_900
+    # The gaps of neighbouring days fill the circle evenly: no lattice.
+    gaps = (rows.day - rows.s42) % 1
+    assert np.abs(np.histogram(gaps, 20, (0, 1))[0] - 2000).max() < 250
