@@ -73,7 +73,7 @@ def demand_time(share: Column, kind: Column, schedules: Sequence = SCHEDULES) ->
 
 def mix(
     docs: DataFrame, keep: Sequence[str] = (), weights: Sequence[int] = WEIGHTS, schedules: Sequence = SCHEDULES,
-    budget: float = 1.5, max_repeats: int = 2, rows_per_group: int = 4096, seed: int = 7,
+    budget: float = 1.5, max_repeats: int = 2, rows_per_group: int = 512, seed: int = 7,
 ) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken and ``takes``, an array of (pass, words, time).
 
