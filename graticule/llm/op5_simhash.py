@@ -116,7 +116,8 @@ def classes(fingerprinted: DataFrame, radius: int = 3) -> DataFrame:
 def near_duplicates(docs: DataFrame, radius: int = 3) -> DataFrame:
     """Per document: doc_id, fingerprint (16 hex digits), component_id (the smallest id that links reach)."""
     rows = cut_lineage(ids_and_texts(docs).select("doc_id", fingerprint("text").alias("fp")))
-    return rows.join(classes(rows, radius), "fp").select(
+    # The classes are stored first: between two plain tables the rows of a fingerprint with thousands of copies can be split.
+    return rows.join(cut_lineage(classes(rows, radius)), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("rep_id").alias("component_id"))
 
 
