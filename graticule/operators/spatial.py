@@ -35,7 +35,7 @@ def _top_pair(projected: dict[int, list[float]]) -> tuple[float, np.ndarray]:
 
 def first_eof(
     df: DataFrame, var: str, kind: str = "+", thresh: str | float | None = None,
-    tol: float = 1e-8, max_steps: int = 24, seed: int = 42, max_restarts: int = 40,
+    tol: float = 1e-8, max_steps: int = 60, seed: int = 42, max_restarts: int = 40,
 ) -> DataFrame:
     """Leading spatial pattern per dataset: (dataset_id, cell_id, value), unit norm, its sum >= 0.
 

@@ -50,6 +50,16 @@ def test_first_eof_equals_dense_svd(field, kind, thresh):
     assert np.allclose(got, v * np.sign(v.sum()), atol=1e-6)
 
 
+def test_first_eof_restarts(field):
+    daily, _, sdaily, _ = field
+    m = daily.pivot(index="t", columns="cell_id", values="x")
+    v = np.linalg.svd((m - m.mean()).fillna(0).to_numpy(), full_matrices=False)[2][0]
+    got = Z.first_eof(sdaily, "x", max_steps=4, tol=1e-6).orderBy("cell_id").toPandas().value.to_numpy()
+    assert np.allclose(got, v * np.sign(v.sum()), atol=1e-4)
+    with pytest.raises(RuntimeError, match="restarts"):
+        Z.first_eof(sdaily, "x", max_steps=2, tol=0.0, max_restarts=1)
+
+
 @pytest.mark.parametrize("values", [
     np.arange(7.0), np.r_[np.zeros(4000), np.arange(2000.0)], np.random.default_rng(1).normal(size=5000), np.array([3.0]),
 ])
