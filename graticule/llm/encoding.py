@@ -78,17 +78,25 @@ class Encoder:
         simple = _SIMPLE.fullmatch(chunk)
         if simple:
             letters, marks = simple.groups()
+            if marks:
+                return self._remembered(letters) + self._piece[marks]
             if self._lower:
                 letters = letters.lower()
             if not letters.isascii():
                 letters = letters.encode().decode("latin-1").translate(_BYTES)
             elif letters[0] == " ":
                 letters = _BYTES[32] + letters[1:]
-            return self._piece[letters] + self._piece[marks] if marks else self._piece[letters]
+            return self._ids(letters)
         if self._normalizer is not None:
             chunk = self._normalizer.normalize_str(chunk)
         return b"".join(self._piece[piece] for piece, _ in self._cutter.pre_tokenize_str(chunk))
 
+    def _remembered(self, word: str) -> bytes:
+        """A word without punctuation, from where it is remembered when it stands alone."""
+        if not self.spaces:
+            return self._word[word.encode()]
+        return self._spaced[word[1:]] if word[0] == " " else self._plain[word]
+
     def whole(self, text: str) -> bytes:
         """The plain way, for comparison: the library's own call on the whole text."""
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
