@@ -92,9 +92,14 @@ def sample(docs: DataFrame, max_languages: int, max_per_language: int, max_rows:
     rows = rows.where(F.col("lang").isNotNull()).where(fold(F.col("doc_id"), 4) != 2)
     top = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
     each = min(max_per_language, max(1, max_rows // max(1, len(top))))
-    # The least hashes of a language are picked before the shuffle, so a common language is no hot key.
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id")
-    ids = rows.where(F.col("lang").isin([r["lang"] for r in top])).select("doc_id", "lang")
+    # The least hashes of a language are picked.  Only hashes below a bound of some times as many rows are shuffled, so a
+    # common language is no hot key; the bound is known from the counts.
+    h = F.xxhash64("doc_id", F.lit(5))
+    order = Window.partitionBy("lang").orderBy("h", "doc_id")
+    bound = {r["lang"]: min(2**63 - 1, int(-(2**63) + 2**64 * min(1.0, (3 * each + 100) / r["n"]))) for r in top}
+    ids = rows.select("doc_id", "lang", h.alias("h"))
+    if bound:
+        ids = ids.where(F.col("h") <= F.create_map(*[F.lit(x) for pair in bound.items() for x in pair])[F.col("lang")])
     chosen = ids.withColumn("r", F.row_number().over(order)).where(F.col("r") <= each).select("doc_id", "lang").distinct()
     return rows.join(F.broadcast(cut_lineage(chosen)), ["doc_id", "lang"]).select("lang", "text")  # at most max_rows ids
 
