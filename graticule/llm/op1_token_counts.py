@@ -33,7 +33,7 @@ def length_histogram(lengths: DataFrame) -> DataFrame:
     return lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
-def suffix_answers(histogram: DataFrame, block: int = 1024) -> DataFrame:
+def suffix_answers(histogram: DataFrame, block: int = 128) -> DataFrame:
     """For each length as a context limit: who fits, who is longer, and how many tokens stay if all are cut there.
 
     Suffix sums in two levels, over blocks of ``block`` lengths and inside each, so no task sorts all lengths.
