@@ -111,14 +111,14 @@ def fit(
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [(lang, c) for lang, c in zip(batch["lang"], map(ngram_counts, batch["text"])) if c is not None]
-            yield pd.DataFrame([(lang, c.astype(np.uint32).tobytes()) for lang, c in found], columns=["lang", "counts"])
+            yield pd.DataFrame([(lang, np.minimum(c, 255).astype(np.uint8).tobytes()) for lang, c in found], columns=["lang", "counts"])
 
     learned = cut_lineage(sample(docs, max_languages, max_per_language, max_rows).mapInPandas(count, "lang string, counts binary"))
-    # Bounded by max_rows; damped counts keep one byte per place on the driver.
+    # Bounded by max_rows times PLACES bytes: counts are damped later, so one byte holds enough of them.
     names, packed = [], []
     for r in learned.orderBy("lang", "counts").toLocalIterator():
         names.append(r["lang"])
-        packed.append(np.minimum(np.frombuffer(r["counts"], np.uint32), 255).astype(np.uint8))
+        packed.append(np.frombuffer(r["counts"], np.uint8))
     if not names:
         return Centroids([], np.ones(PLACES), np.zeros((0, PLACES)), np.zeros(0, int), np.zeros(0))
     data, names = np.stack(packed), np.array(names)
