@@ -26,11 +26,11 @@ from graticule.session import cut_lineage
 SEGMENT = 32
 
 
-def simhash(text: str | None, shingle: int = 3, seed: int = 42) -> int:
-    """Signed 64-bit fingerprint over all word shingles, repeats included; ASCII letters lower-cased."""
+def shingle_hashes(text: str | None, shingle: int = 3, seed: int = 42) -> np.ndarray:
+    """Unsigned 64-bit hashes of all word shingles, repeats included; ASCII letters lower-cased, a shorter text is one shingle."""
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     if len(words) <= shingle:
         hashes = [xxhash.xxh64_intdigest(joined, seed)]
@@ -39,7 +39,14 @@ def simhash(text: str | None, shingle: int = 3, seed: int = 42) -> int:
         starts = np.concatenate([[0], ends[:-1] + 1])
         h = xxhash.xxh64_intdigest
         hashes = [h(joined[a:b], seed) for a, b in zip(starts[:len(words) - shingle + 1].tolist(), ends[shingle - 1:].tolist())]
-    array = np.array(hashes, np.uint64)
+    return np.array(hashes, np.uint64)
+
+
+def simhash(text: str | None, shingle: int = 3, seed: int = 42) -> int:
+    """Signed 64-bit fingerprint over all word shingles, repeats included; ASCII letters lower-cased."""
+    array = shingle_hashes(text, shingle, seed)
+    if not len(array):
+        return 0
     counts = np.zeros(64, np.int64)
     for at in range(0, len(array), 1 << 16):  # a very long text unpacks to 64 bytes per shingle
         counts += np.unpackbits(array[at:at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, np.int64)

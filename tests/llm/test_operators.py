@@ -14,7 +14,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F, types as T
 
 from graticule.llm import (
-    op1_token_counts as op1, op2_merkle as op2, op3_mixture as op3, op4_pii as op4, op5_simhash as op5, op6_token_files as op6,
+    near_copies, op1_token_counts as op1, op2_merkle as op2, op3_mixture as op3, op4_pii as op4, op5_simhash as op5, op6_token_files as op6,
     op7_toxicity as op7, op8_quality as op8, op9_packing as op9, op10_language as op10, queries,
 )
 from graticule.llm.encoding import Encoder
@@ -347,6 +347,36 @@ def test_one_of_each_group(docs, odd, empty):
         assert kept == {c for _, _, c in classes if c is not None}
 
 
+def test_near_copies_by_shingle_similarity(spark, docs, odd, empty):
+    rng = np.random.default_rng(4)
+    texts = []
+    for _ in range(12):
+        base = [f"w{x}" for x in rng.integers(0, 3000, 400)]
+        texts.append(" ".join(base))
+        for edits in (1, 3, 5, 7, 9, 12, 25, 60):
+            words = list(base)
+            for at in rng.choice(400, edits, replace=False):
+                words[at] = f"new{rng.integers(1 << 40)}"
+            texts.append(" ".join(words))
+    sets = [near_copies.shingle_set(t, 5) for t in texts]
+    exact = lambda t: {tuple(t.split()[i:i + 5]) for i in range(396)}
+    for i, j in ((0, 4), (0, 8), (9, 10)):
+        a, b = exact(texts[i]), exact(texts[j])
+        assert near_copies.similarity(sets[i], sets[j]) == len(a & b) / len(a | b)
+    # Pairs between 0.8 and 0.95 that three bits of SimHash miss.
+    missed = [(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if near_copies.similarity(sets[i], sets[j]) >= 0.8
+              and ((op5.simhash(texts[i]) ^ op5.simhash(texts[j])) & (1 << 64) - 1).bit_count() > 3]
+    assert len(missed) > 20
+    kept = {r["doc_id"] for r in near_copies.one_of_each_group(table(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])).collect()}
+    assert not [p for p in itertools.combinations(sorted(kept), 2) if near_copies.similarity(sets[p[0]], sets[p[1]]) >= 0.8]
+    for i in set(range(len(texts))) - kept:
+        assert any(near_copies.similarity(sets[i], sets[j]) >= 0.8 for j in range(len(texts)) if j != i)
+    for frame in (odd, empty):
+        out = near_copies.one_of_each_group(frame)
+        assert out.columns == frame.columns
+        assert out.count() == len({tuple(sorted(near_copies.shingle_set(r["text"], 5).tolist())) for r in frame.collect()})
+
+
 # --- 6 ----------------------------------------------------------------------------------------------------------------
 
 def order_by_id(rows):
