@@ -267,6 +267,17 @@ def test_added_spans():
     assert op4.find_spans("9" * 200_000) == [] and op4.find_spans("1." * 100_000 + "@" * 1000) is not None
 
 
+@pytest.mark.parametrize("iban", [
+    "AT61 1904 3002 3457 3201", "ES91 2100 0418 4502 0005 1332", "PL61 1090 1014 0000 0712 1981 2874", "DE89 3704 0044 0532 0130 00",
+    "CZ65 0800 0000 1920 0014 5399", "AT611904300234573201", "NO93 8601 1117 947"])
+@pytest.mark.parametrize("behind", ["", " BIC GIBAATWW", " EUR 50", " BANK", " GIBAATWWXXX", " thanks", " AB1", " ES91 2100 0418 4502 0005 1332 EUR"])
+def test_ibans_before_words_and_codes(iban, behind):
+    for before in ("iban ", "account AB12 "):
+        text = before + iban + behind
+        found = [text[a:b] for a, k, b, _ in op4.find_spans(text) if k == "iban"]
+        assert found == [iban] + ["ES91 2100 0418 4502 0005 1332"] * ("ES91" in behind)
+
+
 def test_pii_digest(odd, empty, spark):
     text = "ß a@b.cd +1 (743) 555-3824 10.0.0.1 4111 1111 1111 1111"
     got = op4.digest(table(spark, [(1, text, None, None)])).first()
