@@ -2,7 +2,8 @@
 
 A text is rejected for few words or many repeated three-word windows (base rules), or if zstandard shrinks it too well
 (repetitive) or hardly at all (noise): the ratio of the whole text must lie in a band that depends on its length, and so must
-that of most fixed-size chunks, which shows a repetitive or random part in an otherwise ordinary text.
+that of most fixed-size chunks, which shows a repetitive or random part in an otherwise ordinary text.  Chunks are smaller, with
+a band of their own, in short texts; the last one ends at the last byte and may overlap the one before.
 
 Whole texts are read.  Lines part at \\n; equal means equal to the byte.  A missing or empty text has no words and is rejected.
 """
@@ -23,6 +24,8 @@ from graticule.llm.common import ids_and_texts
 # Fixed values: (UTF-8 bytes up to, lowest ratio, highest ratio).  Short texts compress less, by the nature of the format.
 BANDS = ((512, 0.34, 1.10), (2048, 0.27, 0.90), (16_384, 0.22, 0.80), (float("inf"), 0.18, 0.74))
 CHUNK, CHUNK_BAND, BAD_CHUNKS = 4096, (0.22, 0.82), 0.3
+# Fixed values for texts below CHUNK: (UTF-8 bytes up to, chunk, band).
+SHORT_CHUNKS = ((2048, 512, (0.34, 0.88)), (CHUNK - 1, 1024, (0.27, 0.85)))
 LEVEL = 3
 SYMBOLS = "#*$%&|<>"
 _SPACE = re.compile(r"[\x20\x09-\x0D]")
@@ -68,11 +71,14 @@ class Rules:
         return len(self.zstd.compress(data)) / len(data)
 
     def compression(self, data: bytes) -> tuple[float, float]:
-        """Ratio of the whole and the share of full chunks outside their band (0 if there is no full chunk)."""
+        """Ratio of the whole and the share of chunks outside their band (0 if the text is shorter than a chunk)."""
         view = memoryview(data)
-        chunks = [self.ratio(view[at:at + CHUNK]) for at in range(0, len(data) - CHUNK + 1, CHUNK)]
-        bad = sum(not CHUNK_BAND[0] <= r <= CHUNK_BAND[1] for r in chunks)
-        return self.ratio(data), bad / len(chunks) if chunks else 0.0
+        size, (low, high) = next(((c, limits) for upto, c, limits in SHORT_CHUNKS if len(data) <= upto), (CHUNK, CHUNK_BAND))
+        starts = [*range(0, len(data) - size + 1, size)]
+        if starts and len(data) % size:
+            starts.append(len(data) - size)
+        bad = sum(not low <= self.ratio(view[at:at + size]) <= high for at in starts)
+        return self.ratio(data), bad / len(starts) if starts else 0.0
 
     def measure(self, text: str | None) -> tuple:
         """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, ratio, bad_chunks, kept)."""

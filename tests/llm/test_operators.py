@@ -502,6 +502,18 @@ def test_compression_bands():
     assert ratio == len(zstandard.ZstdCompressor(level=3).compress(data)) / len(data) and bad == 0
 
 
+def test_tails_and_short_texts_are_measured():
+    rng, rules = np.random.default_rng(1), op8.Rules()
+    prose = " ".join("".join(rng.choice(list("etaoinshrdlu"), rng.integers(2, 9))) for _ in range(2000))
+    noise = "".join(map(chr, rng.integers(33, 127, 4095)))
+    line = "the same line again and again\n" * 100
+    assert rules.measure(prose[:4096] + noise)[-2:] == (0.5, False)
+    assert rules.measure(prose[:4096] + line[:3000])[-2:] == (0.5, False)
+    assert not rules.measure(prose[:2000] + noise[:1900])[-1] and not rules.measure(prose[:900] + noise[:1000])[-1]
+    for size in (600, 1500, 2048, 3000, 4095, 4096, 4097, 5000, 8191):
+        assert rules.measure(prose[:size])[-2:] == (0.0, True)
+
+
 def test_good_documents_stay(spark, sf_dir):
     data = sf_dir.replace("0.001", "0.1")
     labels = spark.read.parquet(f"{data}/labels.parquet").where("quality = 1")
