@@ -5,8 +5,8 @@ a fixed number of places; damped, weighted by inverse document frequency and nor
 centroids, found by spherical k-means.  A text gets the language of the nearest centroid by cosine; ``rejected`` says that it is
 farther from it than all but a few of the texts the centroid was made of, by a margin.
 
-Fitting uses a bounded sample: ``max_per_language`` documents (by the order of a hash of their ids) of at most ``max_languages``
-most frequent languages, ``max_rows`` in all.  Prediction reads every whole text.  Rows whose id has crc32 modulo 4 = 2 are never
+Fitting uses at most ``max_per_language`` documents (by the order of a hash of their ids) of every language, however many there
+are.  Centroids are found per language in tasks; the driver gets centroids, not rows.  Prediction reads every whole text.  Rows whose id has crc32 modulo 4 = 2 are never
 learned from.  A missing text, or one without a letter, is ``und`` with score 0; so is every text if there was nothing to learn.
 """
 
@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from graticule.llm.common import fold, ids_and_texts, whole_text
-from graticule.session import cut_lineage
+from graticule.session import cut_lineage, small_enough_to_broadcast
 
 PLACES = 4096
 CLUSTERS = 4
@@ -86,53 +86,56 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 15) -> tuple[np.ndarra
     return c, (x @ c.T).argmax(1)
 
 
-def sample(docs: DataFrame, max_languages: int, max_per_language: int, max_rows: int) -> DataFrame:
+def sample(docs: DataFrame, max_per_language: int) -> DataFrame:
     """(lang, text) of the rows to learn from."""
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["lang"].cast("string").alias("lang"), whole_text(docs).alias("text"))
     rows = rows.where(F.col("lang").isNotNull()).where(fold(F.col("doc_id"), 4) != 2)
-    top = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
-    each = min(max_per_language, max(1, max_rows // max(1, len(top))))
     # The least hashes of a language are picked.  Only hashes below a bound of some times as many rows are shuffled, so a
     # common language is no hot key; the bound is known from the counts.
-    h = F.xxhash64("doc_id", F.lit(5))
+    sizes = small_enough_to_broadcast(cut_lineage(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))))
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
-    bound = {r["lang"]: min(2**63 - 1, int(-(2**63) + 2**64 * min(1.0, (3 * each + 100) / r["n"]))) for r in top}
-    ids = rows.select("doc_id", "lang", h.alias("h"))
-    if bound:
-        ids = ids.where(F.col("h") <= F.create_map(*[F.lit(x) for pair in bound.items() for x in pair])[F.col("lang")])
-    chosen = ids.withColumn("r", F.row_number().over(order)).where(F.col("r") <= each).select("doc_id", "lang").distinct()
-    return rows.join(F.broadcast(cut_lineage(chosen)), ["doc_id", "lang"]).select("lang", "text")  # at most max_rows ids
-
-
-def fit(
-    docs: DataFrame, max_languages: int = 200, max_per_language: int = 800, max_rows: int = 8000, clusters: int = CLUSTERS,
-    margin: float = 0.6,
-) -> Centroids:
+    ids = rows.select("doc_id", "lang", F.xxhash64("doc_id", F.lit(5)).alias("h")).join(sizes, "lang")
+    ids = ids.where(F.col("h") / F.lit(2.0**64) + 0.5 <= (3 * max_per_language + 100) / F.col("n"))
+    chosen = ids.withColumn("r", F.row_number().over(order)).where(F.col("r") <= max_per_language).select("doc_id", "lang").distinct()
+    return rows.join(small_enough_to_broadcast(cut_lineage(chosen)), ["doc_id", "lang"]).select("lang", "text")
+
+
+def fit(docs: DataFrame, max_per_language: int = 800, clusters: int = CLUSTERS, margin: float = 0.6) -> Centroids:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [(lang, c) for lang, c in zip(batch["lang"], map(ngram_counts, batch["text"])) if c is not None]
             yield pd.DataFrame([(lang, np.minimum(c, 255).astype(np.uint8).tobytes()) for lang, c in found], columns=["lang", "counts"])
 
-    learned = cut_lineage(sample(docs, max_languages, max_per_language, max_rows).mapInPandas(count, "lang string, counts binary"))
-    # Bounded by max_rows times PLACES bytes: counts are damped later, so one byte holds enough of them.
-    names, packed = [], []
-    for r in learned.orderBy("lang", "counts").toLocalIterator():
-        names.append(r["lang"])
-        packed.append(np.frombuffer(r["counts"], np.uint8))
-    if not names:
+    def present(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n, seen = 0, np.zeros(PLACES, np.int64)
+        for batch in batches:
+            for c in batch["counts"]:
+                seen += np.frombuffer(c, np.uint8) > 0
+                n += 1
+        yield pd.DataFrame({"place": np.arange(-1, PLACES), "n": [n, *seen]})
+
+    learned = cut_lineage(sample(docs, max_per_language).mapInPandas(count, "lang string, counts binary"))
+    seen = np.zeros(PLACES + 1, np.int64)
+    for r in learned.select("counts").mapInPandas(present, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).collect():
+        seen[r["place"] + 1] = r["n"]
+    if not seen[0]:
         return Centroids([], np.ones(PLACES), np.zeros((0, PLACES)), np.zeros(0, int), np.zeros(0))
-    data, names = np.stack(packed), np.array(names)
-    idf = (np.log((1 + len(data)) / (1 + (data > 0).sum(0))) + 1).astype(np.float32)
-    languages = sorted(set(names))
-    vectors, owners, floors = [], [], []
-    for i, lang in enumerate(languages):
-        x = weigh(data[names == lang].astype(np.float32), idf)
+    idf = (np.log((1 + seen[0]) / (1 + seen[1:])) + 1).astype(np.float32)
+
+    def centroids(group: pd.DataFrame) -> pd.DataFrame:
+        x = weigh(np.stack([np.frombuffer(c, np.uint8) for c in sorted(group["counts"])]).astype(np.float32), idf)
         c, own = spherical_kmeans(x, min(clusters, len(x)))
         near = (x * c[own]).sum(1)
-        vectors.append(c)
-        owners += [i] * len(c)
-        floors += [margin * float(np.quantile(near[own == j], 0.01)) if (own == j).any() else 0.0 for j in range(len(c))]
-    return Centroids(languages, idf, np.concatenate(vectors).astype(np.float32), np.array(owners), np.array(floors))
+        floors = [margin * float(np.quantile(near[own == j], 0.01)) if (own == j).any() else 0.0 for j in range(len(c))]
+        return pd.DataFrame({
+            "lang": group["lang"].iloc[0], "j": np.arange(len(c)), "vector": [v.astype(np.float32).tobytes() for v in c], "floor": floors})
+
+    found = cut_lineage(learned.groupBy("lang").applyInPandas(centroids, "lang string, j int, vector binary, floor double"))
+    parts = sorted(found.toLocalIterator(), key=lambda r: (r["lang"], r["j"]))  # up to CLUSTERS vectors a language
+    languages = sorted({r["lang"] for r in parts})
+    place = {lang: i for i, lang in enumerate(languages)}
+    vectors = np.stack([np.frombuffer(r["vector"], np.float32) for r in parts])
+    return Centroids(languages, idf, vectors, np.array([place[r["lang"]] for r in parts]), np.array([r["floor"] for r in parts]))
 
 
 def predictions(docs: DataFrame, model: Centroids) -> DataFrame:

@@ -604,6 +604,19 @@ def test_languages_of_odd_tables(odd, empty, docs):
     assert {r["lang_pred"] for r in untaught.collect()} == {"und"}
 
 
+def test_more_languages_than_two_hundred(spark):
+    rng = np.random.default_rng(8)
+    letters, rows = list("abcdefghijklmnopqrstuvwxyz"), []
+    for lang in range(230):
+        words = ["".join(rng.choice(letters, 6)) for _ in range(12)]
+        rows += [(lang * 10 + i, " ".join(rng.choice(words, 30)), f"l{lang:03}", "a") for i in range(10)]
+    frame = table(spark, rows)
+    want = {i: lang for i, _, lang, _ in rows}
+    got = op10.languages(frame).collect()
+    assert len({r["lang_pred"] for r in got}) == 230
+    assert sum(r["lang_pred"] == want[r["doc_id"]] for r in got) / len(got) > 0.98
+
+
 def test_foreign_text_is_rejected(docs, spark):
     model = op10.fit(docs)
     foreign = "Это совершенно другой язык, которого модель никогда не видела. " * 20
