@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graticule.llm import near_copies, op3_mixture, op4_pii, op8_quality, op9_packing
+from graticule.llm import op3_mixture, op4_pii, op5_simhash, op8_quality, op9_packing
 from graticule.llm.common import documents, prepare
 from graticule.llm.queries import WORD_BPE, vocabulary
 from graticule.session import cut_lineage
@@ -21,9 +21,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity of 0.8 or more) the document of the smallest id stays."""
+    """Of each group of near copies (SimHash of three-word shingles, linked within three bits) the document of the smallest id stays."""
     prepare(spark)
-    return near_copies.one_of_each_group(docs, shingle=5, least=0.8)
+    return op5_simhash.one_of_each_group(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
