@@ -7,14 +7,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 # A word: a run of anything but ASCII white space.  Python's bytes.split() cuts at the same six bytes.
 WORD = r"[^\x20\x09-\x0D]+"
 
-# Arrow batches are counted in rows, and one text may be very long: few rows keep a batch small.
-BATCH_ROWS = "200"
+# Arrow batches are bounded in rows and in bytes: texts are of very unequal length.
+BATCH_ROWS, BATCH_BYTES = "200", str(16 << 20)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark
 
 
