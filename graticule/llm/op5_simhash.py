@@ -129,10 +129,16 @@ def near_duplicates(docs: DataFrame, radius: int = 3) -> DataFrame:
 
 
 def one_of_each_group(docs: DataFrame, radius: int = 3) -> DataFrame:
-    """The rows of ``docs``, all their columns, that are the least document of their group; of repeated rows one stays."""
-    rows = cut_lineage(docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].cast("long").alias("doc_id"),
-        fingerprint(whole_text(docs)).alias("fp")))
-    reps = classes(rows.select("doc_id", "fp"), radius).select("rep_id", "rep_fp").distinct()
+    """The rows of ``docs``, all their columns, that are the least document of their group; of repeated rows one stays.
+
+    Groups are decided on ids, fingerprints and row keys alone.  The rows themselves move once, to their key; repeats of a row are
+    combined before they move.
+    """
+    key = F.xxhash64(docs["doc_id"].cast("long").isNull(), docs["doc_id"].cast("long"), whole_text(docs))
+    rows = cut_lineage(docs.select(docs["doc_id"].cast("long").alias("doc_id"), key.alias("row_key"), fingerprint(whole_text(docs)).alias("fp")))
+    reps = cut_lineage(classes(rows.select("doc_id", "fp"), radius).select("rep_id", "rep_fp").distinct())
     same = rows["doc_id"].eqNullSafe(reps["rep_id"]) & (rows["fp"] == reps["rep_fp"])
-    return rows.join(reps, same, "left_semi").dropDuplicates(["doc_id", "fp"]).select("row.*")
+    # Different texts of one id and fingerprint count as one document: the least key stands for it.
+    keep = cut_lineage(rows.join(reps, same, "left_semi").groupBy("doc_id", "fp").agg(F.min("row_key").alias("row_key")).select("row_key"))
+    kept = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), key.alias("row_key")).dropDuplicates(["row_key"])
+    return kept.join(keep, "row_key", "left_semi").select("row.*")
