@@ -9,12 +9,13 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from graticule.llm import (
     op1_token_counts, op2_merkle, op3_mixture, op4_pii, op5_simhash, op6_token_files, op7_toxicity, op8_quality, op9_packing, op10_language,
+    op11_bpe, op12_repair, op13_manifest,
 )
-from graticule.llm.common import documents
+from graticule.llm.common import documents, prepare
 from graticule.session import scratch_dir
 
 
@@ -74,6 +75,20 @@ def op10_language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_language.languages(documents(spark, sf_dir))
 
 
+def op11_bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_bpe.round_trip(documents(spark, sf_dir), vocabulary(WORD_BPE))
+
+
+def op12_repair_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = prepare(spark).read.parquet(f"{sf_dir}/conversations.parquet")
+    return op12_repair.repaired(op12_repair.damaged(conversations))
+
+
+def op13_manifest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return op13_manifest.manifest(docs, tampered=F.crc32(docs["doc_id"].cast("string").cast("binary")) % 7 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts_query,
     "op2_merkle": op2_merkle_query,
@@ -85,5 +100,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality_query,
     "op9_packing": op9_packing_query,
     "op10_language": op10_language_query,
+    "op11_bpe": op11_bpe_query,
+    "op12_repair": op12_repair_query,
+    "op13_manifest": op13_manifest_query,
 }
 ORACLES: dict[str, str] = {}
