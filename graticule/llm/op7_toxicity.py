@@ -2,14 +2,18 @@
 
 Terms are the words of a text and their beginnings of 4 to 6 letters, hashed.  The score is the logistic of a bias, a weight
 per term present, and for each pair of terms present the product of their factor vectors: what two terms mean together (an
-insult with a group mention, say) that neither means alone.
+insult with a group mention, say) that neither means alone.  The sum over pairs is divided by the root of the number of terms, since
+a long text has so many more pairs than terms.
 
-Fitting uses a bounded sample of the labelled rows, ``max_positive`` and ``max_negative`` of them by the order of a hash of
-their ids, and the ``max_terms`` terms that tell the classes apart best.  Scoring reads every whole text of every document.
+Fitting uses a bounded sample of the labelled documents, ``max_positive`` and ``max_negative`` of them by the order of a hash of
+their ids, one text of each id; a class that is sampled counts as much as all of it.  Every term of ``min_docs`` sampled documents or
+more takes part, whatever it tells alone: the rows are sparse, fitted in small batches.  So the driver holds the terms of at most
+16,000 documents and a model of at most ``BUCKETS`` terms.  Scoring reads every whole text of every document.
 
 Held-out rows (crc32 of the id as text, modulo 5, is 0) are never learned from.  Labels that are null are left out; of several
-labels of one document the largest holds.  Missing and empty texts score like a text without terms.  Without labels of both
-classes all scores are the share of positives (0 without labels).
+labels of one document the largest holds; of several texts of one id the first in order is learned from, all are scored.  Missing and
+empty texts score like a text without terms.  Without labels of both classes all scores are the share of positives (0 without
+labels).  Very long texts are scored whole, by their distinct words.
 """
 
 from __future__ import annotations
@@ -41,50 +45,99 @@ def words_of(text: str | None) -> set[str]:
     return set(_WORD.findall((text or "").lower()))
 
 
-class FactorizationMachine:
-    """Presence features, log loss, weight decay, full-batch Adam: small, and the same result at every run."""
+def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of every run, one run after the other."""
+    return np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+
 
-    def __init__(self, terms: np.ndarray, bias: float, factors: int = 4, seed: int = 1):
-        self.index = {int(t): i for i, t in enumerate(terms)}
+class FactorizationMachine:
+    """Presence of sparse terms, log loss, AdaGrad in batches of a fixed order: the same result at every run.
+
+    Weights are drawn to zero by their size (``sparse``), factor vectors to where they started by their distance (``pairs``), so that
+    rare terms do not learn single documents by heart.  Vectors start to move after ``alone`` of the ``epochs``.
+    """
+
+    def __init__(self, terms: np.ndarray, bias: float, factors: int = 4, spread: float = 0.03, seed: int = 1):
+        self.terms = np.asarray(terms, np.int64)  # ascending
+        self.b = float(bias)
+        self.w = np.zeros(len(terms), np.float32)
+        self.v = np.random.default_rng(seed).normal(0, spread, (len(terms), factors)).astype(np.float32)
+
+    def places(self, terms: list[int]) -> list[int]:
+        """Where terms are in the model; those it does not know are left out."""
+        if not len(self.terms):
+            return []
+        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+        return at[self.terms[at] == terms].tolist()
+
+    def logits(self, starts: np.ndarray, features: np.ndarray) -> np.ndarray:
+        """One number per row; row i has the features from ``starts[i]`` to ``starts[i + 1]``."""
+        lengths = np.diff(starts)
+        rows = np.repeat(np.arange(len(lengths)), lengths)
+        total = lambda x: np.bincount(rows, x, len(lengths))
+        v = self.v[features]
+        together = sum(total(v[:, f]) ** 2 - total(v[:, f] ** 2) for f in range(v.shape[1]))
+        return self.b + total(self.w[features]) + 0.5 * together / np.sqrt(np.maximum(lengths, 1))
+
+    def fit(
+        self, starts: np.ndarray, features: np.ndarray, y: np.ndarray, weight: np.ndarray,
+        epochs: int = 16, alone: int = 9, batch: int = 128, rate: float = 0.3, sparse: float = 1e-3, pairs: float = 1e-3, damp: float = 1e-2, seed: int = 2,
+    ) -> FactorizationMachine:
+        n, m = len(y), len(self.w)
         rng = np.random.default_rng(seed)
-        self.b = np.float64(bias)
-        self.w = np.zeros(len(terms))
-        self.v = rng.normal(0, 0.05, (len(terms), factors))
-
-    def logits(self, x: np.ndarray) -> np.ndarray:
-        xv = x @ self.v
-        return self.b + x @ self.w + 0.5 * ((xv**2).sum(1) - (x**2) @ (self.v**2).sum(1))
-
-    def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 250, rate: float = 0.05, decay: float = 1e-4):
-        x = x.astype(np.float32)
-        state = [[np.zeros_like(p), np.zeros_like(p)] for p in (self.b, self.w, self.v)]
-        for step in range(1, steps + 1):
-            v32 = self.v.astype(np.float32)
-            xv = x @ v32
-            z = self.b + x @ self.w.astype(np.float32) + 0.5 * ((xv**2).sum(1) - x @ (v32**2).sum(1))
-            g = ((1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * weight / weight.sum()).astype(np.float32)
-            gx = x.T @ g
-            grads = (g.sum(), gx + decay * self.w, x.T @ (g[:, None] * xv) - gx[:, None] * self.v + decay * self.v)
-            new = []
-            for p, d, s in zip((self.b, self.w, self.v), grads, state):
-                s[0] = 0.9 * s[0] + 0.1 * d
-                s[1] = 0.999 * s[1] + 0.001 * d * d
-                new.append(p - rate * (s[0] / (1 - 0.9**step)) / (np.sqrt(s[1] / (1 - 0.999**step)) + 1e-8))
-            self.b, self.w, self.v = new
+        seen = [damp, np.full(m, damp), np.full(m, damp)]
+        start = self.v.copy()
+        scale, last, now = weight / weight.mean(), np.zeros(m, np.int64), 0
+        for epoch in range(epochs):
+            order = rng.permutation(n)
+            for at in range(0, n, batch):
+                chosen = order[at:at + batch]
+                lengths = starts[chosen + 1] - starts[chosen]
+                flat = features[_spread(starts[chosen], lengths)]
+                rows = np.repeat(np.arange(len(chosen)), lengths)
+                z = self.logits(np.concatenate([[0], np.cumsum(lengths)]), flat)
+                g = ((1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[chosen]) * scale[chosen] / len(chosen)).astype(np.float32)
+                # Only the terms of the batch move.
+                own, inside = np.unique(flat, return_inverse=True)
+                each, v = g[rows], self.v[flat]
+                paired = each / np.sqrt(lengths)[rows]
+                dw = np.bincount(inside, each, len(own)).astype(np.float32)
+                dv = np.zeros((len(own), v.shape[1]), np.float32)
+                for f in range(v.shape[1]):
+                    mine = np.bincount(rows, v[:, f], len(chosen))[rows] - v[:, f]
+                    dv[:, f] += np.bincount(inside, paired * mine, len(own))
+                db = float(g.sum())
+                seen[0] += db * db
+                seen[1][own] += dw * dw
+                self.b -= rate * db / np.sqrt(seen[0])
+                # The penalties are due for every batch; they are paid when a term comes up.
+                now += 1
+                waited, last[own] = now - last[own], now
+                step = rate / np.sqrt(seen[1][own])
+                w = self.w[own] - step * dw
+                self.w[own] = np.sign(w) * np.maximum(np.abs(w) - step * sparse * waited, 0)
+                # Pairs explain what single terms leave unexplained: they wait until those are fitted.
+                if epoch >= alone:
+                    seen[2][own] += (dv * dv).mean(axis=1)
+                    step = rate / np.sqrt(seen[2][own])
+                    away = self.v[own] - start[own] - step[:, None] * dv
+                    size = np.maximum(np.sqrt((away * away).sum(axis=1)), 1e-12)
+                    self.v[own] = start[own] + away * np.maximum(1 - step * pairs * waited / size, 0)[:, None]
         return self
 
     def score(self, features: list[int]) -> float:
         """One text, by the places of its terms in the model."""
-        xv = self.v[features].sum(0)
-        z = self.b + self.w[features].sum() + 0.5 * float((xv**2).sum() - (self.v[features] ** 2).sum())
+        v = self.v[features].astype(np.float64)
+        z = self.b + float(self.w[features].sum(dtype=np.float64)) + 0.5 * float((v.sum(0) ** 2).sum() - (v ** 2).sum()) / max(len(features), 1) ** 0.5
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, max_positive: int, max_negative: int) -> DataFrame:
-    """(toxic, terms) of a bounded sample of labelled rows that aren't held out."""
+def training_rows(docs: DataFrame, labels: DataFrame, max_positive: int, max_negative: int) -> tuple[DataFrame, dict[int, int]]:
+    """(toxic, terms) of a bounded sample of labelled documents that aren't held out, and how many of each class there are."""
     known = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["toxic"].cast("int").alias("toxic"))
     known = known.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(fold(F.col("doc_id"), 5) != 0)
-    known = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
+    known = cut_lineage(known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic")))
+    sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     order = F.xxhash64("doc_id", F.lit(11))
     sample = known.where("toxic = 1").orderBy(order).limit(max_positive).union(known.where("toxic = 0").orderBy(order).limit(max_negative))
 
@@ -95,34 +148,40 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_positive: int, max_neg
                 "terms": [sorted({i for w in words_of(t) for i in term_ids(w)}) for t in batch["text"]],
             })
 
-    # The sample has a set number of (id, label) rows, so it is broadcast whatever the size of the corpus.
-    picked = ids_and_texts(docs).join(F.broadcast(cut_lineage(sample)), "doc_id").select("toxic", "text")
-    return cut_lineage(picked.mapInPandas(terms, "toxic int, terms array<int>"))
+    # The sample has a set number of (id, label) rows, so it is broadcast whatever the size of the corpus; an id's texts are
+    # combined before they move.
+    picked = ids_and_texts(docs).join(F.broadcast(cut_lineage(sample)), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    return cut_lineage(picked.select("toxic", "text").mapInPandas(terms, "toxic int, terms array<int>")), sizes
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, max_positive: int = 4000, max_negative: int = 12_000, max_terms: int = 768, min_docs: int = 4,
+    docs: DataFrame, labels: DataFrame, max_positive: int = 4000, max_negative: int = 12_000, min_docs: int = 4,
 ) -> FactorizationMachine:
-    rows = training_rows(docs, labels, max_positive, max_negative)
-    sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    pos, neg = sizes.get(1, 0), sizes.get(0, 0)
-    if not pos or not neg:
-        return FactorizationMachine(np.zeros(0, np.int64), 30.0 if pos else -30.0)
-    base = pos / (pos + neg)
-    spread = rows.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("t")).where(F.col("n") >= min_docs)
-    z = F.abs(F.col("t") - base * F.col("n")) / F.sqrt(F.col("n") * base * (1 - base))
-    best = [r["term"] for r in spread.orderBy(z.desc(), "term").limit(max_terms).collect()]
-    if not best:
-        return FactorizationMachine(np.zeros(0, np.int64), float(np.log(base / (1 - base))))
-    model = FactorizationMachine(np.array(sorted(best)), float(np.log(base / (1 - base))))
-    chosen = F.array(*map(F.lit, best))
-    data = rows.select("toxic", F.array_intersect("terms", chosen).alias("terms")).collect()  # bounded: sample rows x max_terms
-    x = np.zeros((len(data), len(best)), np.float32)
-    for i, r in enumerate(data):
-        x[i, [model.index[t] for t in r["terms"]]] = 1
-    y = np.array([r["toxic"] for r in data], np.float32)
-    return model.fit(x, y, np.ones(len(y), np.float32))
+    rows, sizes = training_rows(docs, labels, max_positive, max_negative)
+    data = rows.toArrow()  # bounded: the terms of max_positive + max_negative documents
+    lists = data.column("terms").combine_chunks()
+    y = data.column("toxic").to_numpy().astype(np.float32)
+    sampled = {k: int((y == k).sum()) for k in (0, 1)}
+    if not sampled[0] or not sampled[1]:
+        return FactorizationMachine(np.zeros(0), 30.0 if sampled[1] else -30.0)
+    starts, flat = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy()
+    starts, flat = starts - starts[0], flat[starts[0]:starts[-1]]
+    terms, place, counts = np.unique(flat, return_inverse=True, return_counts=True)
+    often = counts >= min_docs
+    number = np.cumsum(often) - 1
+    kept = often[place]
+    before = np.concatenate([[0], np.cumsum(kept)])
+    # A sampled class stands for all of its documents, so that scores mean the same at every size of the table.
+    weight = np.where(y == 1, sizes[1] / sampled[1], sizes[0] / sampled[0])
+    share = float(weight @ y / weight.sum())
+    model = FactorizationMachine(terms[often], np.log(share / (1 - share)))
+    # Documents in the order of their terms: whatever order the rows came in, the fit is the same.
+    keys = [(flat[a:b].tobytes(), t) for a, b, t in zip(starts, starts[1:], y)]
+    order = np.array(sorted(range(len(keys)), key=keys.__getitem__))
+    new_starts = before[starts]
+    lengths = np.diff(new_starts)[order]
+    features = number[place][kept][_spread(new_starts[:-1][order], lengths)]
+    return model.fit(np.concatenate([[0], np.cumsum(lengths)]), features, y[order], weight[order])
 
 
 def scores(docs: DataFrame, model: FactorizationMachine) -> DataFrame:
@@ -130,7 +189,6 @@ def scores(docs: DataFrame, model: FactorizationMachine) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, tuple[int, ...]] = {}
-        find = model.index.get
         for batch in batches:
             out = []
             for text in batch["text"]:
@@ -140,7 +198,7 @@ def scores(docs: DataFrame, model: FactorizationMachine) -> DataFrame:
                     if at is None:
                         if len(known) >= REMEMBER:
                             known.clear()
-                        at = known[word] = tuple(i for t in term_ids(word) if (i := find(t)) is not None)
+                        at = known[word] = tuple(model.places(term_ids(word)))
                     if at:
                         features.update(at)
                 out.append(model.score(sorted(features)))
