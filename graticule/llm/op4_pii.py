@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -125,6 +126,18 @@ def _score(text: str, kind: str, start: int, end: int) -> float:
     return min(1.0, max(0.0, score))
 
 
+def _merged(spans: Iterable[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the disjoint stretches that the spans cover, ascending."""
+    starts, ends = [], []
+    for a, b in sorted(spans):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
 def find_spans(text: str | None) -> list[tuple[int, str, int, float]]:
     """(start, kind, end, score) in digest order: every base span, and added ones that reach THRESHOLD and overlap no other."""
     text = text or ""
@@ -135,12 +148,13 @@ def find_spans(text: str | None) -> list[tuple[int, str, int, float]]:
         more += [(m.start(), "local_phone", m.end()) for m in _LOCAL.finditer(text) if 7 <= len(_digits(m[0])) <= 12]
         more += [(m.start(), "spaced_card", m.end()) for m in _CARD.finditer(text)
                  if " " in m[0] and len(d := _digits(m[0])) in (15, 16) and not luhn(d)]
-        taken = sorted((a, b) for a, _, b in base)
+        starts, ends = _merged((a, b) for a, _, b in base)
+        reached = 0  # candidates come by start, so of the added spans only the farthest end can be in the way
         for a, k, b in sorted(more):
-            score = _score(text, k, a, b)
-            if score >= THRESHOLD and not any(x < b and a < y for x, y in taken):
+            before = bisect_left(starts, b) - 1
+            if a >= reached and (before < 0 or ends[before] <= a) and (score := _score(text, k, a, b)) >= THRESHOLD:
                 found.append((a, k, b, score))
-                taken.append((a, b))
+                reached = b
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[1]), s[2]))
 
 
