@@ -6,8 +6,8 @@ centroids, found by spherical k-means.  A text gets the language of the nearest
 farther from it than all but a few of the texts the centroid was made of, by a margin.
 
 Fitting uses at most ``max_per_language`` documents (by the order of a hash of their ids) of every language, however many there
-are.  Centroids are found per language in tasks; the driver gets centroids, not rows.  Prediction reads every whole text.  Rows whose id has crc32 modulo 4 = 2 are never
-learned from.  A missing text, or one without a letter, is ``und`` with score 0; so is every text if there was nothing to learn.
+are, one text of each id.  Centroids are found per language in tasks; the driver gets centroids, not rows: at most 64 KB a language.
+Prediction reads every whole text.  Rows whose id has crc32 modulo 4 = 2, and rows without an id, are never learned from.  A missing text, or one without a letter, is ``und`` with score 0; so is every text if there was nothing to learn.
 """
 
 from __future__ import annotations
@@ -60,15 +60,20 @@ class Centroids:
         out = [(UNKNOWN, 0.0, True)] * len(counts)
         rows = [i for i, c in enumerate(counts) if c is not None]
         if rows and len(self.languages):
-            near = weigh(np.stack([counts[i] for i in rows]), self.idf) @ self.vectors.T
+            near = weigh(damped(np.stack([counts[i] for i in rows])), self.idf) @ self.vectors.T
             best = near.argmax(1)
             for i, b, s in zip(rows, best, near[np.arange(len(rows)), best]):
                 out[i] = (self.languages[self.owners[b]], float(min(1.0, max(0.0, s))), bool(s < self.floors[b]))
         return out
 
 
-def weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    x = np.log1p(counts) * idf
+def damped(counts: np.ndarray) -> np.ndarray:
+    """Counts as they are learned from and compared: logarithms in 16 bits."""
+    return np.log1p(counts).astype(np.float16)
+
+
+def weigh(logs: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    x = logs.astype(np.float32) * idf
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
@@ -92,25 +97,27 @@ def sample(docs: DataFrame, max_per_language: int) -> DataFrame:
     rows = rows.where(F.col("lang").isNotNull()).where(fold(F.col("doc_id"), 4) != 2)
     # The least hashes of a language are picked.  Only hashes below a bound of some times as many rows are shuffled, so a
     # common language is no hot key; the bound is known from the counts.
-    sizes = small_enough_to_broadcast(cut_lineage(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))))
+    # An id counts once, with one text, however often it is repeated.
+    sizes = small_enough_to_broadcast(cut_lineage(rows.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n"))))
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
-    ids = rows.select("doc_id", "lang", F.xxhash64("doc_id", F.lit(5)).alias("h")).join(sizes, "lang")
-    ids = ids.where(F.col("h") / F.lit(2.0**64) + 0.5 <= (3 * max_per_language + 100) / F.col("n"))
-    chosen = ids.withColumn("r", F.row_number().over(order)).where(F.col("r") <= max_per_language).select("doc_id", "lang").distinct()
-    return rows.join(small_enough_to_broadcast(cut_lineage(chosen)), ["doc_id", "lang"]).select("lang", "text")
+    ids = rows.where(F.col("doc_id").isNotNull()).select("doc_id", "lang", F.xxhash64("doc_id", F.lit(5)).alias("h")).join(sizes, "lang")
+    ids = ids.where(F.col("h") / F.lit(2.0**64) + 0.5 <= (3 * max_per_language + 100) / F.col("n")).distinct()
+    chosen = ids.withColumn("r", F.row_number().over(order)).where(F.col("r") <= max_per_language).select("doc_id", "lang")
+    return rows.join(small_enough_to_broadcast(cut_lineage(chosen)), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(
+        F.min("text").alias("text")).select("lang", "text")
 
 
 def fit(docs: DataFrame, max_per_language: int = 800, clusters: int = CLUSTERS, margin: float = 0.6) -> Centroids:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [(lang, c) for lang, c in zip(batch["lang"], map(ngram_counts, batch["text"])) if c is not None]
-            yield pd.DataFrame([(lang, np.minimum(c, 255).astype(np.uint8).tobytes()) for lang, c in found], columns=["lang", "counts"])
+            yield pd.DataFrame([(lang, damped(c).tobytes()) for lang, c in found], columns=["lang", "counts"])
 
     def present(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n, seen = 0, np.zeros(PLACES, np.int64)
         for batch in batches:
             for c in batch["counts"]:
-                seen += np.frombuffer(c, np.uint8) > 0
+                seen += np.frombuffer(c, np.float16) > 0
                 n += 1
         yield pd.DataFrame({"place": np.arange(-1, PLACES), "n": [n, *seen]})
 
@@ -123,7 +130,7 @@ def fit(docs: DataFrame, max_per_language: int = 800, clusters: int = CLUSTERS,
     idf = (np.log((1 + seen[0]) / (1 + seen[1:])) + 1).astype(np.float32)
 
     def centroids(group: pd.DataFrame) -> pd.DataFrame:
-        x = weigh(np.stack([np.frombuffer(c, np.uint8) for c in sorted(group["counts"])]).astype(np.float32), idf)
+        x = weigh(np.stack([np.frombuffer(c, np.float16) for c in sorted(group["counts"])]), idf)
         c, own = spherical_kmeans(x, min(clusters, len(x)))
         near = (x * c[own]).sum(1)
         floors = [margin * float(np.quantile(near[own == j], 0.01)) if (own == j).any() else 0.0 for j in range(len(c))]

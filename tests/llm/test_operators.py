@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -278,6 +279,22 @@ def test_ibans_before_words_and_codes(iban, behind):
         assert found == [iban] + ["ES91 2100 0418 4502 0005 1332"] * ("ES91" in behind)
 
 
+def test_many_spans_take_linear_time():
+    text = "".join(f"write to user{i}@mail{i}.org or call 555 {i % 900 + 100} {i % 9000 + 1000} now, " for i in range(40_000))
+    start = time.process_time()
+    spans = op4.find_spans(text)
+    assert len(spans) == 80_000 and time.process_time() - start < 20
+
+
+def test_added_spans_overlap_no_other(rows):
+    texts = [t for _, t, _, _ in rows if t][:80] + ["call 555 123 4567 89, 10.0.0.1 555 123 4567@x.org +1 555 123 4567 DE89 3704 0044 0532 0130 00"]
+    for text in texts:
+        spans = op4.find_spans(text)
+        for a, k, b, _ in spans:
+            if k not in op4.BASE:
+                assert sum(x < b and a < y for x, _, y, _ in spans) == 1
+
+
 def test_pii_digest(odd, empty, spark):
     text = "ß a@b.cd +1 (743) 555-3824 10.0.0.1 4111 1111 1111 1111"
     got = op4.digest(table(spark, [(1, text, None, None)])).first()
@@ -407,14 +424,68 @@ def test_toxicity_on_held_out_rows(spark, sf_dir):
     assert right > 0.95 and sum(hit) / len(hit) > 0.7
 
 
-def test_toxicity_learns_pairs():
+def as_rows(lists):
+    return np.concatenate([[0], np.cumsum([len(x) for x in lists])]), np.concatenate([np.asarray(x, np.int64) for x in lists])
+
+
+def test_pairwise_score_equals_a_double_loop():
     rng = np.random.default_rng(0)
-    x = rng.integers(0, 2, (3000, 6)).astype(np.float32)
-    y = x[:, 0] * x[:, 1]
-    model = op7.FactorizationMachine(np.arange(6), 0.0).fit(x, y, np.ones(3000, np.float32))
-    p = 1 / (1 + np.exp(-model.logits(x)))
-    assert ((p > 0.5) == y).mean() > 0.99
-    assert model.score([0, 1]) > 0.5 > model.score([0]) and model.score([]) < 0.5
+    model = op7.FactorizationMachine(np.arange(40) * 3, -0.3)
+    model.w, model.v = rng.normal(size=40).astype(np.float32), rng.normal(size=(40, 4)).astype(np.float32)
+    texts = [sorted(rng.choice(40, k, replace=False).tolist()) for k in (0, 1, 2, 7, 40)]
+    z = model.logits(*as_rows(texts))
+    for got, features in zip(z, texts):
+        want = model.b + sum(float(model.w[i]) for i in features)
+        want += sum(float(model.v[i].astype(float) @ model.v[j].astype(float)) for i, j in itertools.combinations(features, 2)) / max(len(features), 1) ** 0.5
+        assert got == pytest.approx(want, abs=1e-4)
+        assert model.score(features) == pytest.approx(1 / (1 + np.exp(-want)), abs=1e-4)
+    assert model.places([0, 1, 6, 117, 118]) == [0, 2, 39]
+
+
+def test_one_batch_of_the_fit_equals_plain_gradients():
+    rng = np.random.default_rng(1)
+    texts = [sorted(rng.choice(6, k, replace=False).tolist()) for k in (1, 3, 4, 0, 2)]
+    y, weight = np.array([1, 0, 1, 0, 1], np.float32), np.array([1, 2, 1, 1, 3.0])
+    model = op7.FactorizationMachine(np.arange(6), 0.2, factors=2)
+    b, w, v = model.b, model.w.astype(float), model.v.astype(float)
+    x = np.zeros((5, 6))
+    for i, t in enumerate(texts):
+        x[i, t] = 1
+    root = np.sqrt([max(len(t), 1) for t in texts])
+    z = b + x @ w + np.array([sum(v[i] @ v[j] for i, j in itertools.combinations(t, 2)) for t in texts]) / root
+    g = (1 / (1 + np.exp(-z)) - y) * weight / weight.mean() / 5
+    dw = x.T @ g
+    dv = np.array([sum((g[r] / root[r] * (sum(v[j] for j in t) - v[i]) for r, t in enumerate(texts) if i in t), start=np.zeros(2)) for i in range(6)])
+    model.fit(*as_rows(texts), y, weight, epochs=1, batch=5, alone=0, rate=0.3, sparse=0.01, pairs=0.002, damp=0.01)
+    step = 0.3 / np.sqrt(0.01 + dw ** 2)
+    moved = w - step * dw
+    assert model.b == pytest.approx(b - 0.3 * g.sum() / np.sqrt(0.01 + g.sum() ** 2))
+    assert np.allclose(model.w, np.sign(moved) * np.maximum(np.abs(moved) - step * 0.01, 0), atol=1e-5)
+    step = 0.3 / np.sqrt(0.01 + (dv ** 2).mean(1))[:, None]
+    size = np.maximum(np.linalg.norm(step * dv, axis=1, keepdims=True), 1e-12)
+    assert np.allclose(model.v, v - step * dv * np.maximum(1 - step * 0.002 / size, 0), atol=1e-5)
+
+
+def test_toxicity_learns_a_pair_of_neutral_terms():
+    """Terms 0 and 1 are as common in toxic as in other texts; only together do they say something.  5,000 other words."""
+    rng = np.random.default_rng(7)
+    texts, y = [], []
+    for i in range(6000):
+        own = [[0, 1], [], [0], [1]][i % 4]
+        texts.append(sorted({*own, *(2 + rng.integers(0, 5000, 25)).tolist()}))
+        y.append(i % 4 == 0)
+    # Both are in half of the toxic texts and in half of the others: texts without either are toxic as often as not.
+    for i in range(1, 6000, 4):
+        y[i] = True
+    starts, features = as_rows(texts[:5000])
+    model = op7.FactorizationMachine(np.arange(5002), 0.0).fit(starts, features, np.array(y[:5000], np.float32), np.ones(5000))
+    right = [(model.score(t) > 0.5) == want for t, want in zip(texts[5000:], y[5000:])]
+    assert np.mean(right) > 0.95
+    others = sorted((2 + rng.integers(0, 5000, 25)).tolist())
+    assert model.score([0, 1, *others]) > 0.5 > max(model.score([0, *others]), model.score([1, *others]))
+    # Without the pairs nothing is learned.
+    flat = op7.FactorizationMachine(np.arange(5002), 0.0).fit(starts, features, np.array(y[:5000], np.float32), np.ones(5000), alone=16)
+    assert np.mean([(flat.score(t) > 0.5) == want for t, want in zip(texts[5000:], y[5000:])]) < 0.6
 
 
 def test_toxicity_of_odd_tables(spark, odd, empty):
@@ -587,6 +658,37 @@ def test_more_languages_than_two_hundred(spark):
     assert sum(r["lang_pred"] == want[r["doc_id"]] for r in got) / len(got) > 0.98
 
 
+def test_vectors_and_clusters_equal_plain_versions(docs):
+    texts = [r["text"] for r in docs.limit(60).collect() if r["text"]]
+    counts = [c for c in map(op10.ngram_counts, texts) if c is not None]
+    idf = np.log((1 + len(counts)) / (1 + sum((c > 0).astype(float) for c in counts))) + 1
+    plain = []
+    for c in counts:
+        x = [float(np.float16(np.log1p(v))) * w for v, w in zip(c.tolist(), idf)]
+        size = sum(v * v for v in x) ** 0.5
+        plain.append([v / size for v in x])
+    x = op10.weigh(op10.damped(np.stack(counts)), idf.astype(np.float32))
+    assert np.allclose(x, plain, atol=1e-5)
+    centers, own = op10.spherical_kmeans(x, 3)
+    for i, row in enumerate(plain):
+        assert own[i] == max(range(3), key=lambda j: sum(a * b for a, b in zip(row, centers[j])))
+    for j in range(3):
+        mean = np.array(plain)[own == j].mean(0)
+        assert np.allclose(centers[j], mean / np.linalg.norm(mean), atol=2e-2)
+    model = op10.Centroids(["a", "b"], idf.astype(np.float32), centers, np.array([0, 1, 1]), np.array([0.0, 0.0, 2.0]))
+    for c, row, (lang, score, rejected) in zip(counts, plain, model.predict(counts)):
+        near = [sum(a * b for a, b in zip(row, v)) for v in centers]
+        best = near.index(max(near))
+        assert lang == "abb"[best] and score == pytest.approx(near[best], abs=1e-4) and rejected == (best == 2)
+
+
+def test_repeated_ids_teach_once(spark):
+    rows_ = [(1, "aaa bbb", "xx", "a")] * 2000 + [(i, "ccc ddd", "yy", "a") for i in range(3, 40)] + [(i, "aab bba", "xx", "a") for i in range(100, 140)]
+    assert op10.sample(table(spark, rows_), 50).groupBy("lang").count().where("count > 50").count() == 0
+    taught = op10.sample(table(spark, rows_), 50).where("lang = 'xx'").collect()
+    assert sum(r["text"] == "aaa bbb" for r in taught) == 1
+
+
 def test_foreign_text_is_rejected(docs, spark):
     model = op10.fit(docs)
     foreign = "Это совершенно другой язык, которого модель никогда не видела. " * 20
