@@ -159,29 +159,34 @@ def fit(
 ) -> FactorizationMachine:
     rows, sizes = training_rows(docs, labels, max_positive, max_negative)
     data = rows.toArrow()  # bounded: the terms of max_positive + max_negative documents
-    lists = data.column("terms").combine_chunks()
     y = data.column("toxic").to_numpy().astype(np.float32)
     sampled = {k: int((y == k).sum()) for k in (0, 1)}
     if not sampled[0] or not sampled[1]:
         return FactorizationMachine(np.zeros(0), 30.0 if sampled[1] else -30.0)
-    starts, flat = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy()
-    starts, flat = starts - starts[0], flat[starts[0]:starts[-1]]
-    terms, place, counts = np.unique(flat, return_inverse=True, return_counts=True)
-    often = counts >= min_docs
-    number = np.cumsum(often) - 1
-    kept = often[place]
-    before = np.concatenate([[0], np.cumsum(kept)])
+    chunks = [c for c in data.column("terms").chunks if len(c)]
+    del data
+    counts = np.zeros(BUCKETS, np.int32)
+    for c in chunks:
+        counts += np.bincount(c.flatten().to_numpy(), minlength=BUCKETS).astype(np.int32)
+    terms = np.flatnonzero(counts >= min_docs)
+    number = np.full(BUCKETS, -1, np.int32)
+    number[terms] = np.arange(len(terms))
+    features, lengths, marks = [], [], []
+    for c in chunks:
+        flat, ends = number[c.flatten().to_numpy()], np.concatenate([[0], np.cumsum(c.value_lengths().to_numpy())])
+        for a, b in zip(ends, ends[1:]):
+            own = flat[a:b]
+            features.append(own[own >= 0])
+            lengths.append(len(features[-1]))
+            marks.append(xxhash.xxh64_intdigest(features[-1].tobytes()))
     # A sampled class stands for all of its documents, so that scores mean the same at every size of the table.
     weight = np.where(y == 1, sizes[1] / sampled[1], sizes[0] / sampled[0])
     share = float(weight @ y / weight.sum())
-    model = FactorizationMachine(terms[often], np.log(share / (1 - share)))
-    # Documents in the order of their terms: whatever order the rows came in, the fit is the same.
-    keys = [(flat[a:b].tobytes(), t) for a, b, t in zip(starts, starts[1:], y)]
-    order = np.array(sorted(range(len(keys)), key=keys.__getitem__))
-    new_starts = before[starts]
-    lengths = np.diff(new_starts)[order]
-    features = number[place][kept][_spread(new_starts[:-1][order], lengths)]
-    return model.fit(np.concatenate([[0], np.cumsum(lengths)]), features, y[order], weight[order])
+    # By a hash of their terms: whatever order the rows came in, the fit is the same.
+    order = np.array(sorted(range(len(y)), key=lambda i: (marks[i], y[i])))
+    starts = np.concatenate([[0], np.cumsum(np.array(lengths)[order])])
+    model = FactorizationMachine(terms, np.log(share / (1 - share)))
+    return model.fit(starts, np.concatenate([features[i] for i in order]), y[order], weight[order])
 
 
 def scores(docs: DataFrame, model: FactorizationMachine) -> DataFrame:
