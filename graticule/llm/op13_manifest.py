@@ -46,14 +46,17 @@ def leaf_of(fields: list[Column]) -> Column:
 
 
 def leaves(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
-    """(tree, doc_id, leaf, shown): the leaf of every row and the one that is presented for it, which ``tampered`` rows change."""
+    """(tree, doc_id, leaf, shown): the leaf of every row and the one that is presented for it, which ``tampered`` rows change.
+
+    ``tree`` is the language behind a sign, or empty where there is none, so it is never null and sorts as languages do.
+    """
     columns = {c: docs[c] for c in FIELDS}
     changed = F.lit(False) if tampered is None else F.coalesce(tampered, F.lit(False))
     columns["n_chars"] = columns["n_chars"].cast("long")
     forged = {**columns, "n_chars": F.when(changed, columns["n_chars"] + 1).otherwise(columns["n_chars"])}
     leaf = leaf_of(list(columns.values()))
     return docs.select(
-        columns["lang"].cast("string").alias("tree"), columns["doc_id"].cast("long").alias("doc_id"), leaf.alias("leaf"),
+        F.coalesce(F.concat(F.lit("="), columns["lang"].cast("string")), F.lit("")).alias("tree"), columns["doc_id"].cast("long").alias("doc_id"), leaf.alias("leaf"),
         F.when(changed, leaf_of(list(forged.values()))).otherwise(leaf).alias("shown"))
 
 
@@ -64,7 +67,7 @@ def numbered(rows: DataFrame, order: list[str], rows_per_partition: int) -> Data
     splits them, and any order of them is right.
     """
     parts = groups_of(rows.count(), rows_per_partition)
-    by = [F.col("tree").asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in order], F.col("_own")]
+    by = [F.col("tree"), *[F.col(c).asc_nulls_first() for c in order], F.col("_own")]
     ranged = rows.withColumn("_own", F.monotonically_increasing_id()).repartitionByRange(parts, *by).sortWithinPartitions(*by)
     # In a sorted partition this number is its own upper bits and a counter below them.
     ranged = cut_lineage(ranged.withColumns({"_at": F.monotonically_increasing_id(), "_part": F.spark_partition_id()}).drop("_own"))
@@ -76,7 +79,7 @@ def numbered(rows: DataFrame, order: list[str], rows_per_partition: int) -> Data
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"), F.sum("_n").over(whole).alias("size"))
     # One row per partition and tree.
     starts = small_enough_to_broadcast(cut_lineage(starts))
-    joined = ranged.join(starts, (F.col("_part") == F.col("_p")) & F.col("tree").eqNullSafe(F.col("_tree")))
+    joined = ranged.join(starts, (F.col("_part") == F.col("_p")) & (F.col("tree") == F.col("_tree")))
     return joined.withColumn("place", F.col("_start") + F.col("_at") - F.col("_low")).select(*rows.columns, "place", "size")
 
 
@@ -169,15 +172,14 @@ def upper_proofs(blocks: DataFrame, fanout: int, height: int) -> DataFrame:
         "tree", F.explode(F.sequence("_blocks", full - 1)).alias("block"), F.lit(None).cast("string").alias("node"), "rounds")
     everything = roots.select("tree", "block", "node", "rounds").unionByName(empty)
     exchanged = butterfly(everything, fanout, len(powers) - 1)
-    return exchanged.join(
-        roots.select(F.col("tree").alias("_tree"), F.col("block").alias("_block")),
-        F.col("tree").eqNullSafe(F.col("_tree")) & (F.col("block") == F.col("_block")), "left_semi")
+    return exchanged.join(roots.select("tree", "block"), ["tree", "block"], "left_semi")
 
 
-def with_upper(blocks: DataFrame, upper: DataFrame) -> DataFrame:
-    """``blocks`` with ``top`` and ``steps``."""
-    other = upper.select(F.col("tree").alias("_tree"), F.col("block").alias("_block"), "top", "steps")
-    return blocks.join(other, blocks["tree"].eqNullSafe(F.col("_tree")) & (blocks["block"] == F.col("_block"))).drop("_tree", "_block")
+def with_upper(blocks: DataFrame, upper: DataFrame, blocks_per_task: int = 64) -> DataFrame:
+    """``blocks`` with ``top`` and ``steps``.  What follows hashes each leaf's whole proof, so the tasks are set by blocks, not bytes."""
+    tasks = groups_of(blocks.count(), blocks_per_task)
+    spread = [df.repartition(tasks, "tree", "block") for df in (blocks, upper)]
+    return spread[0].join(spread[1], ["tree", "block"])
 
 
 def _steps(rows) -> list[tuple[list[str], list[str]]]:
@@ -205,9 +207,9 @@ def manifest(docs: DataFrame, tampered: Column | None = None, fanout: int = 2, h
     blocks = in_blocks(placed, ["doc_id", "shown"], fanout, height)
     upper = cut_lineage(upper_proofs(blocks, fanout, height))
     # The roots of the languages are the leaves of one more tree.
-    languages = upper.where("block = 0").select(F.lit("").alias("tree"), F.col("tree").alias("lang"), F.col("top").alias("leaf"))
-    last = proofs(numbered(languages, ["lang"], rows_per_partition), "lang", fanout, height)
-    last = last.select("lang", F.col("top").alias("root"), F.col("steps").alias("last_steps"))
+    languages = upper.where("block = 0").select(F.lit("").alias("tree"), F.col("tree").alias("own"), F.col("top").alias("leaf"))
+    last = proofs(numbered(languages, ["own"], rows_per_partition), "own", fanout, height)
+    last = small_enough_to_broadcast(cut_lineage(last.select(F.col("own").alias("tree"), F.col("top").alias("root"), F.col("steps").alias("last_steps"))))
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -221,6 +223,6 @@ def manifest(docs: DataFrame, tampered: Column | None = None, fanout: int = 2, h
                 out = pd.DataFrame(rows, columns=["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"])
                 yield out.assign(doc_id=pd.array([None if pd.isna(d) else int(d) for d in out["doc_id"]], "Int64"))
 
-    found = with_upper(blocks, upper).join(last, F.col("tree").eqNullSafe(F.col("lang")))
+    found = with_upper(blocks, upper).join(last, "tree")
     return found.select("size", "doc_id", "leaf", "shown", "top", "steps", "root", "last_steps").mapInPandas(
         verify, "doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean")

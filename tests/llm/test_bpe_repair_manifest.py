@@ -17,7 +17,7 @@ from graticule.llm.common import prepare
 
 WORD = queries.vocabulary(queries.WORD_BPE)
 LONG = " ".join(f"word{i % 977}" for i in range(40_000))
-CLASH = {c: F.lit("x") for c in ("ids", "leaf", "tree", "place", "size", "node", "steps", "case", "present", "times", "step", "part", "digest")}
+CLASH = ("ids", "leaf", "tree", "place", "size", "node", "steps", "case", "present", "times", "step", "part", "digest")
 ODD = [
     (5, None, None, None), (None, "no id at all here.", "en", "a"), (7, "", "en", "b"), (9, LONG, "en", "a"), (11, "Tie one. Two!", "de", "a"),
     (12, "Tie one. Two!", "de", "a"), (11, "Tie one. Two!", "de", "a"), (13, "mañana 日本語 😀 ß.\n\nSecond\nthird", "es", "b"), (14, " \n\t ", None, None),
@@ -33,7 +33,7 @@ def docs(spark, sf_dir):
 @pytest.fixture(scope="module")
 def odd(spark):
     rows = [(i, t, lang, s, len(t or "") if i != 12 else None) for i, t, lang, s in ODD]
-    return prepare(spark).createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumns(CLASH)
+    return prepare(spark).createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumns({c: F.lit("x") for c in CLASH})
 
 
 # --- 11 ---------------------------------------------------------------------------------------------------------------
@@ -216,7 +216,7 @@ def test_repairs_of_tables(spark, sf_dir):
         ([(1, t, "user", "Same.") for t in range(40)] + [(2, 0, "user", "Hi.")] * 30 + [(3, None, None, None)], 5),
     ]
     for rows, per_partition in tables:
-        frame = prepare(spark).createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns(CLASH).repartition(3)
+        frame = prepare(spark).createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({c: F.lit("x") for c in CLASH}).repartition(3)
         got = sorted(map(tuple, op12.repaired(op12.damaged(frame), per_partition).collect()), key=repr)
         assert got == sorted(repaired(rows), key=repr)
 
