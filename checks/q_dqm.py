@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from graticule.functions.quantiles import one_of_sorted_array
 from graticule.operators import quantile_map as B
 
 from . import fixtures as X
@@ -76,7 +77,7 @@ def doy_windows(spark, d):
         a = B.doy_window_arrays(series, X.REF_PERIOD)
         a = a.select("dataset_id", "cell_id", "var", "doy", F.size("arr").cast("bigint").alias("n"), "mean",
                      F.get("arr", F.lit(0)).alias("lowest"), F.element_at("arr", -1).alias("highest"),
-                     B.Q.one_of_sorted_array(F.col("arr"), F.lit(0.5)).alias("median"))
+                     one_of_sorted_array(F.col("arr"), F.lit(0.5)).alias("median"))
         out = a if out is None else out.unionByName(a)
     return rounded(out, ["mean", "lowest", "highest", "median"], 6)
 

@@ -2,8 +2,9 @@
 
 Data flow, with one exchange per input (by ``cell_id``) and none after it:
 
-* training: daily values -> one array per day of year -> the arrays of 31 neighbouring days flattened and sorted ->
-  50 quantiles and a mean for reference and simulation -> adjustment factors per (dataset, cell, variable, day of year);
+* training: daily values -> one row per (dataset, cell) that holds its days as arrays -> joined to the reference's row of the cell ->
+  an Arrow-batched kernel (``day_windows``: every series sorted once, 31-day windows cut out of it; quantiles, means, frequency
+  adaptation) -> adjustment factors per (dataset, cell, variable, day of year);
 * adjustment: 31-day moving means -> one row per day of year holding its years as arrays -> joined to the factors ->
   an Arrow-batched kernel (LOESS trend across years, nearest-quantile lookup, recombination) -> daily rows.
 
@@ -19,17 +20,18 @@ quantile in a quotient gives NULL.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..functions import quantiles as Q
 from ..functions.calendars import required_year_length, with_civil_parts
-from ..functions.randoms import uniform
-from ..session import by_cell
+from ..functions.randoms import uniform, uniform_np
+from ..session import by_cell, cells_partitions, hashed_by_cell
+from .day_windows import Windows, adapted, windows
 from .derive import with_dtr, with_tasmin_from_dtr
 
 
@@ -99,148 +101,118 @@ def jitter_under(series: DataFrame, conf: Conf, seed: int) -> DataFrame:
     return series.withColumn("x", F.when(F.col("x") < limit, noise).otherwise(F.col("x")))
 
 
-def doy_window_arrays(series: DataFrame, period: tuple[int, int], window: int = 31) -> DataFrame:
-    """(series keys, doy, arr, mean): all values within ``window`` days around the day of year, ascending.
+def _jittered(x: np.ndarray, limit: float | None, cell: int, t: np.ndarray, seed: int) -> np.ndarray:
+    """``jitter_under`` of one series."""
+    if limit is None:
+        return x
+    return np.where(x < limit, uniform_np(seed, np.full(len(t), cell), t) * limit, x)
 
-    Days near the turn of the year are copied to the other end of the year (day ``doy + n`` or ``doy - n``), except where
-    the window would be that of a year outside the period.  A day of year then collects from its 31 neighbours.
-    """
-    half = window // 2
-    first, last = period
-    n = required_year_length("calendar")
-    d = F.col("doy")
-    places = F.array_compact(F.array(
-        d,
-        F.when((d > n - half) & (F.col("year") < last), d - n),
-        F.when((d <= half) & (F.col("year") > first), d + n),
-    ))
-    per_day = (
-        series.where(F.col("year").between(first, last))
-        .select(*SERIES, "x", F.explode(places).alias("d"))
-        .groupBy(*SERIES, "d")
-        .agg(F.collect_list("x").alias("xs"), F.sum("x").alias("s"))
-    )
-    # A day of year without a value of its own still has a window: give it an empty row.
-    order = Window.partitionBy(*SERIES).orderBy("d")
-    start = F.when(F.lag("d").over(order).isNull(), F.least("d", F.lit(1))).otherwise(F.col("d"))
-    end = F.coalesce(F.lead("d").over(order) - 1, F.greatest("d", n))
-    own = F.col("e") == F.col("d")
-    per_day = (
-        per_day.withColumns({"_start": start, "_end": end})
-        .withColumn("e", F.explode(F.sequence("_start", "_end")))
-        .select(
-            *SERIES, F.col("e").alias("d"),
-            F.when(own, F.col("xs")).otherwise(F.array().cast("array<double>")).alias("xs"),
-            F.when(own, F.col("s")).alias("s"),
-        )
-    )
-    w = Window.partitionBy(*SERIES).orderBy("d").rangeBetween(-half, half)
-    arrays = per_day.select(
-        *SERIES, "d",
-        F.collect_list("xs").over(w).alias("xss"),
-        F.try_divide(F.sum("s").over(w), F.sum(F.size("xs")).over(w)).alias("mean"),
-    ).where(F.col("d").between(1, n) & F.col("mean").isNotNull())
-    return arrays.select(*SERIES, F.col("d").alias("doy"), F.sort_array(F.flatten("xss")).alias("arr"), "mean")
 
+def _lists(column: pa.ListArray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Offsets and flat fields of a column of lists of structs; NULL becomes NaN."""
+    flat, offsets = column.values, column.offsets.to_numpy()
+    return offsets, {f.name: flat.field(i).to_numpy(zero_copy_only=False) for i, f in enumerate(flat.type)}
 
-def adapted_array(ref: Column, hist: Column, thresh: Column, cell: Column, doy: Column, seed: int) -> Column:
-    """Frequency adaptation of a sorted simulated sample; NULL when the simulation is not the drier one.
 
-    The share of extra dry days, (F_hist(D) - F_ref(D)) / F_hist(D), is taken from the highest dry values and replaced by
-    random values in [D, F_ref^-1(F_hist(D))].
-    """
-    n_hist, n_ref = F.size(hist), F.size(ref)
-    dry_hist = F.size(F.filter(hist, lambda v: v < thresh))
-    dry_ref = F.size(F.filter(ref, lambda v: v < thresh))
-    # floor((F_hist - F_ref) * n_hist) in integers, so that no rounding decides.
-    extra = F.floor((dry_hist.cast("long") * n_ref - dry_ref.cast("long") * n_hist) / n_ref).cast("int")
-    top = F.greatest(Q.one_of_sorted_array(ref, dry_hist / n_hist), thresh)
-    added = F.transform(
-        F.sequence(F.lit(1), extra),
-        lambda i: thresh + uniform(cell, doy, seed, i) * (top - thresh),
-    )
-    kept = F.concat(F.slice(hist, F.lit(1), dry_hist - extra), F.slice(hist, dry_hist + 1, n_hist - dry_hist))
-    return F.when(extra >= 1, F.sort_array(F.concat(kept, added)))
-
-
-def array_mean(arr: Column) -> Column:
-    return F.aggregate(arr, F.lit(0.0), lambda acc, v: acc + v) / F.size(arr)
+def _list_column(values: np.ndarray) -> pa.ListArray:
+    """A matrix as a column of lists; NaN becomes NULL."""
+    offsets = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.ravel(), from_pandas=True))
 
 
-_FACTORS = T.StructType([
-    T.StructField("af", T.ArrayType(T.DoubleType())), T.StructField("hist_q", T.ArrayType(T.DoubleType()))
-])
-
+def doy_window_arrays(series: DataFrame, period: tuple[int, int], window: int = 31) -> DataFrame:
+    """(series keys, doy, arr, mean): all values within ``window`` days around the day of year, ascending.
 
-def _rows_of(matrix: np.ndarray) -> list:
-    """Rows of a matrix; NaN becomes NULL."""
-    rows = list(matrix)
-    for i in np.flatnonzero(np.isnan(matrix).any(axis=1)):
-        rows[i] = [None if np.isnan(v) else v for v in matrix[i]]
-    return rows
+    Windows stop at the ends of the period; a day of year whose window holds no value has no row.
+    """
+    half = window // 2
+    rows = series.where(F.col("year").between(*period)).groupBy(*SERIES).agg(F.collect_list(F.struct("year", "doy", "x")).alias("days"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            offsets, days = _lists(batch.column("days"))
+            lengths = batch.column("n").to_pylist()
+            for i, n in enumerate(lengths):
+                at = slice(offsets[i], offsets[i + 1])
+                found = windows(days["year"][at], days["doy"][at], days["x"][at], n, period, half)
+                some = np.flatnonzero(found.counts)
+                ends = np.concatenate([[0], np.cumsum(found.counts[some])]).astype(np.int32)
+                own = batch.slice(i, 1).select(SERIES).take(pa.array(np.zeros(len(some), np.int64)))
+                yield pa.RecordBatch.from_arrays([
+                    *own.columns, pa.array((some + 1).astype(np.int32)),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(found.values)), pa.array(found.means()[some]),
+                ], names=[*SERIES, "doy", "arr", "mean"])
+
+    kinds = dict(series.dtypes)
+    schema = ", ".join(f"{c} {kinds[c]}" for c in SERIES) + ", doy int, arr array<double>, mean double"
+    return rows.withColumn("n", required_year_length("calendar")).mapInArrow(run, schema)
+
+
+def days_of_cells(df: DataFrame, conf: Conf, partitions: int) -> DataFrame:
+    """One row per (dataset, calendar, cell) with its days of the reference period as a list, hashed by cell; at most one element a day."""
+    names = list(conf.variables)
+    if "dtr" in names and "dtr" not in df.columns:
+        df = with_dtr(df)
+    df = df.where(F.col("year").between(*conf.reference_period))
+    wide = df.select("dataset_id", "calendar", "cell_id", "year", "doy", "t", *[F.col(v).cast("double").alias(f"x_{v}") for v in names])
+    return by_cell(wide, partitions, exactly=True).groupBy("dataset_id", "calendar", "cell_id").agg(
+        F.collect_list(F.struct("year", "doy", "t", *[f"x_{v}" for v in names])).alias("days"))
 
 
-def factor_kernel(levels: Sequence[float]):
-    """Sorted window samples and their means -> factors and simulated quantiles of the anomalies.
+def factors_of(ref: Windows, sim: Windows, kind: str, levels: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(days of the year, factors, simulated quantiles of the anomalies, scaling) where both sides have values.
 
-    Arrow-batched: as lambdas over 50 levels the same arithmetic is interpreted and nearly doubles the time of training.
     Anomalies keep the order of the values, so their quantiles are those of the values minus, or over, the mean.
     """
-    qs = np.asarray(levels)
-
-    @F.pandas_udf(_FACTORS)
-    def kernel(ref: pd.Series, ref_mean: pd.Series, hist: pd.Series, hist_mean: pd.Series, kind: pd.Series) -> pd.DataFrame:
-        plus = (kind == "+").to_numpy()[:, None]
-        anomalies = []
-        with np.errstate(divide="ignore", invalid="ignore"):
-            for arrays, means in ((ref, ref_mean), (hist, hist_mean)):
-                q, m = Q.of_sorted_arrays_np(arrays.to_numpy(), qs), means.to_numpy(dtype=float)[:, None]
-                anomalies.append(np.where(plus, q - m, np.where(m != 0, q / m, np.nan)))
-            r, h = anomalies
-            af = np.where(plus, r - h, np.where(h != 0, r / h, np.nan))
-        return pd.DataFrame({"af": _rows_of(af), "hist_q": _rows_of(h)})
-
-    return kernel
-
-
-def factors(pairs: DataFrame, conf: Conf) -> DataFrame:
-    """Adjustment factors from the sorted window samples and their means (``ref_*``, ``hist_*``)."""
-    kernel = factor_kernel(conf.levels)
-    rm, hm = F.col("ref_mean"), F.col("hist_mean")
-    scaling = F.when(F.col("kind") == "+", rm - hm).otherwise(F.try_divide(rm, hm))
-    out = pairs.withColumn("_f", kernel("ref_arr", "ref_mean", "hist_arr", "hist_mean", "kind"))
-    return out.select(
-        "dataset_id", "calendar", "cell_id", "doy", "var", "kind", "_f.af", "_f.hist_q", scaling.alias("scaling")
-    )
-
-
-def window_pairs(ref: DataFrame, hist: DataFrame, conf: Conf) -> DataFrame:
-    """Reference and simulated window samples side by side, preprocessed."""
-    names = list(conf.variables)
-    arrays = {}
-    for side, df, seed in (("ref", ref, conf.seed), ("hist", hist, conf.seed + 1)):
-        series = to_series(df.where(F.col("year").between(*conf.reference_period)), names)
-        if any(c.jitter_under is not None for c in conf.variables.values()):
-            series = jitter_under(series, conf, seed)
-        arrays[side] = doy_window_arrays(series, conf.reference_period, conf.window)
-    r = arrays["ref"].select("calendar", "cell_id", "var", "doy", F.col("arr").alias("ref_arr"), F.col("mean").alias("ref_mean"))
-    h = arrays["hist"].select(*SERIES, "doy", F.col("arr").alias("hist_arr"), F.col("mean").alias("hist_mean"))
-    pairs = h.join(r, ["calendar", "cell_id", "var", "doy"]).withColumn(
-        "kind", _per_var(conf, lambda c: c.kind, F.lit("+"))
-    )
-    adapting = {n: c for n, c in conf.variables.items() if c.adapt_freq is not None}
-    if adapting:
-        thresh = _per_var(conf, lambda c: c.adapt_freq, F.lit(None).cast("double"))
-        adapted = adapted_array(
-            F.col("ref_arr"), F.col("hist_arr"), F.col("_d"), F.col("cell_id"), F.col("doy"), conf.seed + 2
-        )
-        pairs = pairs.withColumn("_d", thresh).withColumn(
-            "_adapted", F.when(F.col("_d").isNotNull(), adapted)
-        ).withColumns({
-            "hist_arr": F.coalesce("_adapted", "hist_arr"),
-            "hist_mean": F.when(F.col("_adapted").isNotNull(), array_mean(F.col("_adapted"))).otherwise(F.col("hist_mean")),
-        }).drop("_d", "_adapted")
-    return pairs
+    some = np.flatnonzero((ref.counts > 0) & (sim.counts > 0))
+    means = [w.means()[some] for w in (ref, sim)]
+    quantiles = [w.quantiles(levels)[some] for w in (ref, sim)]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        if kind == "+":
+            r, h = (q - m[:, None] for q, m in zip(quantiles, means))
+            return some + 1, r - h, h, means[0] - means[1]
+        r, h = (np.where(m[:, None] != 0, q / m[:, None], np.nan) for q, m in zip(quantiles, means))
+        return some + 1, np.where(h != 0, r / h, np.nan), h, np.where(means[1] != 0, means[0] / means[1], np.nan)
+
+
+def training_kernel(conf: Conf):
+    """Rows (dataset_id, calendar, cell_id, n, ref, sim) of a cell's days on both sides -> its factors."""
+    levels, half = np.asarray(conf.levels)[None, :], conf.window // 2
+
+    def sides(year, doy, t, days, at, n, cell, seed) -> dict[str, Windows]:
+        return {
+            v: windows(year, doy, _jittered(days[f"x_{v}"][at], c.jitter_under, cell, t, seed), n, conf.reference_period, half)
+            for v, c in conf.variables.items()
+        }
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, reference = None, {}
+        for batch in batches:
+            columns = {side: _lists(batch.column(side)) for side in ("ref", "sim")}
+            keys = [batch.column(c).to_pylist() for c in ("calendar", "cell_id", "n")]
+            for i, (calendar, cell, n) in enumerate(zip(*keys)):
+                found = {}
+                for side, seed in (("ref", conf.seed), ("sim", conf.seed + 1)):
+                    # The join sorts by cell: the members of a cell follow each other and share the reference's windows.
+                    if side == "ref" and known == (calendar, cell):
+                        continue
+                    offsets, days = columns[side]
+                    at = slice(offsets[i], offsets[i + 1])
+                    found[side] = sides(days["year"][at], days["doy"][at], days["t"][at], days, at, n, cell, seed)
+                if "ref" in found:
+                    known, reference = (calendar, cell), found["ref"]
+                for v, c in conf.variables.items():
+                    ref, sim = reference[v], found["sim"][v]
+                    if c.adapt_freq is not None:
+                        sim = adapted(ref, sim, c.adapt_freq, cell, conf.seed + 2)
+                    doy, af, hist_q, scaling = factors_of(ref, sim, c.kind, levels)
+                    own = batch.slice(i, 1).select(["dataset_id", "calendar", "cell_id"]).take(pa.array(np.zeros(len(doy), np.int64)))
+                    yield pa.RecordBatch.from_arrays([
+                        *own.columns, pa.array(doy.astype(np.int32)), pa.array([v] * len(doy), pa.string()), pa.array([c.kind] * len(doy), pa.string()),
+                        _list_column(af), _list_column(hist_q), pa.array(scaling, from_pandas=True),
+                    ], names=["dataset_id", "calendar", "cell_id", "doy", "var", "kind", "af", "hist_q", "scaling"])
+
+    return run
 
 
 def train(ref: DataFrame, hist: DataFrame, conf: Conf) -> DataFrame:
@@ -248,7 +220,15 @@ def train(ref: DataFrame, hist: DataFrame, conf: Conf) -> DataFrame:
 
     ``ref`` must hold one reference per (calendar, cell, day) in the calendars of ``hist`` (see ``convert_calendar``).
     """
-    return factors(window_pairs(ref, hist, conf), conf)
+    # Both sides in the same partitions, and merged by cell: the join moves nothing, and the members of a cell follow each other.
+    n = max([p for p in map(hashed_by_cell, (ref, hist)) if p] or map(cells_partitions, (ref, hist)))
+    r = days_of_cells(ref, conf, n).select("calendar", "cell_id", F.col("days").alias("ref"))
+    h = days_of_cells(hist, conf, n).withColumnRenamed("days", "sim")
+    pairs = h.join(r.hint("merge"), ["calendar", "cell_id"]).withColumn("n", required_year_length("calendar"))
+    schema = (
+        f"dataset_id string, calendar string, cell_id {dict(hist.dtypes)['cell_id']}, doy int, var string, kind string, "
+        "af array<double>, hist_q array<double>, scaling double")
+    return pairs.select("dataset_id", "calendar", "cell_id", "n", "ref", "sim").mapInArrow(training_kernel(conf), schema)
 
 
 # --- adjustment ------------------------------------------------------------------------------------------------------
@@ -291,12 +271,27 @@ def _dense(years: pd.Series, values: Sequence[pd.Series], first: int, n: int) ->
 
 
 def _nearest(hist_q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Index of the nearest of the ascending ``hist_q`` for each x; the lowest of equally near ones.
+    """Per row, the index of the nearest of the ascending ``hist_q`` for each x; the lowest of equally near ones.
 
     Values outside the range take the first or last index, i.e. constant extrapolation.
     """
-    mids = (hist_q[1:] + hist_q[:-1]) / 2
-    return np.searchsorted(hist_q, hist_q[np.searchsorted(mids, x, side="left")], side="left")
+    mids = (hist_q[:, 1:] + hist_q[:, :-1]) / 2
+    at = np.zeros(x.shape, np.int64)
+    for k in range(mids.shape[1]):
+        at += x > mids[:, k:k + 1]
+    # The first index of each run of equal quantiles.
+    new = np.concatenate([np.ones((len(hist_q), 1), bool), hist_q[:, 1:] != hist_q[:, :-1]], axis=1)
+    lowest = np.maximum.accumulate(np.where(new, np.arange(hist_q.shape[1]), 0), axis=1)
+    return np.take_along_axis(lowest, at, axis=1)
+
+
+def _matrix(lists: pd.Series, width: int) -> np.ndarray:
+    """Lists of ``width`` numbers as rows; NaN for a missing list and for its missing elements."""
+    out = np.full((len(lists), width), np.nan)
+    have = lists.notna().to_numpy()
+    if have.any():
+        out[have] = np.concatenate(lists[have].to_numpy()).astype(float).reshape(-1, width)
+    return out
 
 
 def trend_kernel(first: int, n: int, f: float):
@@ -312,7 +307,7 @@ def trend_kernel(first: int, n: int, f: float):
     return trend
 
 
-def adjust_kernel(first: int, n: int, f: float, kind: str):
+def adjust_kernel(first: int, n: int, f: float, kind: str, nquantiles: int):
     """years[], moving means[], values[], factors[], quantiles[], scaling -> adjusted values[]."""
     weights = loess_weights(n, f)
     additive = kind == "+"
@@ -325,12 +320,9 @@ def adjust_kernel(first: int, n: int, f: float, kind: str):
         trend = _smooth(m, weights)
         with np.errstate(divide="ignore", invalid="ignore"):
             residual = x - trend if additive else np.where(trend != 0, x / trend, np.nan)
-        picked = np.full(x.shape, np.nan)
-        for i, (a, q) in enumerate(zip(af, hist_q)):
-            if a is not None and q is not None:
-                q = np.asarray(q, dtype=float)
-                if not np.isnan(q).any():
-                    picked[i] = np.asarray(a, dtype=float)[_nearest(q, np.nan_to_num(residual[i]))]
+        a, q = _matrix(af, nquantiles), _matrix(hist_q, nquantiles)
+        picked = np.take_along_axis(a, _nearest(q, np.nan_to_num(residual)), axis=1)
+        picked[np.isnan(q).any(axis=1)] = np.nan
         c = scaling.to_numpy(dtype=float)[:, None]
         y = trend + c + residual + picked if additive else trend * c * residual * picked
         out = []
@@ -394,13 +386,13 @@ def apply_factors(training: DataFrame, sim: DataFrame, conf: Conf) -> DataFrame:
     keys = [*CELL, "doy"]
     # A calendar that training refuses must not come out as rows of NULL here.
     sim = sim.where(required_year_length("calendar").isNotNull())
-    factors_of = by_cell(training).groupBy(*keys).agg(*[
+    folded = by_cell(training).groupBy(*keys).agg(*[
         F.first(F.when(F.col("var") == v, F.struct("af", "hist_q", "scaling")), ignorenulls=True).alias(f"f_{v}")
         for v in conf.variables
     ])
-    joined = _years_as_arrays(sim, conf).join(factors_of, keys, "left")
+    joined = _years_as_arrays(sim, conf).join(folded.hint("merge"), keys, "left")
     out = joined.withColumns({
-        v: adjust_kernel(first, last - first + 1, conf.loess_f, vc.kind)(
+        v: adjust_kernel(first, last - first + 1, conf.loess_f, vc.kind, conf.nquantiles)(
             "year", f"m_{v}", f"x_{v}", f"f_{v}.af", f"f_{v}.hist_q", F.coalesce(f"f_{v}.scaling", F.lit(float("nan")))
         ) for v, vc in conf.variables.items()
     })

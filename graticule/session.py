@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,6 +15,8 @@ RUNTIME_CONF = {
     # Data hashed by cell alone may be joined on (cell, day of year, variable) without another exchange.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    # Rows that hold all days of a cell are large.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
 }
 
 
@@ -65,12 +68,28 @@ def _input_bytes(df: DataFrame) -> int:
     return sum(s for s in sizes if s < 1 << 60)
 
 
-def by_cell(df: DataFrame, partitions: int | None = None) -> DataFrame:
+def hashed_by_cell(df: DataFrame) -> int | None:
+    """The number of partitions if a plan's rows are hashed by ``cell_id`` alone, from bucketed storage or by an exchange."""
+    found = re.fullmatch(r"hashpartitioning\(cell_id#\d+, (\d+)\)", df._jdf.queryExecution().sparkPlan().outputPartitioning().toString())
+    return int(found.group(1)) if found else None
+
+
+def cells_partitions(df: DataFrame) -> int:
+    """A partition for each 64 MB of input, with the session's shuffle partitions as the least."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-_input_bytes(df) // (64 << 20)))
+
+
+def by_cell(df: DataFrame, partitions: int | None = None, exactly: bool = False) -> DataFrame:
     """All days of a cell in one partition, for per-cell statistics.  A cell has at most one row per dataset and day.
 
-    The number of partitions is given, so that adaptive execution does not merge them by their bytes: window samples and
-    sorts make the work per byte far larger than the exchange suggests.  It follows the size of the input, with the
-    session's shuffle partitions as the least.
+    Rows that are hashed by cell already stay where they are, unless ``exactly`` asks for another number of partitions.  That
+    number is given, so that adaptive execution does not merge partitions by their bytes: window samples and sorts make the work
+    per byte far larger than the exchange suggests.  It follows the size of the input, with the session's shuffle partitions as
+    the least.
     """
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(least, partitions or -(-_input_bytes(df) // (64 << 20))), "cell_id")
+    have = hashed_by_cell(df)
+    if have is not None and (not exactly or have == partitions):
+        return df
+    if exactly:
+        return df.repartition(partitions, "cell_id")
+    return df.repartition(max(partitions or 0, cells_partitions(df)), "cell_id")

@@ -6,7 +6,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from graticule.functions import calendars as C
-from graticule.operators import quantile_map as B
+from graticule.operators import day_windows as D, quantile_map as B
 
 PERIOD = (2001, 2004)
 
@@ -99,15 +99,43 @@ def test_jitter_is_reproducible_and_inside_the_bounds(spark):
     assert len(low) and (low > 0).all() and (low < 0.01).all() and len(np.unique(low)) > len(low) // 2
 
 
-def test_frequency_adaptation(spark):
+def flat(*rows):
+    return D.Windows(np.concatenate([np.sort(np.array(r, float)) for r in rows]), np.array([len(r) for r in rows]))
+
+
+def test_frequency_adaptation():
     ref, hist = [0.0] * 4 + [2.0, 3.0, 4.0, 5.0, 6.0, 7.0], [0.0] * 7 + [0.5, 4.0, 6.0]
-    df = spark.createDataFrame([(ref, hist, 1, 1), (hist, ref, 1, 1)], "r array<double>, h array<double>, c int, d int")
-    rows = df.select(B.adapted_array(F.col("r"), F.col("h"), F.lit(1.0), F.col("c"), F.col("d"), 5).alias("a")).collect()
-    got = rows[0].a
+    out = D.adapted(flat(ref, hist, [], ref), flat(hist, ref, hist, []), 1.0, 1, 5)
+    assert out.counts.tolist() == [10, 10, 10, 0]
+    got = out.values[:10].tolist()
     # 8 of 10 are dry, 4 of 10 in the reference: 4 dry days become wet, up to the reference's 0.8 quantile (5.2).
     assert sum(v < 1 for v in got) == 4 and len(got) == 10 and got == sorted(got)
     assert all(1 <= v <= 5.2 for v in sorted(set(got) - {0.0, 4.0, 6.0}))
-    assert rows[1].a is None
+    assert out.values[10:20].tolist() == ref and out.values[20:].tolist() == hist
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 2**31), st.sampled_from([360, 365]), st.integers(0, 20), st.floats(0, 1))
+def test_windows_equal_a_search_for_each_day(seed, n, half, share):
+    rng = np.random.default_rng(seed)
+    year, doy = (a.ravel() for a in np.meshgrid([2001, 2002, 2004], np.arange(1, n + 1)))
+    x = np.round(rng.normal(size=len(doy)), 1)
+    x[rng.random(len(x)) < share] = np.nan
+    keep = rng.random(len(x)) < 0.9
+    year, doy, x = year[keep], doy[keep], x[keep]
+    got = D.windows(year, doy, x, n, (2001, 2004), half)
+    t = year * n + doy - 1
+    means, q = got.means(), got.quantiles(np.array([[0.0, 0.3, 1.0]]))
+    for d in [1, 2, half + 1, 100, n - half, n]:
+        if not 1 <= d <= n:
+            continue
+        want = [v for y in (2001, 2002, 2003, 2004) for v in x[(np.abs(t - (y * n + d - 1)) <= half) & ~np.isnan(x)]]
+        at = got.starts[d - 1]
+        assert got.values[at:at + got.counts[d - 1]].tolist() == sorted(want)
+        if want:
+            assert means[d - 1] == pytest.approx(np.mean(want)) and np.allclose(q[d - 1], np.quantile(want, [0, 0.3, 1]))
+        else:
+            assert np.isnan(means[d - 1]) and np.isnan(q[d - 1]).all()
 
 
 def test_loess_weights():
@@ -124,7 +152,7 @@ def test_loess_weights():
 @given(st.lists(st.floats(-50, 50), min_size=2, max_size=30), st.lists(st.floats(-60, 60), min_size=1, max_size=10))
 def test_nearest_is_the_lowest_of_the_nearest(levels, xs):
     q = np.sort(np.array(levels))
-    got = B._nearest(q, np.array(xs))
+    (got,) = B._nearest(q[None, :], np.array([xs]))
     for x, i in zip(xs, got):
         gaps = np.abs(q - x)
         assert gaps[i] <= gaps.min() + 1e-9
@@ -155,3 +183,23 @@ def test_seeds_cells_and_days_give_unrelated_numbers(spark):
     # The gaps of neighbouring days fill the circle evenly: no lattice.
     gaps = (rows.day - rows.s42) % 1
     assert np.abs(np.histogram(gaps, 20, (0, 1))[0] - 2000).max() < 250
+
+
+def test_numbers_in_numpy_and_in_columns_agree_and_plans_stay_short(spark):
+    from graticule.functions.randoms import uniform, uniform_np
+    a, b, c = F.col("id"), F.col("id") % 7 - 3, F.col("id") * 1_000_003
+    rows = spark.range(2000).select("id", uniform(a, b, 42).alias("two"), uniform(a, b, 43, c).alias("three")).toPandas()
+    assert np.array_equal(rows.two, uniform_np(42, rows.id, np.fmod(rows.id, 7) - 3))
+    assert np.array_equal(rows.three, uniform_np(43, rows.id, np.fmod(rows.id, 7) - 3, rows.id * 1_000_003))
+    plan = spark.range(5).select(uniform(a, b, 42))._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 3000
+
+
+def test_training_moves_days_once_per_side(spark, sf_dir):
+    from checks import fixtures as X
+    nl = X.noleap(spark, sf_dir).persist()
+    conf = B.Conf(B.STANDARD_VARIABLES, X.REF_PERIOD, X.TARGET, loess_f=0.6)
+    plan = B.train(X.dataset(nl, "ref"), X.dataset(nl, "sim"), conf)._jdf.queryExecution().executedPlan().toString()
+    nl.unpersist()
+    initial = plan[plan.index("Initial Plan"):] if "Initial Plan" in plan else plan
+    assert initial.split("InMemoryRelation")[0].count("Exchange") <= 4
