@@ -1,8 +1,15 @@
 """Climate indices per cell and period from declarative definitions.
 
-All periods begin with a month, so one pass over the daily table folds it to monthly partial results (a sum, a maximum and
-a count of days per index), and the much smaller monthly table is folded again to the periods of every frequency.  Rolling
-sums and runs of days cannot be folded from months of raw days; each has its own branch.
+All periods begin with a month, so one pass over the daily table folds it to one row per cell and month, and the much smaller
+monthly table is folded again to the periods of every frequency.  What a month keeps is a summary that can be merged:
+
+* of an index folded from days, a sum and a count;
+* of a rolling sum, the days of the month side by side: sums inside the month need no more, sums that begin in the month before
+  need its last days, which the previous row of the cell has;
+* of runs of days, one bit per day and condition.  The bits of a period's months one after the other, a missing day or month
+  being no hot day, are a string in which runs are counted.
+
+So the days are read once, nothing but the monthly rows is exchanged, and there is no window over days.
 """
 
 from __future__ import annotations
@@ -11,14 +18,14 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.calendars import FREQUENCIES, days_in_period, month_number, month_to_date, period_number
 from ..functions.units import threshold
 from ..session import cut_lineage, small_enough_to_broadcast
 from .definitions import Definition
 from .derive import with_tas
-from .spells import rolling_sum, spells
+from .spells import longest_sums, run_lengths
 
 KEYS = ["dataset_id", "calendar", "cell_id"]
 
@@ -113,179 +120,153 @@ def _enough(n_valid: Column, expected: Column, missing: str | float) -> Column:
     return n_valid >= (1.0 - float(missing)) * expected
 
 
-def _tidy(df: DataFrame, name: Column, freq: Column, value: Column) -> DataFrame:
-    return df.select(
-        "dataset_id", name.alias("indicator"), freq.alias("freq"), "cell_id",
-        month_to_date("period_no").alias("period_start"), value.cast("double").alias("value"),
-    )
+def _needs(d: Definition) -> int:
+    return int(d.params.get("window", 5 if d.base == ROLLING else 3))
 
 
-def _to_periods(monthly: DataFrame, freqs: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
-    """Fold a monthly table to the periods of several frequencies at once."""
-    choices = F.array(*[
-        F.struct(F.lit(f).alias("freq"), period_number("month_no", f).alias("period_no")) for f in freqs
-    ])
-    spread = monthly.withColumn("_f", F.explode(choices)).select("*", "_f.freq", "_f.period_no").drop("_f")
-    return spread.groupBy(*KEYS, "freq", "period_no").agg(*aggs)
+def _hot(d: Definition) -> tuple[float, float]:
+    return threshold(d.params["thresh_tasmin"], "K"), threshold(d.params["thresh_tasmax"], "K")
 
 
-def _expected(freqs: Sequence[str]) -> Column:
-    out = None
-    for f in freqs:
-        days = days_in_period("calendar", "period_no", f)
-        out = F.when(F.col("freq") == f, days) if out is None else out.when(F.col("freq") == f, days)
-    return out
+@dataclass(frozen=True)
+class Plan:
+    """The definitions by what a month keeps for them."""
+
+    folded: list[Definition]
+    rolling: list[Definition]
+    runs: list[Definition]
+
+    @classmethod
+    def of(cls, defs: Sequence[Definition]) -> Plan:
+        return cls([d for d in defs if d.base in BASES], [d for d in defs if d.base == ROLLING], [d for d in defs if d.base in SPELLS])
+
+    @property
+    def freqs(self) -> list[str]:
+        return sorted({d.freq for d in [*self.folded, *self.rolling, *self.runs]})
+
+    @property
+    def windows(self) -> list[int]:
+        return sorted({_needs(d) for d in self.rolling})
+
+    @property
+    def conditions(self) -> list[tuple[float, float]]:
+        return sorted({_hot(d) for d in self.runs})
 
 
-def _folded(df: DataFrame, defs: Sequence[Definition], missing: str | float) -> DataFrame:
-    freqs = sorted({d.freq for d in defs})
-    parts, folds = [], []
-    for i, d in enumerate(defs):
+def monthly_summaries(df: DataFrame, plan: Plan) -> DataFrame:
+    """One row per (cell, month): s/n of each folded index, the days of ``pr``, a bit map per condition of runs."""
+    parts = []
+    for i, d in enumerate(plan.folded):
         base = BASES[d.base]
         have = reduce(lambda a, b: a & b, [F.col(v).isNotNull() for v in base.inputs])
         parts += [F.sum(F.when(have, base.value(d.params))).alias(f"s{i}"), F.count_if(have).alias(f"n{i}")]
-        folds += [F.sum(f"s{i}").alias(f"s{i}"), F.sum(f"n{i}").alias(f"n{i}")]
-    monthly = with_tas(df).groupBy(*KEYS, month_number("year", "month").alias("month_no")).agg(*parts)
-    periods = _to_periods(monthly, freqs, folds).withColumn("_expected", _expected(freqs))
-    rows = F.array_compact(F.array(*[
-        F.when(F.col("freq") == d.freq, F.struct(
-            F.lit(d.name).alias("name"),
-            F.when(
-                _enough(F.col(f"n{i}"), F.col("_expected"), missing),
-                F.col(f"s{i}") / F.col(f"n{i}") if BASES[d.base].how == "mean" else F.col(f"s{i}"),
-            ).alias("value"),
-        )) for i, d in enumerate(defs)
-    ]))
-    return _tidy(periods.withColumn("_r", F.explode(rows)), F.col("_r.name"), F.col("freq"), F.col("_r.value"))
-
-
-def _rolling(df: DataFrame, defs: Sequence[Definition], missing: str | float) -> DataFrame:
-    freqs = sorted({d.freq for d in defs})
-    windows = sorted({int(d.params.get("window", 5)) for d in defs})
-    rolled = df.select(*KEYS, "year", "month", "day", "t", "pr")
-    for n in windows:
-        rolled = rolling_sum(rolled, "pr", n, f"r{n}", KEYS)
-    monthly = rolled.groupBy(*KEYS, month_number("year", "month").alias("month_no")).agg(
-        F.count("pr").alias("n"),
-        *[F.max(f"r{n}").alias(f"r{n}") for n in windows],
-        *[F.max(F.when(F.col("day") >= n, F.col(f"r{n}"))).alias(f"own{n}") for n in windows],
-    )
-    if "2QS-OCT" in freqs:
-        # Half-yearly series start with the first April: earlier months are left out, and so are the sums of that
-        # April that reach back into March.
-        # One row per dataset, written out so that its size is known and it is broadcast.
-        april = cut_lineage(df.where(F.col("month") == 4).groupBy("dataset_id").agg(
-            F.min(month_number("year", "month")).alias("_first_april")
-        ))
-        monthly = monthly.join(april, "dataset_id", "left")
-    else:
-        monthly = monthly.withColumn("_first_april", F.lit(0))
-
-    def month_max(n: int) -> Column:
-        starts_here = (F.col("freq") == "2QS-OCT") & (F.col("month_no") == F.col("_first_april"))
-        return F.when(starts_here, F.col(f"own{n}")).otherwise(F.col(f"r{n}"))
-
-    choices = F.array_compact(F.array(*[
-        F.when(
-            (F.lit(f) != "2QS-OCT") | (F.col("month_no") >= F.col("_first_april")),
-            F.struct(F.lit(f).alias("freq"), period_number("month_no", f).alias("period_no")),
-        ) for f in freqs
-    ]))
-    periods = (
-        monthly.withColumn("_f", F.explode(choices)).select("*", "_f.freq", "_f.period_no")
-        .groupBy(*KEYS, "freq", "period_no")
-        .agg(F.sum("n").alias("n"), *[F.max(month_max(n)).alias(f"r{n}") for n in windows])
-        .withColumn("_expected", _expected(freqs))
-    )
-    rows = F.array_compact(F.array(*[
+    if plan.rolling:
+        parts += [F.count("pr").alias("n_pr"), *[F.max(F.when(F.col("day") == k, F.col("pr"))).alias(f"d{k}") for k in range(1, 32)]]
+    if plan.runs:
+        hot = F.col("tasmax").isNotNull() & F.col("tasmin").isNotNull()
+        bit = F.expr("shiftleft(1, 31 - day)")  # the first day is the highest bit
+        parts += [F.count_if(hot).alias("n_hot"), *[
+            F.bit_or(F.when((F.col("tasmin") > tn) & (F.col("tasmax") > tx), bit).otherwise(0)).alias(f"b{i}")
+            for i, (tn, tx) in enumerate(plan.conditions)]]
+    needs_tas = any("tas" in BASES[d.base].inputs for d in plan.folded)
+    days = with_tas(df) if needs_tas else df
+    monthly = days.groupBy(*KEYS, month_number("year", "month").alias("month_no")).agg(*parts, F.max("month").alias("month"))
+    if not plan.rolling:
+        return monthly
+    reach = max(plan.windows) - 1
+    length = days_in_period("calendar", "month_no", "MS")
+    by_month = Window.partitionBy(*KEYS).orderBy("month_no")
+    follows = F.lag("month_no").over(by_month) == F.col("month_no") - 1
+    tail = F.array(*[F.get(F.array(*[F.col(f"d{k}") for k in range(1, 32)]), length - j) for j in range(reach, 0, -1)])
+    before = F.when(follows, F.lag(tail).over(by_month))
+    monthly = monthly.withColumn("_before", before)
+    sums = {}
+    for n in plan.windows:
+        row = [F.get("_before", F.lit(reach - j)) for j in range(n - 1, 0, -1)] + [F.col(f"d{k}") for k in range(1, 32)]
+        sums[f"r{n}"] = longest_sums(row, n)
+        sums[f"own{n}"] = longest_sums(row[n - 1:], n)
+    return monthly.withColumns(sums).drop("_before", *[f"d{k}" for k in range(1, 32)])
+
+
+def _periods(monthly: DataFrame, plan: Plan) -> DataFrame:
+    """The months of each period of every frequency merged."""
+    folds = [c for i in range(len(plan.folded)) for c in (F.sum(f"s{i}").alias(f"s{i}"), F.sum(f"n{i}").alias(f"n{i}"))]
+    if plan.rolling:
+        folds.append(F.sum("n_pr").alias("n_pr"))
+        for n in plan.windows:
+            # A half-yearly series starts with its dataset's first April; of that month only sums inside it count.
+            first = F.when(F.col("month") == 4, F.col(f"own{n}")).otherwise(F.col(f"r{n}"))
+            folds += [F.max(f"r{n}").alias(f"r{n}"), F.max(first).alias(f"first{n}")]
+    if plan.runs:
+        folds.append(F.sum("n_hot").alias("n_hot"))
+        bits = F.struct("month_no", days_in_period("calendar", "month_no", "MS").alias("length"), *[f"b{i}" for i in range(len(plan.conditions))])
+        of_runs = F.col("freq").isin(sorted({d.freq for d in plan.runs}))
+        folds.append(F.collect_list(F.when(of_runs, bits)).alias("months"))
+    choices = F.array(*[F.struct(F.lit(f).alias("freq"), period_number("month_no", f).alias("period_no")) for f in plan.freqs])
+    spread = monthly.withColumn("_f", F.explode(choices)).select("*", "_f.freq", "_f.period_no").drop("_f")
+    out = spread.groupBy(*KEYS, "freq", "period_no").agg(*folds, F.bool_or(F.col("month") == 4).alias("april"))
+    expected = None
+    for f in plan.freqs:
+        days = days_in_period("calendar", "period_no", f)
+        expected = F.when(F.col("freq") == f, days) if expected is None else expected.when(F.col("freq") == f, days)
+    return out.withColumn("_expected", expected)
+
+
+def _values(periods: DataFrame, plan: Plan, missing: str | float) -> DataFrame:
+    """(dataset_id, cell_id, indicator, freq, period_no, value, first, april): every definition at every period of its frequency."""
+    enough = lambda n: _enough(F.col(n), F.col("_expected"), missing)
+    rows = []
+    for i, d in enumerate(plan.folded):
+        value = F.col(f"s{i}") / F.col(f"n{i}") if BASES[d.base].how == "mean" else F.col(f"s{i}")
+        rows.append((d, F.when(enough(f"n{i}"), value), None))
+    for d in plan.rolling:
+        n = _needs(d)
+        rows.append((d, F.when(enough("n_pr"), F.col(f"r{n}")), F.when(enough("n_pr"), F.col(f"first{n}"))))
+    if plan.runs:
+        periods = periods.withColumn("months", F.array_sort("months"))
+        runs = {}
+        for d in plan.runs:
+            key = plan.conditions.index(_hot(d)), _needs(d)
+            runs[f"run{key[0]}_{key[1]}"] = run_lengths("months", f"b{key[0]}", key[1])
+        periods = periods.withColumns(runs)
+        for d in plan.runs:
+            found = F.col(f"run{plan.conditions.index(_hot(d))}_{_needs(d)}.{SPELLS[d.base]}")
+            rows.append((d, F.when(enough("n_hot"), found), None))
+    null = F.lit(None).cast("double")
+    values = F.array_compact(F.array(*[
         F.when(F.col("freq") == d.freq, F.struct(
-            F.lit(d.name).alias("name"), F.col(f"r{int(d.params.get('window', 5))}").alias("value"),
-        )) for d in defs
+            F.lit(d.name).alias("indicator"), value.cast("double").alias("value"), (null if first is None else first).cast("double").alias("first"),
+        )) for d, value, first in rows
     ]))
-    value = F.when(_enough(F.col("n"), F.col("_expected"), missing), F.col("_r.value"))
-    return _tidy(periods.withColumn("_r", F.explode(rows)), F.col("_r.name"), F.col("freq"), value)
-
-
-def _heat_waves(df: DataFrame, defs: Sequence[Definition], missing: str | float, min_len: int = 3) -> DataFrame:
-    """Total length and number of heat waves.  All threshold pairs are handled in one pass over the hot days."""
-    def limits(d: Definition) -> tuple[float, float, int]:
-        p = d.params
-        return threshold(p["thresh_tasmin"], "K"), threshold(p["thresh_tasmax"], "K"), int(p.get("window", min_len))
-
-    out = []
-    for freq in sorted({d.freq for d in defs}):
-        mine = [d for d in defs if d.freq == freq]
-        pairs = sorted({limits(d) for d in mine})
-        have = F.col("tasmax").isNotNull() & F.col("tasmin").isNotNull()
-        daily = df.select(*KEYS, "t", "tasmax", "tasmin", period_number(month_number("year", "month"), freq).alias("period_no"))
-        periods = daily.groupBy(*KEYS, "period_no").agg(F.count_if(have).alias("n"))
-        hot = daily.where(F.col("tasmin").isNotNull()).select(
-            *KEYS, "period_no", "t",
-            F.explode(F.array_compact(F.array(*[
-                F.when((F.col("tasmin") > tn) & (F.col("tasmax") > tx), F.lit(i)) for i, (tn, tx, _) in enumerate(pairs)
-            ]))).alias("pair"),
-        )
-        runs = spells(hot, F.lit(True), min(p[2] for p in pairs), ("period_no", "pair"), KEYS)
-        long_enough = reduce(
-            lambda a, b: a | b, [(F.col("pair") == i) & (F.col("length") >= p[2]) for i, p in enumerate(pairs)]
-        )
-        per = runs.where(long_enough).groupBy(*KEYS, "period_no").agg(*[
-            c for i in range(len(pairs)) for c in (
-                F.sum(F.when(F.col("pair") == i, F.col("length"))).alias(f"total{i}"),
-                F.count_if(F.col("pair") == i).alias(f"count{i}"),
-            )
-        ])
-        joined = periods.join(per, [*KEYS, "period_no"], "left").withColumn(
-            "_expected", days_in_period("calendar", "period_no", freq)
-        )
-        rows = F.array(*[
-            F.struct(
-                F.lit(d.name).alias("name"),
-                F.coalesce(F.col(f"{SPELLS[d.base]}{pairs.index(limits(d))}").cast("double"), F.lit(0.0)).alias("value"),
-            ) for d in mine
-        ])
-        value = F.when(_enough(F.col("n"), F.col("_expected"), missing), F.col("_r.value"))
-        out.append(_tidy(joined.withColumn("_r", F.explode(rows)), F.col("_r.name"), F.lit(freq), value))
-    return reduce(DataFrame.unionByName, out)
+    return periods.withColumn("_r", F.explode(values)).select("dataset_id", "cell_id", "_r.indicator", "freq", "period_no", "_r.value", "_r.first", "april")
 
 
 def compute_indicators(df: DataFrame, defs: Sequence[Definition], missing: str | float = "any") -> DataFrame:
-    """All definitions in one plan: (dataset_id, indicator, freq, cell_id, period_start, value)."""
+    """All definitions from one scan: (dataset_id, indicator, freq, cell_id, period_start, value).
+
+    There is a row for every cell of a dataset and every period between the dataset's first and last month: NULL where a cell has no day in
+    a period, whatever the rule for missing days.  Half-yearly rolling sums begin with the dataset's first April.
+    """
     unknown = [d.base for d in defs if d.base not in BASES and d.base != ROLLING and d.base not in SPELLS]
     if unknown:
         raise ValueError(f"unknown index bases: {unknown}")
-    branches = []
-    if folded := [d for d in defs if d.base in BASES]:
-        branches.append(_folded(df, folded, missing))
-    if rolling := [d for d in defs if d.base == ROLLING]:
-        branches.append(_rolling(df, rolling, missing))
-    if heat := [d for d in defs if d.base in SPELLS]:
-        branches.append(_heat_waves(df, heat, missing))
-    return _every_period(reduce(DataFrame.unionByName, branches), df, defs)
-
-
-def _every_period(out: DataFrame, df: DataFrame, defs: Sequence[Definition]) -> DataFrame:
-    """A row for every cell of a dataset and every period between the dataset's first and last month: NULL where a cell has
-    no day in a period, whatever the rule for missing days."""
-    months = month_number("year", "month")
-    april = F.min(F.when(F.col("month") == 4, months))
-    per_cell = cut_lineage(df.groupBy(*KEYS).agg(F.min(months).alias("lo"), F.max(months).alias("hi"), april.alias("april")))
-    spans = cut_lineage(per_cell.groupBy("dataset_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("april").alias("april")))
-    wanted = []
-    for d in defs:
-        # Half-yearly rolling series start with the first April.
-        first = F.col("april") if d.base == ROLLING and d.freq == "2QS-OCT" else F.col("lo")
-        lo, hi = period_number(first, d.freq), period_number("hi", d.freq)
-        numbers = F.when(lo <= hi, F.sequence(lo, hi, F.lit(FREQUENCIES[d.freq][0])))
-        wanted.append(F.struct(F.lit(d.name).alias("indicator"), F.lit(d.freq).alias("freq"), numbers.alias("numbers")))
-    every = (
-        per_cell.select("dataset_id", "cell_id").distinct().join(spans, "dataset_id")
-        .select("dataset_id", "cell_id", F.explode(F.array(*wanted)).alias("w"))
-        .select("dataset_id", "cell_id", "w.indicator", "w.freq", F.explode("w.numbers").alias("period_no"))
-        .withColumn("period_start", month_to_date("period_no")).drop("period_no")
-    )
-    keys = ["dataset_id", "indicator", "freq", "cell_id", "period_start"]
-    return every.join(out, keys, "left").select(*keys, "value")
+    plan = Plan.of(defs)
+    # The periods a dataset spans and its first April are known when all its cells are folded, so the folded rows are stored.
+    found = cut_lineage(_values(_periods(monthly_summaries(df, plan), plan), plan, missing))
+    half_yearly = [d.name for d in plan.rolling if d.freq == "2QS-OCT"]
+    spans = found.groupBy("dataset_id", "indicator", "freq").agg(
+        F.min("period_no").alias("lo"), F.max("period_no").alias("hi"), F.min(F.when(F.col("april"), F.col("period_no"))).alias("april"))
+    starts = F.when(F.col("indicator").isin(half_yearly), F.col("april")).otherwise(F.col("lo"))
+    step = F.element_at(F.create_map(*[c for f in plan.freqs for c in (F.lit(f), F.lit(FREQUENCIES[f][0]))]), F.col("freq"))
+    spans = cut_lineage(spans.select(
+        "dataset_id", "indicator", "freq", "april", F.when(starts <= F.col("hi"), F.sequence(starts, F.col("hi"), step)).alias("numbers")))
+    spans = small_enough_to_broadcast(spans)  # one row per dataset and definition
+    every = found.select("dataset_id", "cell_id").distinct().join(spans, "dataset_id").select(
+        "dataset_id", "indicator", "freq", "cell_id", "april", F.explode("numbers").alias("period_no"))
+    keys = ["dataset_id", "indicator", "freq", "cell_id", "period_no"]
+    value = F.when(F.col("indicator").isin(half_yearly) & (F.col("period_no") == F.col("april")), F.col("first")).otherwise(F.col("value"))
+    return every.join(found.drop("april"), keys, "left").select(
+        "dataset_id", "indicator", "freq", "cell_id", month_to_date("period_no").alias("period_start"), value.alias("value"))
 
 
 def missing_indicators(defs: Sequence[Definition], catalog: DataFrame, ids: DataFrame) -> DataFrame:

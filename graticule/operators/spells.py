@@ -49,6 +49,27 @@ def spells(
     )
 
 
+def longest_sums(days: Sequence[Column], n: int) -> Column:
+    """The largest sum of ``n`` neighbours among columns that hold consecutive days; a missing day takes part in no sum."""
+    sums = [sum(days[i + 1:i + n], days[i]) for i in range(len(days) - n + 1)]
+    return F.greatest(*sums) if len(sums) > 1 else sums[0] if sums else F.lit(None).cast("double")
+
+
+def run_lengths(months: str, bits: str, min_len: int) -> Column:
+    """Runs of set bits in a period: struct (total length, count) of those of ``min_len`` days and more.
+
+    ``months`` is the sorted list of the period's months: month_no, length in days and a map of bits whose highest of 31 is the first
+    day.  A run goes on from a month to the next, not over a month that is absent.
+    """
+    text = lambda m: F.substring(F.lpad(F.bin(m[bits]), 31, "0"), F.lit(1), m["length"])
+    gap = lambda m, i: F.when((i > 0) & (F.get(months, i - 1)["month_no"] != m["month_no"] - 1), "0").otherwise("")
+    # Few periods have such a run: the others are told by their bits alone.
+    some = F.exists(months, lambda m: m[bits] != 0)
+    line = F.when(some, F.array_join(F.transform(months, lambda m, i: F.concat(gap(m, i), text(m))), "")).otherwise("")
+    runs = F.regexp_extract_all(line, F.lit(f"(1{{{min_len},}})"), F.lit(1))
+    return F.struct(F.length(F.array_join(runs, "")).cast("long").alias("total"), F.size(runs).cast("long").alias("count"))
+
+
 def ranges_of_days(days: DataFrame, keys: Sequence[str] = ("dataset_id",)) -> DataFrame:
     """Consecutive days folded to (first_t, last_t)."""
     runs = spells(days, F.lit(True), 1, (), keys)
