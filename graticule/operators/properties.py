@@ -11,12 +11,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import quantiles as Q
-from ..functions.calendars import period_start
+from ..functions.calendars import month_number, period_start
 from ..functions.units import threshold
-from ..session import by_cell, cut_lineage
+from ..session import by_cell, cut_lineage, small_enough_to_broadcast
 from .definitions import Definition
 from .indices import compare
-from .selection import align, in_period, with_cell_threshold
+from .selection import align, in_period
 from .spells import KEYS, average_rank, with_next_day
 
 K = list(KEYS)
@@ -226,23 +226,68 @@ def rmse(a: DataFrame, b: DataFrame, values: Sequence[str], on: Sequence[str], k
 MONTHLY = {"tx_mean_rmse": ("mean", "tasmax"), "tn_mean_rmse": ("mean", "tasmin"), "prcptot_rmse": ("sum", "pr")}
 
 
+def _cells_with_months(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per cell: its months (means, total, the values of ``pr``), counts of values and the span of its days.
+
+    Days are hashed by cell once, months and cells follow from that; a list has one element per month, and one per day in it.
+    """
+    variables = ("tasmax", "tasmin", "pr")
+    months = by_cell(df.select(*keys, "year", "month", "t", *variables)).groupBy(*keys, "year", month_number("year", "month").alias("month_no")).agg(
+        *[{"mean": F.avg, "sum": F.sum}[op](v).alias(name) for name, (op, v) in MONTHLY.items()],
+        F.collect_list("pr").alias("prs"), *[F.count(v).alias(f"n_{v}") for v in variables], F.min("t").alias("lo"), F.max("t").alias("hi"))
+    return months.groupBy(*keys).agg(
+        F.collect_list(F.struct("month_no", "year", *MONTHLY, "prs")).alias("months"),
+        *[F.sum(f"n_{v}").alias(f"n_{v}") for v in variables], F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+
+
 def checkup(
     sim: DataFrame, ref: DataFrame, ref_period: tuple[int, int], fut_period: tuple[int, int] | None = None
 ) -> DataFrame:
-    """Properties of the check-up per (dataset, cell): wet-extreme frequencies, missing values, three monthly RMSE."""
-    ref = in_period(ref, *ref_period)
-    hist = in_period(sim, *ref_period)
-    thr = ref.groupBy("cell_id").agg(F.percentile("pr", F.lit(0.99)).alias("q99"))
-    over = F.when(F.col("pr").isNotNull(), F.when(F.col("pr") >= F.col("q99"), 1.0).otherwise(0.0))
-    year = F.col("year")
-    freqs = with_cell_threshold(sim, thr).groupBy(*K).agg(
-        F.avg(F.when(year.between(*ref_period), over)).alias("pr_wet_freq_q99_hist"),
-        *([F.avg(F.when(year.between(*fut_period), over)).alias("pr_wet_freq_q99_fut")] if fut_period else []),
-    )
-    missing = nan_count(sim, days_expected(sim)).withColumnRenamed("value", "nan_count")
-    monthly_ref = resample(ref, "MS", MONTHLY).drop("dataset_id")
-    err = rmse(resample(hist, "MS", MONTHLY), monthly_ref, list(MONTHLY), ["cell_id", "period_start"], K)
-    return freqs.join(missing, K, "full").join(err, K, "full")
+    """Properties of the check-up per (dataset, cell): wet-extreme frequencies, missing values, three monthly RMSE.
+
+    Each side is read once and its days are exchanged once, by cell; both meet as one row per cell.
+    """
+    ref_cells = _cells_with_months(in_period(ref, *ref_period), ["cell_id"]).select(
+        "cell_id", Q.one_of_sorted_array(F.sort_array(F.flatten("months.prs")), F.lit(0.99)).alias("q99"),
+        F.map_from_entries(F.transform("months", lambda m: F.struct(m["month_no"], F.struct(*[m[v].alias(v) for v in MONTHLY])))).alias("ref"))
+    cells = _cells_with_months(sim, K).join(ref_cells, "cell_id", "left")
+
+    def inside(period):
+        return F.filter("months", lambda m: m["year"].between(*period))
+
+    def frequency(period):
+        values = F.flatten(F.transform(inside(period), lambda m: m["prs"]))
+        over = F.size(F.filter(values, lambda v: v >= F.col("q99")))
+        return F.when(F.col("q99").isNotNull(), F.try_divide(over, F.size(values)))
+
+    def error(name):
+        gaps = F.transform(inside(ref_period), lambda m: F.pow(m[name] - F.try_element_at("ref", m["month_no"])[name], F.lit(2.0)))
+        some = F.filter(gaps, lambda g: g.isNotNull())
+        return F.sqrt(F.try_divide(F.aggregate(some, F.lit(0.0), lambda a, g: a + g), F.size(some)))
+
+    present = F.col("n_tasmax") + F.col("n_tasmin") + F.col("n_pr")
+    found = cut_lineage(cells.select(
+        *K, frequency(ref_period).alias("pr_wet_freq_q99_hist"), *([frequency(fut_period).alias("pr_wet_freq_q99_fut")] if fut_period else []),
+        present.alias("present"), "lo", "hi", *[error(v).alias(v) for v in MONTHLY]))
+    # Days without a row count as missing: the span is that of the dataset.
+    spans = small_enough_to_broadcast(found.groupBy("dataset_id").agg((F.max("hi") - F.min("lo") + 1).alias("n_days")))
+    missing = (3 * F.col("n_days") - F.col("present")) / 3.0
+    values = [c for c in found.columns if c not in (*K, "present", "lo", "hi", *MONTHLY)]
+    return found.join(spans, "dataset_id").select(*K, *values, missing.alias("nan_count"), *MONTHLY)
+
+
+def checkup_report(checkups: DataFrame) -> DataFrame:
+    """Check-ups of simulation and scenario (column ``step``: sim, scen) as one table of maps in long form: (dataset_id, cell_id,
+    measure, sim, scen, difference, distance, improvement), and the change of the wet-extreme frequency in each."""
+    names = [c for c in checkups.columns if c not in (*K, "step")]
+    change = [F.struct(F.lit("pr_wet_freq_q99_change").alias("measure"), (F.col("pr_wet_freq_q99_fut") - F.col("pr_wet_freq_q99_hist")).alias("value"))]
+    rows = F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in names],
+                   *(change if "pr_wet_freq_q99_fut" in names else []))
+    long = checkups.select(*K, "step", F.explode(rows).alias("r"))
+    sides = long.groupBy(*K, "r.measure").agg(
+        *[F.max(F.when(F.col("step") == s, F.col("r.value"))).alias(s) for s in ("sim", "scen")])
+    a, b = F.col("sim"), F.col("scen")
+    return sides.withColumns({"difference": a - b, "distance": F.abs(a - b), "improvement": F.abs(a) - F.abs(b)})
 
 
 def compare_maps(a: DataFrame, b: DataFrame, value: str, op: str = "difference", on: Sequence[str] = ("cell_id",)) -> DataFrame:

@@ -33,7 +33,8 @@ def test_scenario_is_produced_and_continued(spark, inputs, tmp_path):
     assert scen.count() == want
     again = scenario.produce(*args)
     assert again.count() == want
-    final = spark.read.parquet(str(tmp_path / "s" / "final"))
+    store = scenario.Store.at(spark, str(tmp_path / "s"), sim)
+    final = store.final.read()
     assert final.count() == (X.TARGET[1] - X.TARGET[0] + 1) * 365 and final.where("tasmax IS NOT NULL").count() == want
     assert final.schema["pr"].metadata["standard_name"] == "precipitation_flux"
     # A second run reads no days: inputs that would fail are never touched.
@@ -46,6 +47,40 @@ def test_scenario_is_produced_and_continued(spark, inputs, tmp_path):
     bias = scen.where("year <= 1998").agg(F.avg("tasmax")).first()[0] - ref.where("year <= 1998").agg(F.avg("tasmax")).first()[0]
     assert abs(bias) < 0.5
     assert {r.step for r in spark.read.parquet(str(tmp_path / "s" / "checkup")).collect()} == {"sim", "scen"}
+    report = {(r.cell_id, r.measure): r for r in spark.read.parquet(str(tmp_path / "s" / "report")).collect()}
+    assert {m for _, m in report} > {"nan_count", "tx_mean_rmse", "pr_wet_freq_q99_change"}
+    row = report[0, "tx_mean_rmse"]
+    assert row.difference == row.sim - row.scen and row.improvement > 0
+    # A shorter target period replaces the longer one, in the scenario and in the final store.
+    short = B.Conf(B.STANDARD_VARIABLES, X.REF_PERIOD, (1996, 1999), loess_f=0.6)
+    less = scenario.produce(spark, ref, sim, cells, weights, args[5], short, X.FUT_PERIOD, args[8], ids=["sim"])
+    assert {r.year for r in less.select("year").distinct().collect()} <= {1996, 1997, 1998, 1999}
+    assert store.final.read(["sim"]).count() == 4 * 365 and store.final.read(["sim2"]).count() == 7 * 365
+    # What lies in the buckets is grouped and joined where it is: only factors and rows per cell or dataset are exchanged.
+    table = lambda name, *by: store.table(name, by).read()
+    reference, regridded = table("reference", "calendar"), table("regridded")
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+    assert exchanges(B.train(reference, regridded, short)) == 0
+    assert exchanges(B.adjust(table("training"), regridded, short)) == 0
+    assert store.table("scenario").stale() and store.table("scenario").remove_stale() and not store.table("scenario").stale()
+    assert store.table("scenario").read(["sim"]).count() == less.count()
+
+
+def test_a_broken_write_leaves_the_former_version(spark, sf_dir, tmp_path):
+    from graticule.sources.store import Table
+    days = X.dataset(X.daily(spark, sf_dir), "sim")
+    for buckets in (0, 3):
+        table = Table(spark, str(tmp_path / f"t{buckets}"), buckets)
+        with pytest.raises(FileNotFoundError):
+            table.read()
+        table.write(days, ["sim"], "a")
+        n = table.read().count()
+        broken = days.withColumn("pr", F.when(F.col("year") == 1997, F.raise_error(F.lit("broken")).cast("double")).otherwise(F.col("pr")))
+        with pytest.raises(Exception, match="broken"):
+            table.write(broken, ["sim"], "b")
+        assert table.finished("a") == {"sim"} and not table.finished("b") and table.read().count() == n and len(table.stale()) <= 1
+        table.write(days.where("year > 3000"), ["sim"], "c")
+        assert table.read().count() == 0 and table.finished("c") == {"sim"}
 
 
 def test_indices_are_computed_once(spark, sf_dir, tmp_path):
