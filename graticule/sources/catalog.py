@@ -45,6 +45,39 @@ def scan_paths(
     return catalog_rows(files.select(F.regexp_replace("path", "/[^/]*$", "").alias("path")).distinct(), patterns, constants)
 
 
+def listing(spark: SparkSession, root: str | Sequence[str], glob: str) -> DataFrame:
+    """The dataset folders below ``root`` as they are now: path, number of files, bytes, time of the latest file.
+
+    Names, times and sizes only; large trees are listed in tasks.
+    """
+    roots = [root] if isinstance(root, str) else list(root)
+    files = (
+        spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+        .load(roots).select("path", "modificationTime", "length")
+    )
+    return files.groupBy(F.regexp_replace("path", "/[^/]*$", "").alias("path")).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), F.max("modificationTime").alias("modified"))
+
+
+def listing_changes(former: DataFrame, now: DataFrame) -> DataFrame:
+    """(path, change): ``added``, ``changed`` or ``removed``, from two listings; folders that are as they were have no row."""
+    marks = ["files", "bytes", "modified"]
+    a = former.select("path", F.struct(*marks).alias("_a"))
+    b = now.select("path", F.struct(*marks).alias("_b"))
+    change = (
+        F.when(F.col("_a").isNull(), "added").when(F.col("_b").isNull(), "removed").when(F.col("_a") != F.col("_b"), "changed"))
+    return a.join(b, "path", "full").select("path", change.alias("change")).where(F.col("change").isNotNull())
+
+
+def rescan(
+    catalog: DataFrame, changes: DataFrame, patterns: Sequence[str], constants: dict[str, str],
+) -> DataFrame:
+    """The catalog after ``changes``: only added and changed paths are parsed, removed ones leave, all other rows stay as they are."""
+    kept = catalog.join(changes.select("path"), "path", "left_anti")
+    fresh = catalog_rows(changes.where("change <> 'removed'").select("path"), patterns, constants)
+    return kept.unionByName(fresh, allowMissingColumns=True)
+
+
 def catalog_rows(paths: DataFrame, patterns: Sequence[str], constants: dict[str, str]) -> DataFrame:
     """Parse the fields of ``path`` and add constant facets; the first pattern that fits wins."""
     fields = parse_path(F.col("path"), patterns)
