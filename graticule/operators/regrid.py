@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut_lineage, small_enough_to_broadcast
 
@@ -55,32 +55,41 @@ def bilinear_weights(axes: Axes, cells: DataFrame) -> DataFrame:
 def regrid(
     df: DataFrame, weights: DataFrame, variables: Sequence[str], unmapped_to_null: bool = True, corners: int = 4,
     time_cols: Sequence[str] = ("calendar", "year", "month", "day", "doy", "date"), broadcast_bytes: int = 64 << 20,
-    tile_cells: int = 4096, day_groups: int = 16,
+    tile_cells: int = 4096, rows_per_partition: int = 1 << 19,
 ) -> DataFrame:
     """Weighted sums of source cells at the target cells of ``weights``, per dataset and day.
 
-    Only coarse rows are exchanged.  Weights of up to ``broadcast_bytes`` are broadcast: the source rows are hashed by (dataset,
+    Only coarse rows are exchanged, once.  Weights of up to ``broadcast_bytes`` are broadcast: the source rows are hashed by (dataset,
     day), the weight join multiplies rows inside the partition and the sum over corners is local to it.  Larger weights are cut
     into tiles of ``tile_cells`` successive target cells: a coarse row is copied to the few tiles that need it, both sides are
-    hashed by (tile, group of days), and join and sum are local again.  Neighbouring targets should have neighbouring numbers.
+    hashed by (tile, group of days), and join and sum are local again.  There are as many groups of days as leave
+    ``rows_per_partition`` coarse rows to a partition, whatever the number of days and datasets.  Neighbouring targets should have
+    neighbouring numbers.
 
     With ``unmapped_to_null`` a target with fewer than ``corners`` present corners gets NULL, and a target outside the
     source always does.  Targets may be a full grid or a list of points; a curvilinear source needs only its own weight table.
     """
     carried = [c for c in time_cols if c in df.columns]
     source = df.select("dataset_id", F.col("cell_id").alias("src_cell"), "t", *carried, *variables)
+    if not weights.where(F.col("src_cell") == NOWHERE).limit(1).isEmpty():
+        source = source.unionByName(_nowhere(source, carried, variables))
     sized = small_enough_to_broadcast(weights, broadcast_bytes)
     if sized is not weights:
-        spread = _with_nowhere(source.repartition("dataset_id", "t"), carried, variables).join(sized, "src_cell")
+        spread = source.repartition("dataset_id", "t").join(sized, "src_cell")
         keys = []
     else:
         keys = ["_tile", "_days"]
         tiled = cut_lineage(weights.withColumn("_tile", F.floor(F.col("dst_cell") / tile_cells).cast("int")))
-        needed = small_enough_to_broadcast(cut_lineage(tiled.select("src_cell", "_tile").distinct()))
-        n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), tiled.select("_tile").distinct().count() * day_groups)
-        groups = F.explode(F.sequence(F.lit(0), F.lit(day_groups - 1)))
-        rows = _with_nowhere(source, carried, variables).join(needed, "src_cell").withColumn("_days", F.pmod("t", F.lit(day_groups)))
-        spread = rows.repartition(n, *keys).join(tiled.withColumn("_days", groups).repartition(n, *keys), [*keys, "src_cell"])
+        needed = cut_lineage(tiled.select("src_cell", "_tile").distinct())
+        size = needed.agg(F.count(F.lit(1)).alias("pairs"), F.count_distinct("src_cell").alias("cells"), F.count_distinct("_tile").alias("tiles")).first()
+        # Rows to deal: each day of each dataset has the pairs (source cell, tile) that its cells take part in.
+        rows = df.count() * size["pairs"] // max(size["cells"], 1)
+        groups = max(1, -(-rows // (max(size["tiles"], 1) * rows_per_partition)))
+        n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), size["tiles"] * groups)
+        group = F.pmod(F.xxhash64("dataset_id", "t"), F.lit(groups)).cast("int")
+        dealt = source.join(small_enough_to_broadcast(needed), "src_cell").withColumn("_days", group)
+        every = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
+        spread = dealt.repartition(n, *keys).join(tiled.withColumn("_days", every).repartition(n, *keys), [*keys, "src_cell"])
     sums = spread.groupBy("dataset_id", "t", *carried, F.col("dst_cell").alias("cell_id"), *keys).agg(*[
         F.when(F.count(v) == corners, F.sum(F.col("w") * F.col(v))).alias(v) if unmapped_to_null
         else (F.sum(F.col("w") * F.col(v)) / F.sum(F.when(F.col(v).isNotNull(), F.col("w")))).alias(v)
@@ -89,11 +98,8 @@ def regrid(
     return sums.drop(*keys)
 
 
-def _with_nowhere(source: DataFrame, carried: Sequence[str], variables: Sequence[str]) -> DataFrame:
-    """One row of each day also stands for "nowhere", so that targets outside the source get a row a day."""
-    day = Window.partitionBy("dataset_id", "t").orderBy("src_cell")
-    own = F.struct("src_cell", *variables)
+def _nowhere(source: DataFrame, carried: Sequence[str], variables: Sequence[str]) -> DataFrame:
+    """A row of every day that stands for "nowhere", so that targets outside the source get a row a day."""
     empty = [F.lit(None).cast(source.schema[v].dataType).alias(v) for v in variables]
-    nowhere = F.struct(F.lit(NOWHERE).alias("src_cell"), *empty)
-    both = F.when(F.row_number().over(day) == 1, F.array(own, nowhere)).otherwise(F.array(own))
-    return source.withColumn("_s", both).select("dataset_id", "t", *carried, F.explode("_s").alias("_s")).select("dataset_id", "t", *carried, "_s.*")
+    days = source.select("dataset_id", "t", *carried).distinct()
+    return days.select("dataset_id", F.lit(NOWHERE).cast(source.schema["src_cell"].dataType).alias("src_cell"), "t", *carried, *empty)

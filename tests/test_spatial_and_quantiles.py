@@ -108,7 +108,7 @@ def test_large_weights_move_coarse_rows_only(spark):
         F.col("id").cast("int").alias("cell_id"), (44.9 + F.expr("id div 30") * 0.07).alias("lat"), (-75.0 + F.col("id") % 30 * 0.07).alias("lon"))
     weights = G.bilinear_weights(axes, targets)
     small = G.regrid(src, weights, ["x"])
-    tiled = G.regrid(src, weights, ["x"], broadcast_bytes=0, tile_cells=90, day_groups=4)
+    tiled = G.regrid(src, weights, ["x"], broadcast_bytes=0, tile_cells=90, rows_per_partition=200)
     key = lambda r: (r.t, r.cell_id)
     a, b = sorted(small.collect(), key=key), sorted(tiled.collect(), key=key)
     assert [key(r) for r in a] == [key(r) for r in b] and len(a) == 900 * 40
@@ -141,3 +141,58 @@ def test_annual_cycle_of_a_sine(spark):
         F.lit("d").alias("dataset_id"), F.lit(1).alias("cell_id"), (2001 + F.expr("id div 365")).cast("int").alias("year"),
         (283 + 10 * F.sin(2 * np.pi * (F.col("id") % 365 + 1) / 365)).alias("tasmax"))
     assert M.annual_cycle_amplitude(df, "tasmax").first().value == pytest.approx(20, abs=0.01)
+
+
+def test_tiled_regridding_moves_coarse_rows_once_in_groups_of_a_set_size(spark):
+    from graticule.operators import regrid as G
+    axes = G.Axes(0.0, 1.0, 8, 0.0, 1.0, 8)
+    cells = spark.range(400).selectExpr("CAST(id AS INT) AS cell_id", "(id div 20) * 0.4D AS lat", "(id % 20) * 0.36D AS lon")
+    weights = G.bilinear_weights(axes, cells)
+    src = spark.range(64 * 50).selectExpr("'a' AS dataset_id", "CAST(id % 64 AS INT) AS cell_id", "CAST(id div 64 AS INT) AS t", "CAST(id AS DOUBLE) AS x")
+    whole = G.regrid(src, weights, ["x"])
+    tiled = G.regrid(src, weights, ["x"], broadcast_bytes=0, tile_cells=100, rows_per_partition=100)
+    plan = tiled._jdf.queryExecution().executedPlan().toString()
+    # Coarse rows and weights are dealt to their tiles; the days that stand for targets outside are found apart.
+    assert plan.count("Exchange hashpartitioning(_tile") == 2 and "Window" not in plan
+    key = lambda df: sorted(map(tuple, df.select("dataset_id", "t", "cell_id", "x").collect()), key=repr)
+    assert key(whole) == key(tiled) and whole.where("x IS NULL").count() == 50 * weights.where("src_cell = -1").count() > 0
+
+
+def rotated(n, angle, step=0.3, lon0=179.5, lat0=60.0):
+    """A curved grid over the date line: rows and columns on circles."""
+    i, j = (a.ravel() for a in np.meshgrid(np.arange(n), np.arange(n)))
+    r, phi = 20 + step * j, np.deg2rad(angle + step * i)
+    return i, j, lat0 + r * np.sin(phi) - 10, (lon0 + r * np.cos(phi) + 180) % 360 - 180
+
+
+def test_curvilinear_weights_reproduce_the_targets(spark):
+    from graticule.operators import curvilinear as Q, regrid as G
+    n = 14
+    i, j, lat, lon = rotated(n, 20)
+    rows = [(int(k), int(a), int(b), float(y), float(x)) for k, (a, b, y, x) in enumerate(zip(i, j, lat, lon))]
+    source = spark.createDataFrame(rows, "cell_id int, i int, j int, lat double, lon double")
+    rng = np.random.default_rng(5)
+    u, v = rng.uniform(0, n - 1.001, 300), rng.uniform(0, n - 1.001, 300)
+    rel = (lon - lon[0] + 180) % 360 - 180
+    a, b = u.astype(int), v.astype(int)
+    at = lambda grid, x, y: grid[y * n + x]
+    mix = lambda g: sum(
+        at(g, a + di, b + dj) * np.abs(1 - di - (u - a)) * np.abs(1 - dj - (v - b)) for di in (0, 1) for dj in (0, 1))
+    aims = [(k, float(y), float(x)) for k, (y, x) in enumerate(zip(mix(lat), mix(rel) + lon[0]))] + [(900, 0.0, 0.0), (901, 89.0, 10.0)]
+    # A corner of the grid and longitudes given in another range.
+    aims += [(902, float(lat[0]), float(lon[0])), (903, aims[0][1], aims[0][2] + 360), (904, aims[1][1], aims[1][2] - 360)]
+    got = Q.curvilinear_weights(source, spark.createDataFrame(aims, "cell_id int, lat double, lon double")).toPandas()
+    by = dict(tuple(got.groupby("dst_cell")))
+    assert set(by) == {t for t, _, _ in aims}
+    for t, y, x in aims:
+        w = by[t]
+        if t in (900, 901):
+            assert w.src_cell.tolist() == [G.NOWHERE] and w.w.isna().all()
+            continue
+        src = w.src_cell.to_numpy()
+        assert len(w) == 4 and w.w.sum() == pytest.approx(1) and (w.w >= 0).all()
+        assert w.w.to_numpy() @ lat[src] == pytest.approx(y, abs=1e-9)
+        assert (w.w.to_numpy() @ rel[src] - (x - lon[0]) + 180) % 360 - 180 == pytest.approx(0, abs=1e-9)
+        if t < 300:
+            assert set(src) == {(b[t] + dj) * n + a[t] + di for di in (0, 1) for dj in (0, 1)}
+    assert Q.curvilinear_weights(source.where("i < 1"), spark.createDataFrame(aims, "cell_id int, lat double, lon double")).where("src_cell >= 0").count() == 0
