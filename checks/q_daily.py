@@ -171,7 +171,7 @@ d AS (SELECT station_id, cell_id, {_HAV} AS km FROM stations s CROSS JOIN cells
 k AS (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY km, cell_id) AS rn FROM d)
 SELECT station_id, cell_id, {r('km')} AS distance_km FROM k WHERE rn = 1""")
 def nearest_cell(spark, d):
-    return rounded(S.nearest_cell(stations_of(spark, d), X.cells(spark, d), first_km=12.0), ["distance_km"])
+    return rounded(S.nearest_cell(stations_of(spark, d), X.cells(spark, d)), ["distance_km"])
 
 
 @query("region_concat", f"""WITH {DAILY_SQL}, {CELLS_SQL},

@@ -43,7 +43,7 @@ SELECT station_id, cell_id, {r('km')} AS distance_km FROM k WHERE rn = 1""")
 def nearest_cell_all(spark, d):
     """Stations hundreds of kilometres from the grid have a nearest cell too."""
     far = stations_of(spark, d).withColumns({"lat": F.col("lat") + 3.0, "lon": F.col("lon") - 9.0})
-    return rounded(S.nearest_cell(far, X.cells(spark, d), first_km=50.0), ["distance_km"])
+    return rounded(S.nearest_cell(far, X.cells(spark, d)), ["distance_km"])
 
 
 def _every_period_sql(defs, source: str) -> str:

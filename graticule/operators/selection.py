@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.geo import distance_km
 from ..functions.units import threshold
 from ..session import cut_lineage, small_enough_to_broadcast
+from .nearest import nearest_cell  # noqa: F401
 
 
 class Box(NamedTuple):
@@ -114,58 +113,6 @@ def unstack(df: DataFrame, cells: DataFrame, dataset_ids: Sequence[str], first_t
     return dense.join(df, ["dataset_id", "cell_id", "t"], "left")
 
 
-_HALF_WAY_ROUND = 20_040.0
-
-
-def nearest_cell(stations: DataFrame, cells: DataFrame, first_km: float = 25.0) -> DataFrame:
-    """(station_id, cell_id, distance_km) for every station: the nearest cell centre, ties to the lower cell id.
-
-    Cells are sought within ``first_km``, for the stations without one within twice that, and so on until all have one;
-    a caller who wants only near ones filters by the distance.  Without any cell both columns are NULL.
-    """
-    if cells.isEmpty():
-        return stations.select("station_id", F.lit(None).cast("int").alias("cell_id"), F.lit(None).cast("double").alias("distance_km"))
-    left, rings, radius = stations.select("station_id", "lat", "lon"), [], first_km
-    while True:
-        found = cut_lineage(_within(left, cells, radius))
-        rings.append(found)
-        left = cut_lineage(left.join(found.select("station_id"), "station_id", "left_anti"))
-        if radius >= _HALF_WAY_ROUND or left.isEmpty():
-            return reduce(DataFrame.unionByName, rings)
-        radius = min(2 * radius, _HALF_WAY_ROUND)
-
-
-def _within(stations: DataFrame, cells: DataFrame, max_km: float) -> DataFrame:
-    """Nearest cell centre within ``max_km`` of each station; no row if there is none.
-
-    Both sides are hashed to boxes at least ``max_km`` wide.  A station is copied to every box its circle can touch, also
-    across the date line, so the equi-join on the box sees every cell within reach and only those.
-    """
-    size = max_km / 111.0
-    lat_box = F.floor(F.col("lat") / size).cast("int")
-    lon_box = F.floor(F.col("lon") / size).cast("int")
-    reach = F.lit(size) / F.cos(F.radians(F.least(F.abs("lat") + size, F.lit(89.0))))
-    reach = F.least(reach, F.lit(180.0))
-    turns = F.array(F.lit(0.0), F.lit(-360.0), F.lit(360.0))
-    probes = stations.select(
-        "station_id", "lat", "lon",
-        F.explode(F.sequence(lat_box - 1, lat_box + 1)).alias("_blat"),
-    ).select("*", F.explode(turns).alias("_turn")).where(
-        (F.col("_turn") == 0) | (F.abs(F.col("lon") + F.col("_turn")) <= 180 + reach)
-    ).select(
-        "station_id", F.col("lat").alias("_slat"), F.col("lon").alias("_slon"), "_blat",
-        F.explode(F.sequence(
-            F.floor((F.col("lon") + F.col("_turn") - reach) / size).cast("int"),
-            F.floor((F.col("lon") + F.col("_turn") + reach) / size).cast("int"),
-        )).alias("_blon"),
-    )
-    boxed = cells.select("cell_id", "lat", "lon", lat_box.alias("_blat"), lon_box.alias("_blon"))
-    dist = distance_km(F.col("_slat"), F.col("_slon"), F.col("lat"), F.col("lon"))
-    near = probes.join(boxed, ["_blat", "_blon"]).withColumn("distance_km", dist).where(F.col("distance_km") <= max_km)
-    best = F.min(F.struct("distance_km", "cell_id"))
-    return near.groupBy("station_id").agg(best.alias("_m")).select("station_id", "_m.cell_id", "_m.distance_km")
-
-
 def concat_regions(dfs: Sequence[DataFrame]) -> DataFrame:
     """Union of regions.  Boxes share their edges: see ``duplicate_keys``."""
     out = dfs[0]

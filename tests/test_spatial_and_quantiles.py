@@ -122,7 +122,7 @@ def test_nearest_cell_equals_brute_force(spark):
     rng = np.random.default_rng(5)
     cells = pd.DataFrame({"cell_id": range(400), "lat": 60 + rng.uniform(0, 3, 400), "lon": -120 + rng.uniform(0, 3, 400)})
     st = pd.DataFrame({"station_id": [f"s{i}" for i in range(60)], "lat": 59.8 + rng.uniform(0, 3.4, 60), "lon": -120.2 + rng.uniform(0, 3.4, 60)})
-    got = {r.station_id: r.cell_id for r in S.nearest_cell(spark.createDataFrame(st), spark.createDataFrame(cells), 10.0).collect()}
+    got = {r.station_id: r.cell_id for r in S.nearest_cell(spark.createDataFrame(st), spark.createDataFrame(cells)).collect()}
     d = geo.distance_km_np(st.lat.to_numpy()[:, None], st.lon.to_numpy()[:, None], cells.lat.to_numpy()[None], cells.lon.to_numpy()[None])
     want = {s: int(i) for s, i in zip(st.station_id, d.argmin(1))}
     assert got == want and (d.min(1) > 10).any()
@@ -131,11 +131,26 @@ def test_nearest_cell_equals_brute_force(spark):
 def test_nearest_cell_across_the_date_line_and_far_away(spark):
     cells = spark.createDataFrame([(1, 0.0, -179.9), (2, 0.0, 179.0), (3, 60.0, 10.0)], "cell_id int, lat double, lon double")
     st = spark.createDataFrame([("a", 0.0, 179.95), ("b", -80.0, 12.0), ("c", 59.0, -170.0), ("d", 60.0, 10.0)], "station_id string, lat double, lon double")
-    got = {r.station_id: r.cell_id for r in S.nearest_cell(st, cells, 5.0).collect()}
+    got = {r.station_id: r.cell_id for r in S.nearest_cell(st, cells).collect()}
     assert got["a"] == 1 and got["d"] == 3 and set(got) == set("abcd")
     assert {r.cell_id for r in S.nearest_cell(st, cells.limit(0)).collect()} == {None}
 
 
+def test_nearest_cell_of_far_stations_looks_at_few_boxes(spark):
+    from graticule.operators import nearest as N
+    rng = np.random.default_rng(6)
+    cells = pd.DataFrame({"cell_id": range(40_000), "lat": 40 + np.repeat(np.arange(200), 200) * 0.1, "lon": -120 + np.tile(np.arange(200), 200) * 0.1})
+    st = pd.DataFrame({"station_id": range(200), "lat": np.r_[40 + rng.uniform(0, 20, 100), rng.uniform(-89, 0, 100)],
+                       "lon": np.r_[-120 + rng.uniform(0, 20, 100), 40 + rng.uniform(0, 60, 100)]})
+    frames = [spark.createDataFrame(x) for x in (st, cells)]
+    got = {r.station_id: (r.cell_id, r.distance_km) for r in N.nearest_cell(*frames).collect()}
+    d = geo.distance_km_np(st.lat.to_numpy()[:, None], st.lon.to_numpy()[:, None], cells.lat.to_numpy()[None], cells.lon.to_numpy()[None])
+    assert all(got[i][1] == pytest.approx(d[i].min(), abs=1e-6) for i in range(200)) and len(got) == 200
+    left, placed = N.candidates(*frames)
+    boxes = left.groupBy("station_id").count().toPandas()["count"]
+    assert boxes.max() <= 128 and boxes.mean() < 16 and placed.groupBy("row", "col").count().agg(F.max("count")).first()[0] <= 64
+
+
 def test_annual_cycle_of_a_sine(spark):
     df = spark.range(730).select(
         F.lit("d").alias("dataset_id"), F.lit(1).alias("cell_id"), (2001 + F.expr("id div 365")).cast("int").alias("year"),
