@@ -2,8 +2,8 @@
 
 Terms are the words of a text and their beginnings of 4 to 6 letters, hashed.  The score is the logistic of a bias, a weight
 per term present, and for each pair of terms present the product of their factor vectors: what two terms mean together (an
-insult with a group mention, say) that neither means alone.  The sum over pairs is divided by the root of the number of terms, since
-a long text has so many more pairs than terms.
+insult with a group mention, say) that neither means alone.  The sum over pairs is divided by the root of the number of distinct
+words, since a long text has so many more pairs than words.
 
 Fitting uses a bounded sample of the labelled documents, ``max_positive`` and ``max_negative`` of them by the order of a hash of
 their ids, one text of each id; a class that is sampled counts as much as all of it.  Every term of ``min_docs`` sampled documents or
@@ -19,6 +19,7 @@ labels).  Very long texts are scored whole, by their distinct words.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ from graticule.session import cut_lineage
 BUCKETS = 1 << 22
 _WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
-REMEMBER = 200_000
+REMEMBER = 400_000
 
 
 def term_ids(word: str) -> list[int]:
@@ -54,34 +55,40 @@ class FactorizationMachine:
     """Presence of sparse terms, log loss, AdaGrad in batches of a fixed order: the same result at every run.
 
     Weights are drawn to zero by their size (``sparse``), factor vectors to where they started by their distance (``pairs``), so that
-    rare terms do not learn single documents by heart.  Vectors start to move after ``alone`` of the ``epochs``.
+    rare terms do not learn single documents by heart.  Vectors start to move after ``alone`` of the ``epochs``.  Terms that did not
+    move at all say nothing and leave the model when it is fitted.
     """
 
     def __init__(self, terms: np.ndarray, bias: float, factors: int = 4, spread: float = 0.03, seed: int = 1):
         self.terms = np.asarray(terms, np.int64)  # ascending
+        self._number: array | None = None
         self.b = float(bias)
         self.w = np.zeros(len(terms), np.float32)
         self.v = np.random.default_rng(seed).normal(0, spread, (len(terms), factors)).astype(np.float32)
 
     def places(self, terms: list[int]) -> list[int]:
         """Where terms are in the model; those it does not know are left out."""
-        if not len(self.terms):
-            return []
-        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
-        return at[self.terms[at] == terms].tolist()
+        if self._number is None:
+            self._number = array("i", [-1]) * BUCKETS
+            for i, t in enumerate(self.terms.tolist()):
+                self._number[t] = i
+        return [i for t in terms if (i := self._number[t]) >= 0]
 
-    def logits(self, starts: np.ndarray, features: np.ndarray) -> np.ndarray:
-        """One number per row; row i has the features from ``starts[i]`` to ``starts[i + 1]``."""
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "_number": None}  # made anew where it is used
+
+    def logits(self, starts: np.ndarray, features: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """One number per row; row i has the features from ``starts[i]`` to ``starts[i + 1]`` and so many distinct ``words``."""
         lengths = np.diff(starts)
         rows = np.repeat(np.arange(len(lengths)), lengths)
         total = lambda x: np.bincount(rows, x, len(lengths))
         v = self.v[features]
         together = sum(total(v[:, f]) ** 2 - total(v[:, f] ** 2) for f in range(v.shape[1]))
-        return self.b + total(self.w[features]) + 0.5 * together / np.sqrt(np.maximum(lengths, 1))
+        return self.b + total(self.w[features]) + 0.5 * together / np.sqrt(np.maximum(words, 1))
 
     def fit(
-        self, starts: np.ndarray, features: np.ndarray, y: np.ndarray, weight: np.ndarray,
-        epochs: int = 16, alone: int = 9, batch: int = 128, rate: float = 0.3, sparse: float = 1e-3, pairs: float = 1e-3, damp: float = 1e-2, seed: int = 2,
+        self, starts: np.ndarray, features: np.ndarray, words: np.ndarray, y: np.ndarray, weight: np.ndarray,
+        epochs: int = 10, alone: int = 5, batch: int = 128, rate: float = 0.3, sparse: float = 1e-3, pairs: float = 1e-3, damp: float = 1e-2, seed: int = 2,
     ) -> FactorizationMachine:
         n, m = len(y), len(self.w)
         rng = np.random.default_rng(seed)
@@ -95,12 +102,12 @@ class FactorizationMachine:
                 lengths = starts[chosen + 1] - starts[chosen]
                 flat = features[_spread(starts[chosen], lengths)]
                 rows = np.repeat(np.arange(len(chosen)), lengths)
-                z = self.logits(np.concatenate([[0], np.cumsum(lengths)]), flat)
+                z = self.logits(np.concatenate([[0], np.cumsum(lengths)]), flat, words[chosen])
                 g = ((1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[chosen]) * scale[chosen] / len(chosen)).astype(np.float32)
                 # Only the terms of the batch move.
                 own, inside = np.unique(flat, return_inverse=True)
                 each, v = g[rows], self.v[flat]
-                paired = each / np.sqrt(lengths)[rows]
+                paired = each / np.sqrt(np.maximum(words[chosen], 1))[rows]
                 dw = np.bincount(inside, each, len(own)).astype(np.float32)
                 dv = np.zeros((len(own), v.shape[1]), np.float32)
                 for f in range(v.shape[1]):
@@ -123,17 +130,19 @@ class FactorizationMachine:
                     away = self.v[own] - start[own] - step[:, None] * dv
                     size = np.maximum(np.sqrt((away * away).sum(axis=1)), 1e-12)
                     self.v[own] = start[own] + away * np.maximum(1 - step * pairs * waited / size, 0)[:, None]
+        learned = (self.w != 0) | (self.v != start).any(axis=1)
+        self.terms, self.w, self.v, self._number = self.terms[learned], self.w[learned], self.v[learned], None
         return self
 
-    def score(self, features: list[int]) -> float:
-        """One text, by the places of its terms in the model."""
+    def score(self, features: list[int], words: int) -> float:
+        """One text, by the places of its terms in the model and the number of its distinct words."""
         v = self.v[features].astype(np.float64)
-        z = self.b + float(self.w[features].sum(dtype=np.float64)) + 0.5 * float((v.sum(0) ** 2).sum() - (v ** 2).sum()) / max(len(features), 1) ** 0.5
+        z = self.b + float(self.w[features].sum(dtype=np.float64)) + 0.5 * float((v.sum(0) ** 2).sum() - (v ** 2).sum()) / max(words, 1) ** 0.5
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_positive: int, max_negative: int) -> tuple[DataFrame, dict[int, int]]:
-    """(toxic, terms) of a bounded sample of labelled documents that aren't held out, and how many of each class there are."""
+    """(toxic, words, terms) of a bounded sample of labelled documents that aren't held out, and how many of each class there are."""
     known = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["toxic"].cast("int").alias("toxic"))
     known = known.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(fold(F.col("doc_id"), 5) != 0)
     known = cut_lineage(known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic")))
@@ -143,15 +152,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_positive: int, max_neg
 
     def terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            words = [words_of(t) for t in batch["text"]]
             yield pd.DataFrame({
-                "toxic": batch["toxic"],
-                "terms": [sorted({i for w in words_of(t) for i in term_ids(w)}) for t in batch["text"]],
-            })
+                "toxic": batch["toxic"], "words": [len(w) for w in words], "terms": [sorted({i for w in ws for i in term_ids(w)}) for ws in words]})
 
     # The sample has a set number of (id, label) rows, so it is broadcast whatever the size of the corpus; an id's texts are
     # combined before they move.
     picked = ids_and_texts(docs).join(F.broadcast(cut_lineage(sample)), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-    return cut_lineage(picked.select("toxic", "text").mapInPandas(terms, "toxic int, terms array<int>")), sizes
+    return cut_lineage(picked.select("toxic", "text").mapInPandas(terms, "toxic int, words int, terms array<int>")), sizes
 
 
 def fit(
@@ -160,6 +168,7 @@ def fit(
     rows, sizes = training_rows(docs, labels, max_positive, max_negative)
     data = rows.toArrow()  # bounded: the terms of max_positive + max_negative documents
     y = data.column("toxic").to_numpy().astype(np.float32)
+    words = data.column("words").to_numpy().astype(np.float32)
     sampled = {k: int((y == k).sum()) for k in (0, 1)}
     if not sampled[0] or not sampled[1]:
         return FactorizationMachine(np.zeros(0), 30.0 if sampled[1] else -30.0)
@@ -186,7 +195,7 @@ def fit(
     order = np.array(sorted(range(len(y)), key=lambda i: (marks[i], y[i])))
     starts = np.concatenate([[0], np.cumsum(np.array(lengths)[order])])
     model = FactorizationMachine(terms, np.log(share / (1 - share)))
-    return model.fit(starts, np.concatenate([features[i] for i in order]), y[order], weight[order])
+    return model.fit(starts, np.concatenate([features[i] for i in order]), words[order], y[order], weight[order])
 
 
 def scores(docs: DataFrame, model: FactorizationMachine) -> DataFrame:
@@ -198,7 +207,8 @@ def scores(docs: DataFrame, model: FactorizationMachine) -> DataFrame:
             out = []
             for text in batch["text"]:
                 features: set[int] = set()
-                for word in words_of(text):
+                words = words_of(text)
+                for word in words:
                     at = known.get(word)
                     if at is None:
                         if len(known) >= REMEMBER:
@@ -206,7 +216,7 @@ def scores(docs: DataFrame, model: FactorizationMachine) -> DataFrame:
                         at = known[word] = tuple(model.places(term_ids(word)))
                     if at:
                         features.update(at)
-                out.append(model.score(sorted(features)))
+                out.append(model.score(sorted(features), len(words)))
             yield pd.DataFrame({"doc_id": batch["doc_id"], "score": out})
 
     return ids_and_texts(docs).mapInPandas(run, "doc_id long, score double")

@@ -433,12 +433,13 @@ def test_pairwise_score_equals_a_double_loop():
     model = op7.FactorizationMachine(np.arange(40) * 3, -0.3)
     model.w, model.v = rng.normal(size=40).astype(np.float32), rng.normal(size=(40, 4)).astype(np.float32)
     texts = [sorted(rng.choice(40, k, replace=False).tolist()) for k in (0, 1, 2, 7, 40)]
-    z = model.logits(*as_rows(texts))
-    for got, features in zip(z, texts):
+    sizes = np.array([1, 1, 5, 7, 30])
+    z = model.logits(*as_rows(texts), sizes)
+    for got, features, n in zip(z, texts, sizes):
         want = model.b + sum(float(model.w[i]) for i in features)
-        want += sum(float(model.v[i].astype(float) @ model.v[j].astype(float)) for i, j in itertools.combinations(features, 2)) / max(len(features), 1) ** 0.5
+        want += sum(float(model.v[i].astype(float) @ model.v[j].astype(float)) for i, j in itertools.combinations(features, 2)) / n ** 0.5
         assert got == pytest.approx(want, abs=1e-4)
-        assert model.score(features) == pytest.approx(1 / (1 + np.exp(-want)), abs=1e-4)
+        assert model.score(features, n) == pytest.approx(1 / (1 + np.exp(-want)), abs=1e-4)
     assert model.places([0, 1, 6, 117, 118]) == [0, 2, 39]
 
 
@@ -456,14 +457,16 @@ def test_one_batch_of_the_fit_equals_plain_gradients():
     g = (1 / (1 + np.exp(-z)) - y) * weight / weight.mean() / 5
     dw = x.T @ g
     dv = np.array([sum((g[r] / root[r] * (sum(v[j] for j in t) - v[i]) for r, t in enumerate(texts) if i in t), start=np.zeros(2)) for i in range(6)])
-    model.fit(*as_rows(texts), y, weight, epochs=1, batch=5, alone=0, rate=0.3, sparse=0.01, pairs=0.002, damp=0.01)
+    model.fit(*as_rows(texts), root ** 2, y, weight, epochs=1, batch=5, alone=0, rate=0.3, sparse=0.01, pairs=0.002, damp=0.01)
     step = 0.3 / np.sqrt(0.01 + dw ** 2)
     moved = w - step * dw
     assert model.b == pytest.approx(b - 0.3 * g.sum() / np.sqrt(0.01 + g.sum() ** 2))
-    assert np.allclose(model.w, np.sign(moved) * np.maximum(np.abs(moved) - step * 0.01, 0), atol=1e-5)
+    at = model.terms
+    assert set(range(6)) - set(at.tolist()) == set(range(6)) - {i for t in texts for i in t}  # what no text has says nothing
+    assert np.allclose(model.w, (np.sign(moved) * np.maximum(np.abs(moved) - step * 0.01, 0))[at], atol=1e-5)
     step = 0.3 / np.sqrt(0.01 + (dv ** 2).mean(1))[:, None]
     size = np.maximum(np.linalg.norm(step * dv, axis=1, keepdims=True), 1e-12)
-    assert np.allclose(model.v, v - step * dv * np.maximum(1 - step * 0.002 / size, 0), atol=1e-5)
+    assert np.allclose(model.v, (v - step * dv * np.maximum(1 - step * 0.002 / size, 0))[at], atol=1e-5)
 
 
 def test_toxicity_learns_a_pair_of_neutral_terms():
@@ -478,14 +481,15 @@ def test_toxicity_learns_a_pair_of_neutral_terms():
     for i in range(1, 6000, 4):
         y[i] = True
     starts, features = as_rows(texts[:5000])
-    model = op7.FactorizationMachine(np.arange(5002), 0.0).fit(starts, features, np.array(y[:5000], np.float32), np.ones(5000))
-    right = [(model.score(t) > 0.5) == want for t, want in zip(texts[5000:], y[5000:])]
+    model = op7.FactorizationMachine(np.arange(5002), 0.0).fit(starts, features, np.full(5000, 25), np.array(y[:5000], np.float32), np.ones(5000))
+    right = [(model.score(model.places(t), 25) > 0.5) == want for t, want in zip(texts[5000:], y[5000:])]
     assert np.mean(right) > 0.95
     others = sorted((2 + rng.integers(0, 5000, 25)).tolist())
-    assert model.score([0, 1, *others]) > 0.5 > max(model.score([0, *others]), model.score([1, *others]))
+    score = lambda *own: model.score(model.places([*own, *others]), 25)
+    assert score(0, 1) > 0.5 > max(score(0), score(1))
     # Without the pairs nothing is learned.
-    flat = op7.FactorizationMachine(np.arange(5002), 0.0).fit(starts, features, np.array(y[:5000], np.float32), np.ones(5000), alone=16)
-    assert np.mean([(flat.score(t) > 0.5) == want for t, want in zip(texts[5000:], y[5000:])]) < 0.6
+    flat = op7.FactorizationMachine(np.arange(5002), 0.0).fit(starts, features, np.full(5000, 25), np.array(y[:5000], np.float32), np.ones(5000), alone=10)
+    assert np.mean([(flat.score(flat.places(t), 25) > 0.5) == want for t, want in zip(texts[5000:], y[5000:])]) < 0.6
 
 
 def test_toxicity_of_odd_tables(spark, odd, empty):
