@@ -705,3 +705,18 @@ def test_long_texts_count_in_pieces():
     a, b = op10.ngram_counts(text), op10.ngram_counts(text[:15_000])
     assert np.abs(a / a.sum() - b / b.sum()).max() < 1e-3
     assert op10.ngram_counts("12 .") is None
+
+
+def test_batches_are_bounded_in_bytes(spark):
+    from graticule.llm.common import BATCH_BYTES, prepare
+
+    def sizes(batches):
+        import pyarrow as pa
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "bytes": [batch.nbytes]})
+
+    huge = prepare(spark).range(0, 12, 1, 1).select("id", F.expr("repeat('some words and more ', 400000)").alias("text"))
+    got = huge.mapInArrow(sizes, "rows long, bytes long").collect()
+    assert sum(r["rows"] for r in got) == 12 and max(r["bytes"] for r in got) < 3 * int(BATCH_BYTES)
+    small = spark.range(0, 1000, 1, 1).select("id", F.lit("a few words").alias("text"))
+    assert max(r["rows"] for r in small.mapInArrow(sizes, "rows long, bytes long").collect()) == 200
