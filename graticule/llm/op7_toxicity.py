@@ -19,7 +19,6 @@ labels).  Very long texts are scored whole, by their distinct words.
 from __future__ import annotations
 
 import re
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +32,7 @@ from graticule.session import cut_lineage
 BUCKETS = 1 << 22
 _WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
-REMEMBER = 400_000
+REMEMBER = 200_000
 
 
 def term_ids(word: str) -> list[int]:
@@ -61,7 +60,7 @@ class FactorizationMachine:
 
     def __init__(self, terms: np.ndarray, bias: float, factors: int = 4, spread: float = 0.03, seed: int = 1):
         self.terms = np.asarray(terms, np.int64)  # ascending
-        self._number: array | None = None
+        self._number: dict[int, int] | None = None
         self.b = float(bias)
         self.w = np.zeros(len(terms), np.float32)
         self.v = np.random.default_rng(seed).normal(0, spread, (len(terms), factors)).astype(np.float32)
@@ -69,10 +68,8 @@ class FactorizationMachine:
     def places(self, terms: list[int]) -> list[int]:
         """Where terms are in the model; those it does not know are left out."""
         if self._number is None:
-            self._number = array("i", [-1]) * BUCKETS
-            for i, t in enumerate(self.terms.tolist()):
-                self._number[t] = i
-        return [i for t in terms if (i := self._number[t]) >= 0]
+            self._number = {t: i for i, t in enumerate(self.terms.tolist())}
+        return [i for t in terms if (i := self._number.get(t, -1)) >= 0]
 
     def __getstate__(self) -> dict:
         return {**self.__dict__, "_number": None}  # made anew where it is used
