@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.geo import distance_km_np
 from ..functions.randoms import uniform
 from ..functions.units import threshold
-from ..session import cut_lineage
+from ..session import by_cell, cells_partitions, cut_lineage
 from .spells import average_rank
 
 K = ["dataset_id", "cell_id"]
@@ -109,17 +110,35 @@ def first_eof(
     return attach(pattern, signs).select(*K, (F.col("v") * F.col("c")[0]).alias("value"))
 
 
-def _pair_correlations(a: np.ndarray, b: np.ndarray, days: int = 4096) -> np.ndarray:
+# A block of cells is at most that large as a dense matrix of 4-byte numbers; below that a region has at most so many blocks.
+BLOCK_BYTES, MOST_BLOCKS = 16 << 20, 32
+
+
+def _series(df: DataFrame, value: Column) -> DataFrame:
+    """One row per (dataset, cell), stored, with its days ``t`` and values ``x`` side by side: bounded by the calendar."""
+    days = by_cell(df.select(*K, "t", value.alias("x"))).groupBy(*K).agg(F.collect_list(F.struct("t", "x")).alias("_s"))
+    return cut_lineage(days.select(*K, F.col("_s.t").alias("t"), F.col("_s.x").alias("x")))
+
+
+def _dense(days: pa.ListArray, values: pa.ListArray, first: int, n: int, empty: float, kind: str) -> np.ndarray:
+    """Lists of days and of values -> matrix (list, day from ``first``), ``empty`` where there is no value."""
+    rows = np.repeat(np.arange(len(days)), days.value_lengths().to_numpy(zero_copy_only=False))
+    out = np.full((len(days), n), empty, kind)
+    out[rows, days.flatten().to_numpy(zero_copy_only=False) - first] = values.flatten().to_numpy(zero_copy_only=False)
+    return out
+
+
+def _pair_correlations(a: np.ndarray, b: np.ndarray, days: int = 1024) -> np.ndarray:
     """Correlation of every row of ``a`` with every row of ``b`` over the days both have (NaN = absent).
 
     The sums add up over slices of days, so the temporaries stay small however long the series are.
     """
-    mean_a, mean_b = np.nanmean(a, axis=1, keepdims=True), np.nanmean(b, axis=1, keepdims=True)
+    mean_a, mean_b = (np.nanmean(m, axis=1, keepdims=True, dtype=float) for m in (a, b))
     n, sa, sb, sab, saa, sbb = (np.zeros((len(a), len(b))) for _ in range(6))
     for start in range(0, a.shape[1], days):
-        pa, pb = a[:, start:start + days], b[:, start:start + days]
-        ma, mb = ~np.isnan(pa), ~np.isnan(pb)
-        xa, xb = np.where(ma, pa - mean_a, 0.0), np.where(mb, pb - mean_b, 0.0)
+        ya, yb = a[:, start:start + days], b[:, start:start + days]
+        ma, mb = ~np.isnan(ya), ~np.isnan(yb)
+        xa, xb = np.where(ma, ya - mean_a, 0.0), np.where(mb, yb - mean_b, 0.0)
         ma, mb = ma.astype(float), mb.astype(float)
         n += ma @ mb.T
         sa += xa @ mb.T
@@ -132,40 +151,35 @@ def _pair_correlations(a: np.ndarray, b: np.ndarray, days: int = 4096) -> np.nda
         return np.where((n > 1) & (va > 0) & (vb > 0), (n * sab - sa * sb) / np.sqrt(va * vb), np.nan)
 
 
-def _series_matrix(days: pd.Series, ranks: pd.Series, first: int, n: int) -> np.ndarray:
-    out = np.full((len(days), n), np.nan)
-    for i, (d, r) in enumerate(zip(days, ranks)):
-        out[i, np.asarray(d) - first] = r
-    return out
-
-
-def _tile(bins: int, max_km: float):
-    """Sums of the correlations of all cell pairs of one tile, per distance bin.  The pairs themselves are not emitted."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        bi, bj = int(pdf["bi"].iloc[0]), int(pdf["bj"].iloc[0])
-        first = min(int(d[0]) for d in pdf["days"])
-        n = max(int(d[-1]) for d in pdf["days"]) - first + 1
-        left, right = pdf[pdf["block"] == bi], pdf[pdf["block"] == bj]
-        sums, counts = np.zeros(bins), np.zeros(bins, dtype=np.int64)
-        if len(left) and len(right):
-            a = _series_matrix(left["days"], left["ranks"], first, n)
-            b = a if bi == bj else _series_matrix(right["days"], right["ranks"], first, n)
-            corr = _pair_correlations(a, b)
-            dist = distance_km_np(
-                left["lat"].to_numpy()[:, None], left["lon"].to_numpy()[:, None],
-                right["lat"].to_numpy()[None, :], right["lon"].to_numpy()[None, :],
-            )
-            use = ~np.isnan(corr)
-            if bi == bj:
-                use &= np.triu(np.ones(corr.shape, dtype=bool), k=1)
-            where = np.minimum((dist[use] / max_km * bins).astype(int), bins - 1)
-            sums = np.bincount(where, weights=corr[use], minlength=bins)
-            counts = np.bincount(where, minlength=bins)
-        hit = np.flatnonzero(counts)
-        return pd.DataFrame({
-            "dataset_id": pdf["dataset_id"].iloc[0], "bin": hit.astype("int32"), "s": sums[hit], "n": counts[hit],
-        })
+def _tile(bins: int, max_km: float, side: int = 1024):
+    """Sums of the correlations of all cell pairs of a pair of blocks, per distance bin.  The pairs themselves are not emitted; they are
+    looked at in squares of ``side`` cells."""
+
+    def block(cells: pa.StructArray, first: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        lat, lon = (cells.field(f).to_numpy(zero_copy_only=False) for f in ("lat", "lon"))
+        return lat, lon, _dense(cells.field("t"), cells.field("x"), first, n, np.nan, "f4")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, (dataset, same, first, n) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("dataset_id", "same", "first", "n")])):
+                sums, counts = np.zeros(bins), np.zeros(bins, dtype=np.int64)
+                left = block(batch.column("left")[i].values, first, n)
+                right = left if same else block(batch.column("right")[i].values, first, n)
+                for p in range(0, len(left[0]), side):
+                    for q in range(p if same else 0, len(right[0]), side):
+                        a, b = ([m[at:at + side] for m in one] for one, at in ((left, p), (right, q)))
+                        corr = _pair_correlations(a[2], b[2])
+                        dist = distance_km_np(a[0][:, None], a[1][:, None], b[0][None, :], b[1][None, :])
+                        use = ~np.isnan(corr)
+                        if same and p == q:
+                            use &= np.triu(np.ones(corr.shape, dtype=bool), k=1)
+                        where = np.minimum((dist[use] / max_km * bins).astype(int), bins - 1)
+                        sums += np.bincount(where, weights=corr[use], minlength=bins)
+                        counts += np.bincount(where, minlength=bins)
+                hit = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([dataset] * len(hit), pa.string()), pa.array(hit.astype(np.int32)), pa.array(sums[hit]), pa.array(counts[hit])],
+                    names=["dataset_id", "bin", "s", "n"])
 
     return run
 
@@ -185,25 +199,32 @@ def spatial_correlogram(
 ) -> DataFrame:
     """Mean Spearman correlation of the cell pairs of a region per distance bin: (dataset_id, bin, distance, n, value).
 
-    All pairs are counted.  Cells are hashed to blocks of about ``block``; each pair of blocks is one task-sized tile that
-    holds two blocks of series (cells x days) and returns one row per bin.  Every cell series is copied to as many tiles as
-    there are blocks, so the exchange grows with cells^2 / block, and no task ever holds more than two blocks.
+    All pairs are counted.  Cells are hashed to blocks of about ``block``, larger ones where there would be more than ``MOST_BLOCKS``, up
+    to ``BLOCK_BYTES``.  A block is one row, stored once; a Cartesian product of the stored blocks reads them pair by pair, so series are
+    exchanged once however many pairs there are, no task holds more than a few blocks, and a pair returns one row per bin.
     """
     max_km = box_width_km(cells) if max_km is None else max_km
-    blocks = max(1, math.ceil(cells.count() / block))
-    ranked = average_rank(df.where(F.col(var).isNotNull()).select(*K, "t", var), var, "r", K)
-    lists = ranked.groupBy(*K).agg(F.array_sort(F.collect_list(F.struct("t", "r"))).alias("_s"))
-    series = (
-        lists.select(*K, F.col("_s.t").alias("days"), F.col("_s.r").alias("ranks"))
-        .join(cells.select("cell_id", "lat", "lon"), "cell_id")
-        .withColumn("block", F.pmod(F.hash("cell_id"), F.lit(blocks)))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        .withColumns({"bi": F.least("block", "other"), "bj": F.greatest("block", "other")})
-        .drop("other")
-    )
-    sums = series.groupBy("dataset_id", "bi", "bj").applyInPandas(
-        _tile(bins, max_km), "dataset_id string, bin int, s double, n long"
-    )
+    ranked = average_rank(by_cell(df.where(F.col(var).isNotNull()).select(*K, "t", var)), var, "r", K)
+    # Halves up to the number of days: exact as 4-byte numbers.
+    series = _series(ranked, F.col("r").cast("float"))
+    span = series.groupBy("dataset_id").agg(
+        F.min(F.array_min("t")).alias("first"), (F.max(F.array_max("t")) - F.min(F.array_min("t")) + 1).alias("n"))
+    longest = span.agg(F.max("n")).first()[0] or 1
+    n_cells = cells.count()
+    largest = max(1, BLOCK_BYTES // (4 * longest))
+    blocks = max(1, math.ceil(n_cells / max(block, min(math.ceil(n_cells / MOST_BLOCKS), largest))))
+    located = series.join(cells.select("cell_id", "lat", "lon"), "cell_id").withColumn("block", F.pmod(F.hash("cell_id"), F.lit(blocks)))
+    packed = located.repartition(max(cells_partitions(series), blocks), "dataset_id", "block").groupBy("dataset_id", "block").agg(
+        F.collect_list(F.struct("lat", "lon", "t", "x")).alias("cells"))
+    packed = cut_lineage(packed.join(F.broadcast(span), "dataset_id"))
+    left = packed.select("dataset_id", "block", "first", "n", F.col("cells").alias("left"))
+    right = packed.select(F.col("dataset_id").alias("_d"), F.col("block").alias("_b"), F.col("cells").alias("right"))
+    # Of (i, j) and (j, i) one is taken, in turns, so that all tasks of the product have their share.
+    once = (F.col("block") < F.col("_b")) == ((F.col("block") + F.col("_b")) % 2 == 0)
+    same = F.col("block") == F.col("_b")
+    pairs = left.join(right.hint("shuffle_replicate_nl"), (F.col("dataset_id") == F.col("_d")) & (same | once))
+    sums = pairs.select("dataset_id", same.alias("same"), "first", "n", "left", "right").mapInArrow(
+        _tile(bins, max_km), "dataset_id string, bin int, s double, n long")
     width = max_km / bins
     return sums.groupBy("dataset_id", "bin").agg(
         ((F.col("bin") + 0.5) * width).alias("distance"),

@@ -40,6 +40,20 @@ def test_correlogram_counts_every_pair(field):
     assert Z.correlation_length(sdaily.sparkSession.createDataFrame(got.assign(dataset_id="d")), -2.0).first().length_km is None
 
 
+def test_correlogram_copies_no_series_to_other_blocks(field, monkeypatch):
+    _, _, sdaily, scells = field
+    want = Z.spatial_correlogram(sdaily, scells, "x", bins=12, block=30).orderBy("bin").collect()
+    for most, size in ((32, 16 << 20), (3, 16 << 20), (3, 4 * 80 * 6)):
+        monkeypatch.setattr(Z, "MOST_BLOCKS", most)
+        monkeypatch.setattr(Z, "BLOCK_BYTES", size)
+        out = Z.spatial_correlogram(sdaily, scells, "x", bins=12, block=1)
+        plan = out._jdf.queryExecution().toString()
+        assert "CartesianProduct" in plan and "explode" not in plan
+        got = out.orderBy("bin").collect()
+        assert [(r.bin, r.n) for r in got] == [(r.bin, r.n) for r in want]
+        assert np.allclose([r.value for r in got], [r.value for r in want])
+
+
 @pytest.mark.parametrize("kind, thresh", [("+", None), ("*", 0.1)])
 def test_first_eof_equals_dense_svd(field, kind, thresh):
     daily, _, sdaily, _ = field
