@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.geo import distance_km_np
 from ..functions.randoms import uniform
@@ -18,20 +18,99 @@ from .spells import average_rank
 K = ["dataset_id", "cell_id"]
 
 
-def _combine(vectors: str, coefficients: str) -> Column:
-    """Sum of the basis vectors (array per cell) times the coefficients (array per dataset)."""
-    return F.aggregate(F.zip_with(vectors, coefficients, lambda v, c: v * c), F.lit(0.0), lambda acc, v: acc + v)
+# Directions followed at once, and the bytes of directions that the driver keeps for all datasets.
+DIRECTIONS, BASIS_BYTES = 8, 256 << 20
+_CHUNK_BYTES = 32 << 20
 
 
-def _top_pair(projected: dict[int, list[float]]) -> tuple[float, np.ndarray]:
-    """Largest eigenvalue and its vector of the small projected matrix, given by columns."""
-    m = len(projected)
-    t = np.zeros((m, m))
-    for j, column in projected.items():
-        t[: len(column), j] = column
-    t = np.triu(t) + np.triu(t, 1).T
-    values, vectors = np.linalg.eigh(t)
-    return float(values[-1]), vectors[:, -1]
+def _centred(batch: pa.RecordBatch, spans: dict[str, tuple[int, int]]) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """(dataset, rows of the batch, their anomalies as a matrix (cell, day)); a missing day counts as the cell's mean."""
+    names = np.array(batch.column("dataset_id").to_pylist())
+    for name in np.unique(names):
+        if name not in spans:
+            continue
+        first, n = spans[name]
+        rows = np.flatnonzero(names == name)
+        step = max(1, _CHUNK_BYTES // (8 * n))
+        for at in range(0, len(rows), step):
+            some = batch.take(pa.array(rows[at:at + step]))
+            x = _dense(some.column("t"), some.column("x"), first, n, np.nan, "f8")
+            have = ~np.isnan(x)
+            x -= np.where(have, x, 0.0).sum(axis=1, keepdims=True) / np.maximum(have.sum(axis=1, keepdims=True), 1)
+            yield name, rows[at:at + step], np.where(have, x, 0.0)
+
+
+def _image(spans: dict[str, tuple[int, int]], vectors: dict[str, np.ndarray]):
+    """Rows of days -> each dataset's sum over cells of (anomalies, transposed) x (anomalies x vectors): (dataset_id, day, y0, y1, ...)."""
+    width = max(v.shape[1] for v in vectors.values())
+    asked = {name: spans[name] for name in vectors}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {}
+        for batch in batches:
+            for name, _, x in _centred(batch, asked):
+                part = x.T @ (x @ vectors[name])
+                sums[name] = sums[name] + part if name in sums else part
+        for name, y in sums.items():
+            y = np.pad(y, ((0, 0), (0, width - y.shape[1])))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(y), pa.string()), pa.array(np.arange(len(y), dtype=np.int32)), *[pa.array(c) for c in y.T.copy()]],
+                names=["dataset_id", "day", *[f"y{k}" for k in range(width)]])
+
+    return run, "dataset_id string, day int, " + ", ".join(f"y{k} double" for k in range(width)), width
+
+
+def _scores(spans: dict[str, tuple[int, int]], vectors: dict[str, np.ndarray]):
+    """Rows of days -> (dataset_id, cell_id, v): anomalies x vector."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, rows, x in _centred(batch, spans):
+                own = batch.select(K).take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(x @ vectors[name])], names=[*K, "v"])
+
+    return run
+
+
+def _orthonormal(block: np.ndarray, least: float) -> np.ndarray:
+    """Basis of a block's columns, without directions shorter than ``least``."""
+    u, s, _ = np.linalg.svd(block, full_matrices=False)
+    return u[:, s > least]
+
+
+class _Krylov:
+    """Directions over the days of one dataset, in blocks, and the covariance of days projected on them."""
+
+    def __init__(self, start: np.ndarray, most: int):
+        self.most, self.basis, self.projected = most, np.zeros((len(start), 0)), np.zeros((0, 0))
+        self.block = _orthonormal(start, 0.0)
+        self.value, self.error, self.best = 0.0, math.inf, self.block[:, 0]
+
+    def step(self, image: np.ndarray) -> None:
+        """``image``: the covariance times ``block``."""
+        old = self.basis.shape[1]
+        self.basis = np.hstack([self.basis, self.block])
+        columns = self.basis.T @ image
+        grown = np.zeros((self.basis.shape[1],) * 2)
+        grown[:old, :old] = self.projected
+        grown[:, old:], grown[old:, :] = columns, columns.T
+        self.projected = (grown + grown.T) / 2
+        rest = image - self.basis @ columns
+        rest -= self.basis @ (self.basis.T @ rest)  # a second time: orthogonal to rounding
+        values, vectors = np.linalg.eigh(self.projected)
+        self.value, self.best = float(values[-1]), self.basis @ vectors[:, -1]
+        self.error = float(np.linalg.norm(rest @ vectors[old:, -1]))
+        self.block = _orthonormal(rest, 1e-12 * abs(self.value))
+        if self.basis.shape[1] + self.block.shape[1] > self.most or not self.block.shape[1]:
+            self._shorten(values, vectors)
+
+    def _shorten(self, values: np.ndarray, vectors: np.ndarray) -> None:
+        """Only the best directions so far stay; the newest block goes on from them."""
+        if not self.block.shape[1]:
+            self.block, self.basis, self.projected = self.basis @ vectors[:, -DIRECTIONS:], self.basis[:, :0], np.zeros((0, 0))
+            return
+        keep = min(DIRECTIONS, len(values))
+        self.basis, self.projected = self.basis @ vectors[:, -keep:], np.diag(values[-keep:])
 
 
 def first_eof(
@@ -41,73 +120,48 @@ def first_eof(
     """Leading spatial pattern per dataset: (dataset_id, cell_id, value), unit norm, its sum >= 0.
 
     Multiplicative variables are taken as log(max(x, thresh)).  Each cell is centred on its own mean, a missing day counts
-    as the mean.  The pattern is the leading eigenvector of the cell covariance, found by Lanczos steps: the covariance,
-    quadratic in cells, is never formed; one step is a sum over cells for each day and one over days for each cell.  The
-    centred table stays where it is, only the newest basis vector and its daily scores move.  The driver sees the few
-    projection coefficients of each dataset.  If ``max_steps`` do not reach ``tol`` the steps start anew from the best pattern so
-    far; raises only after ``max_restarts`` of that.
+    as the mean.  The pattern is the leading eigenvector of the cell covariance, found by block Lanczos steps over the days: with X the
+    anomalies (cell, day) and u the leading eigenvector of X'X, the pattern is Xu.  Neither covariance is formed.  A step is one pass
+    over the stored days, a row per cell: each task multiplies its cells by ``DIRECTIONS`` vectors and back, the products are summed by
+    day.  The driver keeps vectors over days, bounded by the calendar and by ``BASIS_BYTES``; where they are full, or after
+    ``max_steps`` blocks, the best ones stay and the steps go on.  Raises if ``max_steps * (max_restarts + 1)`` steps don't reach ``tol``.
+    A dataset that doesn't vary gets a pattern of random numbers.
     """
     x = F.col(var)
     if kind == "*":
         x = F.log(F.greatest(x, F.lit(threshold(thresh)))) if thresh is not None else F.log(x)
-    own_mean = F.avg("x").over(Window.partitionBy(*K))
-    table = cut_lineage(
-        df.where(F.col(var).isNotNull()).select(*K, "t", x.alias("x")).withColumn("x", F.col("x") - own_mean)
-    )
-    spark = df.sparkSession
-
-    def numbers(frame: DataFrame, *aggs: Column) -> dict[str, tuple]:
-        """A few sums per dataset, brought to the driver."""
-        return {r[0]: tuple(r[1:]) for r in frame.groupBy("dataset_id").agg(*aggs).toLocalIterator()}
-
-    def attach(frame: DataFrame, values: dict[str, list[float]]) -> DataFrame:
-        """Join a few numbers per dataset, as the array column ``c``."""
-        rows = [(name, [float(v) for v in vs]) for name, vs in values.items()]
-        return frame.join(F.broadcast(spark.createDataFrame(rows, "dataset_id string, c array<double>")), "dataset_id")
-
-    square = F.sum(F.col("w") * F.col("w"))
-    start = table.select(*K).distinct().withColumn("w", 1.0 + uniform(F.col("cell_id"), F.lit(0), seed))
-    lengths = {name: [1.0 / math.sqrt(sq)] for name, (sq,) in numbers(start, square).items()}
-    basis = cut_lineage(attach(start, lengths).select(*K, F.array(F.col("w") * F.col("c")[0]).alias("basis")))
-    projected: dict[str, dict[int, list[float]]] = {name: {} for name in lengths}
-    for total_steps in range(max_steps * (max_restarts + 1)):
-        step = total_steps % max_steps
-        if total_steps and not step:
-            best = attach(basis, {name: list(vec) for name, (_, vec) in top.items()}).select(*K, _combine("basis", "c").alias("w"))
-            best = cut_lineage(best)
-            norms = {name: [1.0 / math.sqrt(sq)] for name, (sq,) in numbers(best, square).items()}
-            basis = cut_lineage(attach(best, norms).select(*K, F.array(F.col("w") * F.col("c")[0]).alias("basis")))
-            projected = {name: {} for name in lengths}
-        newest = basis.select(*K, F.element_at("basis", -1).alias("v"))
-        scores = cut_lineage(
-            table.join(newest, K).groupBy("dataset_id", "t").agg(F.sum(F.col("x") * F.col("v")).alias("u"))
-        )
-        image = table.join(scores, ["dataset_id", "t"]).groupBy(*K).agg(F.sum(F.col("x") * F.col("u")).alias("w"))
-        state = cut_lineage(image.join(basis, K))
-        dots = F.array(*[F.sum(F.col("w") * F.col("basis")[i]) for i in range(step + 1)])
-        first = {name: h for name, (h,) in numbers(state, dots).items()}
-        state = attach(state, first).withColumn("w", F.col("w") - _combine("basis", "c")).drop("c")
-        # A second pass keeps the basis orthogonal to rounding.
-        again = numbers(state, dots, square)
-        state = attach(state, {n: h for n, (h, _) in again.items()}).withColumn("w", F.col("w") - _combine("basis", "c")).drop("c")
-        rest = {n: math.sqrt(max(0.0, sq - sum(v * v for v in h))) for n, (h, sq) in again.items()}
-        for name, h in first.items():
-            projected[name][step] = [a + b for a, b in zip(h, again[name][0])]
-        top = {name: _top_pair(columns) for name, columns in projected.items()}
-        if all(abs(vec[-1]) * rest[name] <= tol * max(value, 1e-300) for name, (value, vec) in top.items()):
+    table = _series(df.where(F.col(var).isNotNull()), x.cast("double"))
+    extent = table.groupBy("dataset_id").agg(F.min(F.array_min("t")), F.max(F.array_max("t")))
+    spans = {name: (low, high - low + 1) for name, low, high in extent.toLocalIterator()}
+    if not spans:
+        return table.select(*K, F.lit(None).cast("double").alias("value"))
+    rng, days = np.random.default_rng(seed), sum(n for _, n in spans.values())
+    most = max(3, min(max_steps, BASIS_BYTES // (8 * days * DIRECTIONS))) * DIRECTIONS
+    found = {name: _Krylov(rng.normal(size=(n, min(n, DIRECTIONS))), most) for name, (_, n) in sorted(spans.items())}
+    left = set(found)
+    for _ in range(max_steps * (max_restarts + 1)):
+        run, schema, width = _image(spans, {name: found[name].block for name in left})
+        sums = table.where(F.col("dataset_id").isin(sorted(left))).mapInArrow(run, schema).groupBy("dataset_id", "day").agg(
+            *[F.sum(f"y{k}").alias(f"y{k}") for k in range(width)]).toPandas()  # at most one row for each dataset and day
+        for name, rows in sums.groupby("dataset_id"):
+            k = found[name]
+            image = np.zeros((spans[name][1], width))
+            image[rows["day"]] = rows[[f"y{k}" for k in range(width)]]
+            k.step(image[:, :k.block.shape[1]])
+            if k.error <= tol * max(k.value, 1e-300):
+                left.discard(name)
+        if not left:
             break
-        if step == max_steps - 1:
-            continue
-        # A dataset whose space is exhausted goes on with a zero vector, which changes nothing.
-        scale = {n: [1.0 / v if v > 1e-12 * abs(top[n][0]) else 0.0] for n, v in rest.items()}
-        basis = cut_lineage(attach(state, scale).select(
-            *K, F.concat("basis", F.array(F.col("w") * F.col("c")[0])).alias("basis")
-        ))
     else:
         raise RuntimeError(f"no convergence after {max_restarts} restarts of {max_steps} steps")
-    pattern = attach(basis, {name: list(vec) for name, (_, vec) in top.items()}).select(*K, _combine("basis", "c").alias("v"))
-    signs = {name: [-1.0 if total < 0 else 1.0] for name, (total,) in numbers(pattern, F.sum("v")).items()}
-    return attach(pattern, signs).select(*K, (F.col("v") * F.col("c")[0]).alias("value"))
+    pattern = cut_lineage(table.mapInArrow(
+        _scores(spans, {name: k.best for name, k in found.items()}), f"dataset_id string, cell_id {dict(df.dtypes)['cell_id']}, v double"))
+    pattern = pattern.withColumn("_u", 1.0 + uniform(F.col("cell_id"), F.lit(0), seed))
+    size = pattern.groupBy("dataset_id").agg(
+        F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("_norm"), F.sqrt(F.sum(F.col("_u") * F.col("_u"))).alias("_any"),
+        F.when(F.sum("v") < 0, -1.0).otherwise(1.0).alias("_sign"))
+    value = F.when(F.col("_norm") > 0, F.col("v") / F.col("_norm") * F.col("_sign")).otherwise(F.col("_u") / F.col("_any"))
+    return pattern.join(F.broadcast(size), "dataset_id").select(*K, value.alias("value"))
 
 
 # A block of cells is at most that large as a dense matrix of 4-byte numbers; below that a region has at most so many blocks.

@@ -74,6 +74,16 @@ def test_first_eof_restarts(field):
         Z.first_eof(sdaily, "x", max_steps=2, tol=0.0, max_restarts=1)
 
 
+def test_first_eof_of_noise_takes_few_passes(spark):
+    m = np.random.default_rng(5).normal(size=(60, 90))
+    rows = [("d", c, 700 + t, float(m[t, c])) for t in range(60) for c in range(90)] + [("flat", c, 5, 1.0) for c in range(4)]
+    df = spark.createDataFrame(rows, "dataset_id string, cell_id int, t int, x double")
+    got = Z.first_eof(df, "x", max_steps=9, max_restarts=0).orderBy("dataset_id", "cell_id").toPandas()
+    v = np.linalg.svd(m - m.mean(axis=0), full_matrices=False)[2][0]
+    assert np.allclose(got[got.dataset_id == "d"].value, v * np.sign(v.sum()), atol=1e-6)
+    assert np.isclose((got[got.dataset_id == "flat"].value ** 2).sum(), 1.0)
+
+
 @pytest.mark.parametrize("values", [
     np.arange(7.0), np.r_[np.zeros(4000), np.arange(2000.0)], np.random.default_rng(1).normal(size=5000), np.array([3.0]),
 ])
