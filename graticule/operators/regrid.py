@@ -64,42 +64,47 @@ def regrid(
     into tiles of ``tile_cells`` successive target cells: a coarse row is copied to the few tiles that need it, both sides are
     hashed by (tile, group of days), and join and sum are local again.  There are as many groups of days as leave
     ``rows_per_partition`` coarse rows to a partition, whatever the number of days and datasets.  Neighbouring targets should have
-    neighbouring numbers.
+    neighbouring numbers.  Either way the partitions follow the days times the targets too: the sums of one stay in memory, however
+    much finer the targets are than the source.
 
     With ``unmapped_to_null`` a target with fewer than ``corners`` present corners gets NULL, and a target outside the
     source always does.  Targets may be a full grid or a list of points; a curvilinear source needs only its own weight table.
     """
     carried = [c for c in time_cols if c in df.columns]
     source = df.select("dataset_id", F.col("cell_id").alias("src_cell"), "t", *carried, *variables)
+    weights, days = cut_lineage(weights), cut_lineage(source.select("dataset_id", "t", *carried).distinct())
     if not weights.where(F.col("src_cell") == NOWHERE).limit(1).isEmpty():
-        source = source.unionByName(_nowhere(source, carried, variables))
+        source = source.unionByName(_nowhere(days, source, carried, variables))
+    n_days, least = days.count(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sized = small_enough_to_broadcast(weights, broadcast_bytes)
     if sized is not weights:
-        spread = source.repartition("dataset_id", "t").join(sized, "src_cell")
+        n = max(least, -(-n_days * weights.count() // (corners * rows_per_partition)))
+        spread = source.repartition(n, "dataset_id", "t").join(sized, "src_cell")
         keys = []
     else:
         keys = ["_tile", "_days"]
         tiled = cut_lineage(weights.withColumn("_tile", F.floor(F.col("dst_cell") / tile_cells).cast("int")))
         needed = cut_lineage(tiled.select("src_cell", "_tile").distinct())
         size = needed.agg(F.count(F.lit(1)).alias("pairs"), F.count_distinct("src_cell").alias("cells"), F.count_distinct("_tile").alias("tiles")).first()
-        # Rows to deal: each day of each dataset has the pairs (source cell, tile) that its cells take part in.
+        # Rows to deal: each day of each dataset has the pairs (source cell, tile) that its cells take part in.  Sums: those of its targets.
         rows = df.count() * size["pairs"] // max(size["cells"], 1)
-        groups = max(1, -(-rows // (max(size["tiles"], 1) * rows_per_partition)))
-        n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), size["tiles"] * groups)
+        groups = max(1, -(-rows // (max(size["tiles"], 1) * rows_per_partition)), -(-n_days * tile_cells // (1 << 19)))
+        n = max(least, size["tiles"] * groups)
         group = F.pmod(F.xxhash64("dataset_id", "t"), F.lit(groups)).cast("int")
         dealt = source.join(small_enough_to_broadcast(needed), "src_cell").withColumn("_days", group)
         every = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
         spread = dealt.repartition(n, *keys).join(tiled.withColumn("_days", every).repartition(n, *keys), [*keys, "src_cell"])
-    sums = spread.groupBy("dataset_id", "t", *carried, F.col("dst_cell").alias("cell_id"), *keys).agg(*[
-        F.when(F.count(v) == corners, F.sum(F.col("w") * F.col(v))).alias(v) if unmapped_to_null
-        else (F.sum(F.col("w") * F.col(v)) / F.sum(F.when(F.col(v).isNotNull(), F.col("w")))).alias(v)
-        for v in variables
-    ])
-    return sums.drop(*keys)
+    # Dataset, calendar and day tell the other columns of time: they are no keys, and move only where they are asked for.
+    named = [c for c in carried if c == "calendar"]
+    sums = spread.groupBy("dataset_id", "t", *named, F.col("dst_cell").alias("cell_id"), *keys).agg(
+        *[F.first(c).alias(c) for c in carried if c not in named],
+        *[F.when(F.count(v) == corners, F.sum(F.col("w") * F.col(v))).alias(v) if unmapped_to_null
+          else (F.sum(F.col("w") * F.col(v)) / F.sum(F.when(F.col(v).isNotNull(), F.col("w")))).alias(v)
+          for v in variables])
+    return sums.select("dataset_id", "t", *carried, "cell_id", *variables)
 
 
-def _nowhere(source: DataFrame, carried: Sequence[str], variables: Sequence[str]) -> DataFrame:
+def _nowhere(days: DataFrame, source: DataFrame, carried: Sequence[str], variables: Sequence[str]) -> DataFrame:
     """A row of every day that stands for "nowhere", so that targets outside the source get a row a day."""
     empty = [F.lit(None).cast(source.schema[v].dataType).alias(v) for v in variables]
-    days = source.select("dataset_id", "t", *carried).distinct()
     return days.select("dataset_id", F.lit(NOWHERE).cast(source.schema["src_cell"].dataType).alias("src_cell"), "t", *carried, *empty)

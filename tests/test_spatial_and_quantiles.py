@@ -197,6 +197,18 @@ def test_tiled_regridding_moves_coarse_rows_once_in_groups_of_a_set_size(spark):
     assert key(whole) == key(tiled) and whole.where("x IS NULL").count() == 50 * weights.where("src_cell = -1").count() > 0
 
 
+def test_regridding_has_partitions_for_its_sums(spark):
+    from graticule.operators import regrid as G
+    cells = spark.range(300).selectExpr("CAST(id AS INT) AS cell_id", "(id div 20) * 0.4D AS lat", "(id % 20) * 0.3D AS lon")
+    weights = G.bilinear_weights(G.Axes(0.0, 1.0, 8, 0.0, 1.0, 8), cells)
+    src = spark.range(64 * 50).selectExpr("'a' AS dataset_id", "CAST(id % 64 AS INT) AS cell_id", "CAST(id div 64 AS INT) AS t", "CAST(id AS DOUBLE) AS x")
+    whole, fine = G.regrid(src, weights, ["x"]), G.regrid(src, weights, ["x"], rows_per_partition=500)
+    parts = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert ", 30), REPARTITION_BY_NUM" in parts(fine) and ", 30), REPARTITION_BY_NUM" not in parts(whole)
+    key = lambda df: sorted(map(tuple, df.select("dataset_id", "t", "cell_id", "x").collect()), key=repr)
+    assert key(whole) == key(fine) and len(key(fine)) == 300 * 50
+
+
 def rotated(n, angle, step=0.3, lon0=179.5, lat0=60.0):
     """A curved grid over the date line: rows and columns on circles."""
     i, j = (a.ravel() for a in np.meshgrid(np.arange(n), np.arange(n)))
