@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from graticule.functions.calendars import convert_calendar, with_standard_calendar
-from graticule.session import tune
+from graticule.session import spread, tune
 
 REF_PERIOD = (1995, 1998)
 FUT_PERIOD = (1999, 2001)
@@ -48,16 +48,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = read(spark, sf_dir, "lineitem").groupBy(
+    rows = read(spark, sf_dir, "lineitem").select(
         F.expr("CASE WHEN l_linestatus = 'O' THEN 'ref' ELSE 'sim' END").alias("dataset_id"),
         F.expr(_CELL).alias("cell_id"),
         F.expr("CAST(l_shipdate AS DATE)").alias("date"),
-    ).agg(
-        F.expr("MAX(l_extendedprice)").alias("price"),
-        F.expr("SUM(CAST(ROUND(l_discount * 100) AS BIGINT))").alias("disc"),
-        F.expr("COUNT(*)").alias("n"),
-        F.expr("SUM(CASE WHEN l_returnflag = 'R' AND (l_linestatus = 'O' OR l_quantity > 15) THEN l_quantity ELSE 0e0 END)").alias("qty"),
+        "l_extendedprice",
+        F.expr("CAST(ROUND(l_discount * 100) AS BIGINT)").alias("disc"),
+        F.expr("CASE WHEN l_returnflag = 'R' AND (l_linestatus = 'O' OR l_quantity > 15) THEN l_quantity ELSE 0e0 END").alias("qty"),
     )
+    raw = spread(rows, "dataset_id", "cell_id", "date").groupBy("dataset_id", "cell_id", "date").agg(
+        F.expr("MAX(l_extendedprice)").alias("price"), F.expr("SUM(disc)").alias("disc"), F.expr("COUNT(*)").alias("n"), F.expr("SUM(qty)").alias("qty"))
     return (
         with_standard_calendar(raw)
         .withColumn("tasmax", F.expr(_TASMAX))

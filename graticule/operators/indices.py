@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.calendars import FREQUENCIES, days_in_period, month_number, month_to_date, period_number
 from ..functions.units import threshold
-from ..session import cut_lineage, small_enough_to_broadcast
+from ..session import cut_lineage, small_enough_to_broadcast, spread
 from .definitions import Definition
 from .derive import with_tas
 from .spells import longest_sums, run_lengths
@@ -170,7 +170,8 @@ def monthly_summaries(df: DataFrame, plan: Plan) -> DataFrame:
             for i, (tn, tx) in enumerate(plan.conditions)]]
     needs_tas = any("tas" in BASES[d.base].inputs for d in plan.folded)
     days = with_tas(df) if needs_tas else df
-    monthly = days.groupBy(*KEYS, month_number("year", "month").alias("month_no")).agg(*parts, F.max("month").alias("month"))
+    days = spread(days.withColumn("month_no", month_number("year", "month")), "cell_id")
+    monthly = days.groupBy(*KEYS, "month_no").agg(*parts, F.max("month").alias("month"))
     if not plan.rolling:
         return monthly
     reach = max(plan.windows) - 1

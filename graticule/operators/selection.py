@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.units import threshold
-from ..session import cut_lineage, small_enough_to_broadcast
+from ..session import by_cell, cells_partitions, cut_lineage, small_enough_to_broadcast
 from .nearest import nearest_cell  # noqa: F401
 
 
@@ -101,16 +101,19 @@ def with_cell_threshold(df: DataFrame, thr: DataFrame, on: Sequence[str] = ("cel
     return df.join(thr, list(on))
 
 
-def unstack(df: DataFrame, cells: DataFrame, dataset_ids: Sequence[str], first_t: int, last_t: int) -> DataFrame:
+def unstack(df: DataFrame, cells: DataFrame, dataset_ids: Sequence[str], first_t: int, last_t: int, rows_per_partition: int = 1 << 20) -> DataFrame:
     """Dense output: a row for every cell and day, NULL where the stacked table has none.
 
-    The days are generated next to each cell, so the only exchange is that of the equi-join.
+    The days are generated next to each cell after cells and values are hashed by cell, so the dense rows are not exchanged; there are as many
+    partitions as leave ``rows_per_partition`` of them to each.
     """
+    rows = cells.count() * len(dataset_ids) * (last_t - first_t + 1)
+    n = max(cells_partitions(df), -(-rows // rows_per_partition))
     dense = (
-        cells.withColumn("dataset_id", F.explode(F.array(*[F.lit(d) for d in dataset_ids])))
+        by_cell(cells, n, exactly=True).withColumn("dataset_id", F.explode(F.array(*[F.lit(d) for d in dataset_ids])))
         .withColumn("t", F.explode(F.sequence(F.lit(first_t), F.lit(last_t))))
     )
-    return dense.join(df, ["dataset_id", "cell_id", "t"], "left")
+    return dense.join(by_cell(df, n, exactly=True).hint("merge"), ["dataset_id", "cell_id", "t"], "left")
 
 
 def concat_regions(dfs: Sequence[DataFrame]) -> DataFrame:

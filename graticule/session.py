@@ -61,7 +61,7 @@ def small_enough_to_broadcast(df: DataFrame, max_bytes: int = 64 << 20) -> DataF
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
-def _input_bytes(df: DataFrame) -> int:
+def input_bytes(df: DataFrame) -> int:
     """Size of all tables a plan reads, as the optimizer knows it without a job."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
@@ -76,7 +76,16 @@ def hashed_by_cell(df: DataFrame) -> int | None:
 
 def cells_partitions(df: DataFrame) -> int:
     """A partition for each 64 MB of input, with the session's shuffle partitions as the least."""
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-_input_bytes(df) // (64 << 20)))
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes(df) // (64 << 20)))
+
+
+def spread(df: DataFrame, *keys: str, most_bytes: int = 16 << 20) -> DataFrame:
+    """Rows dealt by ``keys`` where the session's shuffle partitions would each get more than ``most_bytes`` of input.
+
+    Adaptive execution merges small partitions of an aggregation but splits no large ones, so their memory would grow with the table.
+    """
+    wanted = -(-input_bytes(df) // most_bytes)
+    return df.repartition(wanted, *keys) if wanted > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
 
 
 def by_cell(df: DataFrame, partitions: int | None = None, exactly: bool = False) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.calendars import with_standard_calendar
 from ..functions.units import CANONICAL, convert
-from ..session import small_enough_to_broadcast
+from ..session import small_enough_to_broadcast, spread
 from ..session import by_cell  # noqa: F401  (the other of the two layouts)
 
 VARIABLES = ("tasmax", "tasmin", "pr")
@@ -77,7 +77,8 @@ def load_selected(spark: SparkSession, selected: DataFrame, units: dict[str, str
 
 def records_per_day(df: DataFrame, stamp: str = "ts", keys: Sequence[str] = ("dataset_id", "cell_id")) -> DataFrame:
     """Number of records of every key and civil day."""
-    return df.groupBy(*keys, F.to_date(stamp).alias("date")).agg(F.count(F.lit(1)).alias("n"))
+    days = spread(df.select(*keys, F.to_date(stamp).alias("date")), *keys, "date")
+    return days.groupBy(*keys, "date").agg(F.count(F.lit(1)).alias("n"))
 
 
 def check_daily(df: DataFrame, keys: Sequence[str] = ("dataset_id", "cell_id"), stamp: str = "date") -> DataFrame:

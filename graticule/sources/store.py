@@ -18,7 +18,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
-from ..session import by_cell
+from ..session import by_cell, input_bytes
+
+WRITE_BYTES = 16 << 20  # input to a task that writes
 
 _LIST = "dataset_id string, version string, key string, columns string"
 
@@ -80,7 +82,9 @@ class Table:
         folder = f"{self.path}/data/version={version}"
         by = ["dataset_id", *self.partition_by]
         if self.buckets:
-            rows = df if in_place else by_cell(df, self.buckets, exactly=True)
+            # A multiple of the buckets: a task sorts a part of one bucket, of bounded size, and writes a file of it for each dataset.
+            parts = self.buckets * max(1, -(-input_bytes(df) // (self.buckets * WRITE_BYTES)))
+            rows = df if in_place else by_cell(df, parts, exactly=True)
             name = f"store_{uuid.uuid4().hex}"
             (rows.write.format("parquet").option("path", folder).partitionBy(*by).bucketBy(self.buckets, "cell_id").saveAsTable(name))
             self.spark.sql(f"DROP TABLE {name}")  # the files stay: the table is external

@@ -96,3 +96,27 @@ def test_imp_of_identical_inputs_is_zero(spark):
                               "member string, property string, cell_id int, month int, bin int, value double")
     assert E.imp(m, m).first().imp == 0.0
     assert E.imp(m, m.withColumn("value", F.col("value") / 2)).first().imp == pytest.approx(2 / 3)
+
+
+def test_partitions_follow_the_input(spark, tmp_path, sf_dir):
+    from checks import fixtures as X
+    from graticule import session as N
+    from graticule.operators import selection as S
+    from graticule.sources import store
+    path = str(tmp_path / "days")
+    X.daily(spark, sf_dir).select("dataset_id", "cell_id", "t", "pr").write.parquet(path)
+    df = spark.read.parquet(path)
+    assert N.spread(df, "cell_id", most_bytes=N.input_bytes(df) // 9).rdd.getNumPartitions() >= 9
+    assert N.spread(df, "cell_id") is df
+    cells = df.select("cell_id").distinct()
+    dense = S.unstack(df, cells, ["ref"], 0, 99, rows_per_partition=20)
+    assert f", {cells.count() * 5}), REPARTITION_BY_NUM" in dense._jdf.queryExecution().executedPlan().toString()
+    assert dense.count() == cells.count() * 100
+    table = store.Table(spark, str(tmp_path / "table"), 2)
+    before, store.WRITE_BYTES = store.WRITE_BYTES, N.input_bytes(df) // 8
+    try:
+        table.write(df, ["ref", "sim"], "k")
+    finally:
+        store.WRITE_BYTES = before
+    files = [f for f in (tmp_path / "table" / "data").rglob("*.parquet") if "dataset_id=ref" in str(f)]
+    assert len(files) >= min(cells.count(), 3) and sorted(map(tuple, table.read().select(*df.columns).collect())) == sorted(map(tuple, df.collect()))
