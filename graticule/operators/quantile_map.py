@@ -337,7 +337,7 @@ def adjust_kernel(first: int, n: int, f: float, kind: str, nquantiles: int):
 CELL = ["dataset_id", "calendar", "cell_id"]
 
 
-def _years_as_arrays(sim: DataFrame, conf: Conf) -> DataFrame:
+def _years_as_arrays(sim: DataFrame, conf: Conf, partitions: int | None = None) -> DataFrame:
     """One row per (dataset, cell, doy) with parallel arrays over its years: year, t, and per variable value and moving mean.
 
     The variables stay side by side, so the days are sorted once and the adjusted days come out whole.
@@ -346,7 +346,7 @@ def _years_as_arrays(sim: DataFrame, conf: Conf) -> DataFrame:
     if "dtr" in names and "dtr" not in sim.columns:
         sim = with_dtr(sim)
     sim = sim.where(F.col("year").between(*conf.target_period))
-    wide = by_cell(sim.select(*CELL, "year", "doy", "t", *[F.col(v).cast("double").alias(f"x_{v}") for v in names]))
+    wide = by_cell(sim.select(*CELL, "year", "doy", "t", *[F.col(v).cast("double").alias(f"x_{v}") for v in names]), partitions)
     half = conf.window // 2
     w = Window.partitionBy(*CELL).orderBy("t").rangeBetween(-half, half)
     wide = wide.withColumns({f"m_{v}": F.avg(f"x_{v}").over(w) for v in names})
@@ -386,11 +386,13 @@ def apply_factors(training: DataFrame, sim: DataFrame, conf: Conf) -> DataFrame:
     keys = [*CELL, "doy"]
     # A calendar that training refuses must not come out as rows of NULL here.
     sim = sim.where(required_year_length("calendar").isNotNull())
-    folded = by_cell(training).groupBy(*keys).agg(*[
+    # The same partitions on both sides: a join of unequal ones would move the factors, far more bytes than the days, once more.
+    n = hashed_by_cell(sim) or max(map(cells_partitions, (training, sim)))
+    folded = by_cell(training, n, exactly=True).groupBy(*keys).agg(*[
         F.first(F.when(F.col("var") == v, F.struct("af", "hist_q", "scaling")), ignorenulls=True).alias(f"f_{v}")
         for v in conf.variables
     ])
-    joined = _years_as_arrays(sim, conf).join(folded.hint("merge"), keys, "left")
+    joined = _years_as_arrays(sim, conf, n).join(folded.hint("merge"), keys, "left")
     out = joined.withColumns({
         v: adjust_kernel(first, last - first + 1, conf.loess_f, vc.kind, conf.nquantiles)(
             "year", f"m_{v}", f"x_{v}", f"f_{v}.af", f"f_{v}.hist_q", F.coalesce(f"f_{v}.scaling", F.lit(float("nan")))

@@ -69,9 +69,14 @@ def input_bytes(df: DataFrame) -> int:
 
 
 def hashed_by_cell(df: DataFrame) -> int | None:
-    """The number of partitions if a plan's rows are hashed by ``cell_id`` alone, from bucketed storage or by an exchange."""
-    found = re.fullmatch(r"hashpartitioning\(cell_id#\d+, (\d+)\)", df._jdf.queryExecution().sparkPlan().outputPartitioning().toString())
-    return int(found.group(1)) if found else None
+    """The number of partitions if a plan's rows are hashed by ``cell_id`` alone, from bucketed storage or by an exchange.
+
+    A plan that ends in an Arrow kernel still names its child's partitioning, by a column that is no longer its own: that is none.
+    """
+    plan = df._jdf.queryExecution().sparkPlan()
+    found = re.fullmatch(r"hashpartitioning\((cell_id#\d+), (\d+)\)", plan.outputPartitioning().toString())
+    own = re.findall(r"cell_id#\d+", plan.output().toString())
+    return int(found.group(2)) if found and found.group(1) in own else None
 
 
 def cells_partitions(df: DataFrame) -> int:

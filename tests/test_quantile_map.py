@@ -203,3 +203,15 @@ def test_training_moves_days_once_per_side(spark, sf_dir):
     nl.unpersist()
     initial = plan[plan.index("Initial Plan"):] if "Initial Plan" in plan else plan
     assert initial.split("InMemoryRelation")[0].count("Exchange") <= 4
+
+
+def test_adjustment_moves_factors_once(spark, sf_dir):
+    from checks import fixtures as X
+    nl = X.noleap(spark, sf_dir)
+    conf = B.Conf(B.STANDARD_VARIABLES, X.REF_PERIOD, X.TARGET, loess_f=0.6)
+    training = B.train(X.dataset(nl, "ref"), X.dataset(nl, "sim"), conf)
+    assert B.hashed_by_cell(training) is None
+    plan = B.apply_factors(training, X.dataset(nl, "sim"), conf)._jdf.queryExecution().executedPlan().toString()
+    below = plan[:plan.index("MapInArrow")]
+    moved = [line for line in below.splitlines() if "Exchange hashpartitioning" in line and "date#" not in line]  # not those that make the daily table
+    assert len(moved) == 2 and all("hashpartitioning(cell_id" in line for line in moved)
