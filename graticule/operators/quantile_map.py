@@ -5,12 +5,15 @@ Data flow, with one exchange per input (by ``cell_id``) and none after it:
 * training: daily values -> one row per (dataset, cell) that holds its days as arrays -> joined to the reference's row of the cell ->
   an Arrow-batched kernel (``day_windows``: every series sorted once, 31-day windows cut out of it; quantiles, means, frequency
   adaptation) -> adjustment factors per (dataset, cell, variable, day of year);
-* adjustment: 31-day moving means -> one row per day of year holding its years as arrays -> joined to the factors ->
-  an Arrow-batched kernel (LOESS trend across years, nearest-quantile lookup, recombination) -> daily rows.
+* adjustment by stored factors: 31-day moving means -> one row per day of year holding its years as arrays -> joined to the factors ->
+  an Arrow-batched kernel (LOESS trend across years, nearest-quantile lookup, recombination) -> daily rows;
+* adjustment by factors ``train`` has just described: the days of reference, training and target side by side in one exchange by
+  cell -> a kernel that trains a (dataset, cell), adjusts its days and forgets the factors -> daily rows.
 
-The three variables share the exchanges.  The factors pass through an Arrow kernel, which forgets their partitioning, or
-through storage; they are hashed by cell once more before the adjustment, the days are not.  Every group is bounded by the calendar: a
-(dataset, cell) has at most one row per day, a day of year at most one row per year.
+The three variables share the exchanges.  Factors are 100 numbers per variable and day of the year, most often far more bytes than
+the days they come from: they leave the kernel only to be stored or looked at, and rows of them given to ``apply_factors`` are
+hashed by cell once.  Every group is bounded by the calendar: a (dataset, cell) has at most one row per day, a day of year at most
+one row per year.
 
 Choices the published method leaves open, fixed here: windows stop at the ends of the period; quantiles interpolate
 linearly; a dry day has less than the threshold; of equally near quantiles the lowest is taken; a zero mean, trend or
@@ -28,7 +31,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..functions.calendars import required_year_length, with_civil_parts
+from ..functions.calendars import fixed_year_length, required_year_length, with_civil_parts
 from ..functions.randoms import uniform, uniform_np
 from ..session import by_cell, cells_partitions, hashed_by_cell
 from .day_windows import Windows, adapted, windows
@@ -175,15 +178,25 @@ def factors_of(ref: Windows, sim: Windows, kind: str, levels: np.ndarray) -> tup
         return some + 1, np.where(h != 0, r / h, np.nan), h, np.where(means[1] != 0, means[0] / means[1], np.nan)
 
 
+def _windows_of_cell(conf: Conf, days: dict[str, np.ndarray], n: int, cell: int, seed: int) -> dict[str, Windows]:
+    """The windows of every variable on one side, after the jitter."""
+    return {
+        v: windows(days["year"], days["doy"], _jittered(days[f"x_{v}"], c.jitter_under, cell, days["t"], seed), n, conf.reference_period, conf.window // 2)
+        for v, c in conf.variables.items()
+    }
+
+
+def _factors_of_cell(conf: Conf, ref: dict[str, Windows], sim: dict[str, Windows], cell: int) -> dict[str, tuple[np.ndarray, ...]]:
+    """``factors_of`` every variable, after the frequency adaptation."""
+    levels, out = np.asarray(conf.levels)[None, :], {}
+    for v, c in conf.variables.items():
+        side = sim[v] if c.adapt_freq is None else adapted(ref[v], sim[v], c.adapt_freq, cell, conf.seed + 2)
+        out[v] = factors_of(ref[v], side, c.kind, levels)
+    return out
+
+
 def training_kernel(conf: Conf):
     """Rows (dataset_id, calendar, cell_id, n, ref, sim) of a cell's days on both sides -> its factors."""
-    levels, half = np.asarray(conf.levels)[None, :], conf.window // 2
-
-    def sides(year, doy, t, days, at, n, cell, seed) -> dict[str, Windows]:
-        return {
-            v: windows(year, doy, _jittered(days[f"x_{v}"][at], c.jitter_under, cell, t, seed), n, conf.reference_period, half)
-            for v, c in conf.variables.items()
-        }
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, reference = None, {}
@@ -198,17 +211,14 @@ def training_kernel(conf: Conf):
                         continue
                     offsets, days = columns[side]
                     at = slice(offsets[i], offsets[i + 1])
-                    found[side] = sides(days["year"][at], days["doy"][at], days["t"][at], days, at, n, cell, seed)
+                    found[side] = _windows_of_cell(conf, {name: values[at] for name, values in days.items()}, n, cell, seed)
                 if "ref" in found:
                     known, reference = (calendar, cell), found["ref"]
-                for v, c in conf.variables.items():
-                    ref, sim = reference[v], found["sim"][v]
-                    if c.adapt_freq is not None:
-                        sim = adapted(ref, sim, c.adapt_freq, cell, conf.seed + 2)
-                    doy, af, hist_q, scaling = factors_of(ref, sim, c.kind, levels)
+                for v, (doy, af, hist_q, scaling) in _factors_of_cell(conf, reference, found["sim"], cell).items():
                     own = batch.slice(i, 1).select(["dataset_id", "calendar", "cell_id"]).take(pa.array(np.zeros(len(doy), np.int64)))
                     yield pa.RecordBatch.from_arrays([
-                        *own.columns, pa.array(doy.astype(np.int32)), pa.array([v] * len(doy), pa.string()), pa.array([c.kind] * len(doy), pa.string()),
+                        *own.columns, pa.array(doy.astype(np.int32)), pa.array([v] * len(doy), pa.string()),
+                        pa.array([conf.variables[v].kind] * len(doy), pa.string()),
                         _list_column(af), _list_column(hist_q), pa.array(scaling, from_pandas=True),
                     ], names=["dataset_id", "calendar", "cell_id", "doy", "var", "kind", "af", "hist_q", "scaling"])
 
@@ -218,7 +228,8 @@ def training_kernel(conf: Conf):
 def train(ref: DataFrame, hist: DataFrame, conf: Conf) -> DataFrame:
     """(dataset_id, calendar, cell_id, doy, var, kind, af[], hist_q[], scaling) for every dataset of ``hist``.
 
-    ``ref`` must hold one reference per (calendar, cell, day) in the calendars of ``hist`` (see ``convert_calendar``).
+    ``ref`` must hold one reference per (calendar, cell, day) in the calendars of ``hist`` (see ``convert_calendar``).  The table
+    remembers the days it comes from, so that ``adjust`` can train where it adjusts; one made from it by any further step does not.
     """
     # Both sides in the same partitions, and merged by cell: the join moves nothing, and the members of a cell follow each other.
     n = max([p for p in map(hashed_by_cell, (ref, hist)) if p] or map(cells_partitions, (ref, hist)))
@@ -228,7 +239,9 @@ def train(ref: DataFrame, hist: DataFrame, conf: Conf) -> DataFrame:
     schema = (
         f"dataset_id string, calendar string, cell_id {dict(hist.dtypes)['cell_id']}, doy int, var string, kind string, "
         "af array<double>, hist_q array<double>, scaling double")
-    return pairs.select("dataset_id", "calendar", "cell_id", "n", "ref", "sim").mapInArrow(training_kernel(conf), schema)
+    factors = pairs.select("dataset_id", "calendar", "cell_id", "n", "ref", "sim").mapInArrow(training_kernel(conf), schema)
+    factors._trained_on = (ref, hist, conf)
+    return factors
 
 
 # --- adjustment ------------------------------------------------------------------------------------------------------
@@ -307,24 +320,26 @@ def trend_kernel(first: int, n: int, f: float):
     return trend
 
 
+def _adjusted(m: np.ndarray, x: np.ndarray, af: np.ndarray, hist_q: np.ndarray, scaling: np.ndarray, weights: np.ndarray, kind: str) -> np.ndarray:
+    """Adjusted values of (row, year) matrices of moving means and values, with the factors of each row."""
+    trend, additive, c = _smooth(m, weights), kind == "+", scaling[:, None]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        residual = x - trend if additive else np.where(trend != 0, x / trend, np.nan)
+    picked = np.take_along_axis(af, _nearest(hist_q, np.nan_to_num(residual)), axis=1)
+    picked[np.isnan(hist_q).any(axis=1)] = np.nan
+    return trend + c + residual + picked if additive else trend * c * residual * picked
+
+
 def adjust_kernel(first: int, n: int, f: float, kind: str, nquantiles: int):
     """years[], moving means[], values[], factors[], quantiles[], scaling -> adjusted values[]."""
     weights = loess_weights(n, f)
-    additive = kind == "+"
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def adjusted(
         years: pd.Series, means: pd.Series, values: pd.Series, af: pd.Series, hist_q: pd.Series, scaling: pd.Series,
     ) -> pd.Series:
         m, x = _dense(years, [means, values], first, n)
-        trend = _smooth(m, weights)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            residual = x - trend if additive else np.where(trend != 0, x / trend, np.nan)
-        a, q = _matrix(af, nquantiles), _matrix(hist_q, nquantiles)
-        picked = np.take_along_axis(a, _nearest(q, np.nan_to_num(residual)), axis=1)
-        picked[np.isnan(q).any(axis=1)] = np.nan
-        c = scaling.to_numpy(dtype=float)[:, None]
-        y = trend + c + residual + picked if additive else trend * c * residual * picked
+        y = _adjusted(m, x, _matrix(af, nquantiles), _matrix(hist_q, nquantiles), scaling.to_numpy(dtype=float), weights, kind)
         out = []
         for row, at in zip(y, years):
             got = row[np.asarray(at) - first]
@@ -401,6 +416,124 @@ def apply_factors(training: DataFrame, sim: DataFrame, conf: Conf) -> DataFrame:
     return _as_rows(out, list(conf.variables))
 
 
+_REF, _HIST, _SIM = 0, 1, 2  # a cell's days come in this order
+
+
+def _runs(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[tuple[tuple, pa.Table]]:
+    """The rows of equal ``keys`` that follow each other, over the borders of batches."""
+    held, known = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        codes = [batch.column(k).dictionary_encode("encode").indices.to_numpy() for k in keys]
+        cuts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in codes], axis=0)) + 1
+        for low, high in zip([0, *cuts], [*cuts, batch.num_rows]):
+            key = tuple(batch.column(k)[low].as_py() for k in keys)
+            if held and key != known:
+                yield known, pa.Table.from_batches(held)
+                held = []
+            known = key
+            held.append(batch.slice(low, high - low))
+    if held:
+        yield known, pa.Table.from_batches(held)
+
+
+def _moving_means(t: np.ndarray, x: np.ndarray, half: int) -> np.ndarray:
+    """Means of the values of each row of ``x`` within ``half`` days of each day, added up in the order of the days."""
+    order = np.argsort(t, kind="stable")
+    t, x = t[order].astype(np.int64), x[:, order]
+    have = ~np.isnan(x)
+    filled = np.where(have, x, 0.0)
+    low, high = np.searchsorted(t, t - half, "left"), np.searchsorted(t, t + half, "right")
+    total, n = np.zeros(x.shape), np.zeros(x.shape, np.int64)
+    for k in range((high - low).max()):
+        inside, at = low + k < high, np.minimum(low + k, len(t) - 1)
+        total += np.where(inside, filled[:, at], 0.0)
+        n += inside & have[:, at]
+    out = np.empty(x.shape)
+    out[:, order] = np.where(n > 0, total / np.maximum(n, 1), np.nan)
+    return out
+
+
+def train_and_adjust_kernel(trained: Conf, conf: Conf):
+    """Days of reference, training and target, sorted by cell, calendar, dataset and side -> adjusted days of the target.
+
+    The factors of a (dataset, cell) last until its days are adjusted.  Without any the adjusted values are NULL.
+    """
+    first, last = conf.target_period
+    names, nyears = list(conf.variables), last - first + 1
+    weights = loess_weights(nyears, conf.loess_f)
+
+    def numbers(rows: pa.Table, variables: Sequence[str]) -> dict[str, np.ndarray]:
+        return {c: rows.column(c).to_numpy() for c in ("year", "doy", "t", *[f"x_{v}" for v in variables])}
+
+    def adjusted(days: dict[str, np.ndarray], factors: dict[str, tuple[np.ndarray, ...]]) -> list[np.ndarray]:
+        doys, row = np.unique(days["doy"], return_inverse=True)
+        place = row, days["year"] - first
+        x = np.array([days[f"x_{v}"] for v in names])
+        out = []
+        for values, means, v in zip(x, _moving_means(days["t"], x, conf.window // 2), names):
+            if v not in factors:
+                out.append(np.full(len(values), np.nan))
+                continue
+            doy, *own = factors[v]
+            m, dense = np.full((2, len(doys), nyears), np.nan)
+            m[place], dense[place] = means, values
+            have = np.isin(doys, doy)
+            of_days = [np.full((len(doys), *f.shape[1:]), np.nan) for f in own]
+            for f, all_days in zip(own, of_days):
+                all_days[have] = f[np.searchsorted(doy, doys[have])]
+            out.append(_adjusted(m, dense, *of_days, weights, conf.variables[v].kind)[place])
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reference = windows_ref = of_ref = of_factors = None
+        factors = {}
+        for (cell, calendar, member, side), rows in _runs(batches, ["cell_id", "calendar", "dataset_id", "side"]):
+            if side == _REF:
+                reference, of_ref, windows_ref = numbers(rows, trained.variables), (cell, calendar), None
+            elif side == _HIST:
+                if of_ref != (cell, calendar):
+                    continue
+                n = rows.column("n")[0].as_py()
+                if n is None:
+                    raise ValueError(f"years of equal length are needed, not calendar {calendar}")
+                windows_ref = windows_ref or _windows_of_cell(trained, reference, n, cell, trained.seed)
+                windows_sim = _windows_of_cell(trained, numbers(rows, trained.variables), n, cell, trained.seed + 1)
+                factors, of_factors = _factors_of_cell(trained, windows_ref, windows_sim, cell), (cell, calendar, member)
+            else:
+                values = adjusted(numbers(rows, names), factors if of_factors == (cell, calendar, member) else {})
+                keys = [rows.column(c).combine_chunks() for c in (*CELL, "year", "doy", "t")]
+                yield pa.RecordBatch.from_arrays([*keys, *[pa.array(y, from_pandas=True) for y in values]], names=[*CELL, "year", "doy", "t", *names])
+
+    return run
+
+
+def train_and_apply(ref: DataFrame, hist: DataFrame, trained: Conf, sim: DataFrame, conf: Conf) -> DataFrame:
+    """``apply_factors`` of those ``train`` makes from ``ref`` and ``hist``, in one exchange of the days and none of the factors."""
+    names = list(dict.fromkeys([*trained.variables, *conf.variables]))
+
+    def side(df: DataFrame, number: int, variables: Sequence[str], period: tuple[int, int]) -> DataFrame:
+        if "dtr" in variables and "dtr" not in df.columns:
+            df = with_dtr(df)
+        member = F.lit(None).cast("string") if number == _REF else F.col("dataset_id")
+        values = [(F.col(v) if v in variables else F.lit(None)).cast("double").alias(f"x_{v}") for v in names]
+        return df.where(F.col("year").between(*period)).select(
+            "cell_id", "calendar", member.alias("dataset_id"), F.lit(number).alias("side"), "year", "doy", "t", *values)
+
+    # A calendar that training refuses must not come out as rows of NULL here.
+    target = sim.where(required_year_length("calendar").isNotNull())
+    days = side(ref, _REF, trained.variables, trained.reference_period).unionByName(
+        side(hist, _HIST, trained.variables, trained.reference_period)).unionByName(side(target, _SIM, conf.variables, conf.target_period))
+    # The days of a partition are sorted at once: few enough to need no disk.
+    laid = days.repartition(cells_partitions(days, 32 << 20), "cell_id").sortWithinPartitions("cell_id", "calendar", "dataset_id", "side")
+    kinds, of_sim = dict(days.dtypes), dict(sim.dtypes)
+    keys = [*CELL, "year", "doy", "t"]
+    schema = ", ".join([*[f"{c} {kinds[c]}" for c in keys], *[f"`{v}` double" for v in conf.variables]])
+    out = laid.withColumn("n", fixed_year_length("calendar")).mapInArrow(train_and_adjust_kernel(trained, conf), schema)
+    return out.withColumns({c: F.col(c).cast(of_sim[c]) for c in keys if kinds[c] != of_sim[c]})
+
+
 def assemble(adjusted: DataFrame) -> DataFrame:
     """Adjusted values -> daily table; tasmin rebuilt from tasmax and dtr."""
     if "dtr" in adjusted.columns and "tasmax" in adjusted.columns:
@@ -409,8 +542,14 @@ def assemble(adjusted: DataFrame) -> DataFrame:
 
 
 def adjust(training: DataFrame, sim: DataFrame, conf: Conf) -> DataFrame:
-    """The adjusted scenario as a daily table."""
-    return assemble(apply_factors(training, sim, conf))
+    """The adjusted scenario as a daily table.
+
+    Factors that ``train`` describes and nothing has stored are made where the days are adjusted; others are joined to the days.
+    """
+    described = vars(training).get("_trained_on")
+    if described is None or training.is_cached:
+        return assemble(apply_factors(training, sim, conf))
+    return assemble(train_and_apply(*described, sim, conf))
 
 
 def check_physical(df: DataFrame) -> DataFrame:

@@ -79,9 +79,9 @@ def hashed_by_cell(df: DataFrame) -> int | None:
     return int(found.group(2)) if found and found.group(1) in own else None
 
 
-def cells_partitions(df: DataFrame) -> int:
-    """A partition for each 64 MB of input, with the session's shuffle partitions as the least."""
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes(df) // (64 << 20)))
+def cells_partitions(df: DataFrame, most_bytes: int = 64 << 20) -> int:
+    """A partition for each ``most_bytes`` of input, with the session's shuffle partitions as the least."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes(df) // most_bytes))
 
 
 def spread(df: DataFrame, *keys: str, most_bytes: int = 16 << 20) -> DataFrame:

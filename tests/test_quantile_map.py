@@ -215,3 +215,63 @@ def test_adjustment_moves_factors_once(spark, sf_dir):
     below = plan[:plan.index("MapInArrow")]
     moved = [line for line in below.splitlines() if "Exchange hashpartitioning" in line and "date#" not in line]  # not those that make the daily table
     assert len(moved) == 2 and all("hashpartitioning(cell_id" in line for line in moved)
+
+
+def test_training_where_the_days_are_adjusted_gives_what_rows_of_factors_give(spark):
+    """Two members in two calendars, gaps, NULLs, a cell without reference, one without training days, batches that end inside cells."""
+    years = (2001, 2006)
+
+    def days(name, calendar, cells, shift):
+        x = series(spark, name, f"280 + noise + {shift}", years, cells, calendar)
+        return x.withColumns({
+            "tasmin": F.expr(f"tasmax - 1 - pmod(t * 31 + cell_id, 17) / (3.0 + {shift})"),
+            "pr": F.expr(f"CASE WHEN pmod(t, 11) <> 5 THEN greatest(0, noise - 4 - {shift}) END").cast("double"),
+        }).where("pmod(t * 7 + cell_id, 13) <> 3 AND NOT (cell_id = 1 AND doy BETWEEN 100 AND 180)")
+
+    ref = days("ref", "noleap", 3, 0).unionByName(days("ref", "360_day", 3, 0))
+    sim = days("a", "noleap", 4, 2).unionByName(days("b", "360_day", 3, 1).where("cell_id <> 2 OR year > 2004")).unionByName(days("c", "noleap", 2, 1))
+    c = B.Conf(B.STANDARD_VARIABLES, PERIOD, years, loess_f=0.6)
+    training = B.train(ref, sim, c)
+    got, want = B.adjust(training, sim, c), B.assemble(B.apply_factors(training, sim, c))
+    assert got.dtypes == want.dtypes
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "700")
+    try:
+        got, want = (df.toPandas().sort_values(["dataset_id", "cell_id", "t"], ignore_index=True) for df in (got, want))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    assert len(got) == sim.count() and got.drop(columns=["tasmax", "tasmin", "pr"]).equals(want.drop(columns=["tasmax", "tasmin", "pr"]))
+    for v in ("tasmax", "tasmin", "pr"):
+        assert np.allclose(got[v].astype(float), want[v].astype(float), rtol=1e-12, atol=1e-12, equal_nan=True)
+    no_factors = got.tasmax.isna().groupby([got.dataset_id, got.cell_id]).mean()
+    assert no_factors["a", 3] == no_factors["b", 2] == 1 and (no_factors.drop([("a", 3), ("b", 2)]) < 0.3).all()
+
+
+def test_adjustment_after_training_moves_days_alone(spark, sf_dir):
+    from checks import fixtures as X
+    daily, nl = X.daily(spark, sf_dir), X.noleap(spark, sf_dir)
+    conf = B.Conf(B.STANDARD_VARIABLES, X.REF_PERIOD, X.TARGET, loess_f=0.6)
+    training = B.train(X.dataset(nl, "ref"), X.dataset(nl, "sim"), conf)
+    plan = B.adjust(training, X.dataset(nl, "sim"), conf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan and "Exchange" not in plan[:plan.index("MapInArrow")]
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(cell_id" in line]
+    assert len(moved) == 1 and "af#" not in plan and "hist_q#" not in plan
+    # A table made from the factors is joined as it is, and years of unequal length still raise.
+    changed = training.withColumn("scaling", F.lit(None).cast("double"))
+    assert B.adjust(changed, X.dataset(nl, "sim"), conf).where("pr IS NOT NULL OR tasmax IS NOT NULL").count() == 0
+    with pytest.raises(Exception, match="equal length"):
+        B.adjust(training, X.dataset(daily, "sim"), conf).count()
+    with pytest.raises(Exception, match="equal length"):
+        B.adjust(B.train(X.dataset(daily, "ref"), X.dataset(daily, "sim"), conf), X.dataset(nl, "sim"), conf).count()
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 2**31), st.integers(1, 40), st.integers(0, 16))
+def test_moving_means_equal_a_search_for_each_day(seed, n, half):
+    rng = np.random.default_rng(seed)
+    t, x = rng.integers(0, 60, n).astype(np.int32), rng.normal(size=(2, n))
+    x[rng.random(x.shape) < 0.3] = np.nan
+    got = B._moving_means(t, x, half)
+    for row, means in zip(x, got):
+        for day, mean in zip(t, means):
+            near = row[(np.abs(t - day) <= half) & ~np.isnan(row)]
+            assert mean == pytest.approx(near.mean()) if len(near) else np.isnan(mean)
