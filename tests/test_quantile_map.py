@@ -275,3 +275,16 @@ def test_moving_means_equal_a_search_for_each_day(seed, n, half):
         for day, mean in zip(t, means):
             near = row[(np.abs(t - day) <= half) & ~np.isnan(row)]
             assert mean == pytest.approx(near.mean()) if len(near) else np.isnan(mean)
+
+
+def exchanges_around_the_kernel(spark, sf_dir, name):
+    """Exchanges above the kernel that trains and adjusts, and those by cell below it."""
+    import __spark_entry__ as entry
+    plan = entry.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("MapInArrow")
+    return [[line for line in part.splitlines() if f"Exchange hashpartitioning({key}" in line] for part, key in ((above, ""), (below, "cell_id"))]
+
+
+def test_monthly_means_of_a_scenario_move_days_and_months(spark, sf_dir):
+    above, below = exchanges_around_the_kernel(spark, sf_dir, "dqm_monthly_mean")
+    assert len(above) == 1 and "hashpartitioning(dataset_id" in above[0] and "_groupingexpression" in above[0] and len(below) == 1
