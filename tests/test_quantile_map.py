@@ -288,3 +288,8 @@ def exchanges_around_the_kernel(spark, sf_dir, name):
 def test_monthly_means_of_a_scenario_move_days_and_months(spark, sf_dir):
     above, below = exchanges_around_the_kernel(spark, sf_dir, "dqm_monthly_mean")
     assert len(above) == 1 and "hashpartitioning(dataset_id" in above[0] and "_groupingexpression" in above[0] and len(below) == 1
+
+
+def test_check_of_a_scenario_moves_days_and_counts(spark, sf_dir):
+    above, below = exchanges_around_the_kernel(spark, sf_dir, "dqm_check_physical")
+    assert len(above) == 1 and "hashpartitioning(dataset_id" in above[0] and "cell_id" not in above[0] and len(below) == 1
